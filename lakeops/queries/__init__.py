@@ -6,7 +6,7 @@ from importlib import import_module
 
 from lakeops.queries.registry import ORACLES, QUERIES
 
-for _module in ("analytics", "joins", "texts"):
+for _module in ("analytics", "joins", "texts", "quality", "tables", "files"):
     import_module(f"lakeops.queries.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]
