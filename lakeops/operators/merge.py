@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.predicates import all_present, true_only
-from lakeops.operators.dedup import repeated_keys
-from lakeops.operators.skew import fits_broadcast, lookup_join, salted_join
+from lakeops.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup_join, salted_join
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a complete key occurs twice."""
-    if repeated_keys(df.where(all_present(keys)), keys).head(1):
+def require_unique(df: DataFrame, keys: Sequence[str]) -> int:
+    """Raise if a complete key occurs twice; returns the number of complete keys."""
+    per_key = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    most, total = per_key.agg(F.max("rows"), F.count(F.lit(1))).first()
+    if (most or 0) > 1:
         raise ValueError(f"several rows have the same key {list(keys)}")
+    return total
 
 
 def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], pick) -> DataFrame:
@@ -28,7 +30,6 @@ def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], pick) ->
 
     Missing keys match nothing: such target rows stay and such source rows are added.
     """
-    require_unique(source, keys)
     absent = [c for c in target.columns if c not in source.columns]
     if absent:
         raise ValueError(f"the source lacks the columns {absent}")
@@ -37,7 +38,8 @@ def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], pick) ->
     incoming = source.where(all_present(keys)).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_matched")
     )
-    join = _broadcast_join if fits_broadcast(incoming) else salted_join
+    small = require_unique(source, keys) <= BROADCAST_ROWS and fits_broadcast(incoming)
+    join = _broadcast_join if small else salted_join
     matched = F.col("_matched").isNotNull()
     kept = join(target, incoming, keys, "left").select(
         *[F.col(c) if c in keys else pick(F.col(c), matched, F.col(f"_new_{c}")).alias(c) for c in target.columns]

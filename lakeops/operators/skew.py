@@ -18,7 +18,7 @@ SKETCH_ITEMS = 8192
 # Sketches are merged in this many tasks first, then in one.
 MERGE_TASKS = 256
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 REPLICABLE_JOINS = ("inner", "left", "left_semi", "left_anti")
@@ -45,10 +45,9 @@ def hot_groups(df: DataFrame, keys: Sequence[str], share: float | None = None) -
         )
     )
     top = (
-        sketches.agg(
-            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("rows").alias("rows")
-        )
-        .where("rows is not null")
+        # Grouped by a constant, because no rows must give no group.
+        sketches.groupBy(F.lit("all"))
+        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("rows").alias("rows"))
         .selectExpr("rows", f"explode(approx_top_k_estimate(sketch, {math.ceil(1 / SMALLEST_SHARE)})) as top")
         .selectExpr("top.item as item", "top.count / rows as share")
         .where(F.col("share") > share)
@@ -102,11 +101,25 @@ def salted_join(
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure whether ``df`` is small enough to send to every executor."""
-    if df.count() > max_rows:
-        return False
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    return (size or 0) <= max_bytes
+    """Measure whether ``df`` is small enough to send to every executor.
+
+    Rows are counted first, which reads next to nothing; only a side of few rows has its bytes added up.
+    """
+    rows = df.count()
+    return rows <= max_rows and _bytes(df, rows) <= max_bytes
+
+
+def _bytes(df: DataFrame, rows: int) -> int:
+    fixed = {"tinyint": 1, "smallint": 2, "int": 4, "boolean": 1, "float": 4}
+    size, varying = 0, []
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            varying.append(F.sum(F.octet_length(name)))
+        elif kind.startswith(("array", "map", "struct", "variant")):
+            varying.append(F.sum(F.octet_length(F.to_json(F.struct(name)))))
+        else:
+            size += fixed.get(kind, 16) * rows
+    return size + sum(total or 0 for total in df.agg(*varying).first()) if varying else size
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

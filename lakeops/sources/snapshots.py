@@ -19,15 +19,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.functions.predicates import all_present, true_only
+from lakeops.functions.predicates import all_present
 from lakeops.operators.merge import change_rows, delete_where, merge_upsert, require_unique, update_where
 from lakeops.operators.skew import lookup_join
-from lakeops.session import path_exists
+from lakeops.session import materialize, path_exists
 from lakeops.sources.readers import input_bytes, partitions_for
 
 LOG_SCHEMA = (
-    "commit_ts timestamp, operation string, row_count bigint, parts array<string>, schema_json string, "
-    "partition_by array<string>, version bigint"
+    "commit_ts timestamp, operation string, row_count bigint, parts array<struct<id: string, rows: bigint>>, "
+    "schema_json string, partition_by array<string>, version bigint"
 )
 PART = "snapshot_part"
 
@@ -83,19 +83,22 @@ class VersionedTable:
             raise ValueError(f"{self.root} has no version at {as_of}")
         return version
 
-    def _parts(self, entry, parts: Sequence[str]) -> DataFrame:
+    def _parts(self, entry, parts: Sequence) -> DataFrame:
         """Rows of some parts with the entry's columns, and the part each row is in."""
         schema = _schema(entry)
         if not parts:
             return self.spark.createDataFrame([], schema.add(PART, "string"))
         reader = self.spark.read.schema(schema.add(PART, "string")).option("basePath", f"{self.root}/data")
-        return reader.parquet(*[f"{self.root}/data/{PART}={part}" for part in parts]).select(*_schema(entry).names, PART)
+        return reader.parquet(*[self._folder(part["id"]) for part in parts]).select(*_schema(entry).names, PART)
+
+    def _folder(self, part: str) -> str:
+        return f"{self.root}/data/{PART}={part}"
 
     # Commits
 
     def overwrite(self, df: DataFrame, operation: str = "WRITE", partition_by: Sequence[str] = ()) -> int:
-        part, rows = self._write_part(df, partition_by)
-        return self._commit(operation, rows, [part], df.schema, partition_by)
+        part = self._write_part(df, partition_by)
+        return self._commit(self._entry(F.lit(True)), operation, [part], df.schema, partition_by)
 
     def append(self, df: DataFrame, merge_schema: bool = False) -> int:
         """Add rows; with ``merge_schema`` new columns join the table and are null in older rows."""
@@ -112,15 +115,17 @@ class VersionedTable:
         rows = df.select(
             *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
         )
-        part, added = self._write_part(rows, entry["partition_by"])
-        return self._commit(
-            "APPEND", entry["row_count"] + added, [*entry["parts"], part], schema, entry["partition_by"]
-        )
+        part = self._write_part(rows, entry["partition_by"])
+        return self._commit(entry, "APPEND", [*entry["parts"], part], schema)
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
-        """Update the rows whose key is in the source and add the others; parts without such rows stay."""
+        """Update the rows whose key is in the source and add the others; parts without such rows stay.
+
+        The source is used several times, so it is worked out once and written first.
+        """
         entry = self._version_entry()
-        wanted = source.where(all_present(keys)).select(*keys).distinct()
+        source = materialize(source, "merge-source")
+        wanted = source.where(all_present(keys)).select(*keys)
         hit = lookup_join(self._parts(entry, entry["parts"]).select(*keys, PART), wanted, keys, "left_semi")
         return self._rewrite("MERGE", entry, hit, lambda rows: merge_upsert(rows, source, keys))
 
@@ -131,35 +136,37 @@ class VersionedTable:
 
     def delete(self, condition: Column) -> int:
         entry = self._version_entry()
-        hit = self._parts(entry, entry["parts"]).where(true_only(condition))
+        hit = self._parts(entry, entry["parts"]).where(condition)
         return self._rewrite("DELETE", entry, hit, lambda rows: delete_where(rows, condition))
 
     def _rewrite(self, operation: str, entry, hit: DataFrame, change) -> int:
         """Replace the parts that ``hit`` rows are in by their changed rows."""
-        parts = {row[PART] for row in hit.select(PART).distinct().collect()}
-        old = [part for part in entry["parts"] if part in parts]
-        kept = [part for part in entry["parts"] if part not in parts]
-        before = self._parts(entry, old).drop(PART)
-        part, rows = self._write_part(change(before), entry["partition_by"])
-        total = entry["row_count"] - before.count() + rows
-        return self._commit(operation, total, [*kept, part], _schema(entry), entry["partition_by"])
+        found = {row[PART] for row in hit.select(PART).distinct().collect()}
+        old = [part for part in entry["parts"] if part["id"] in found]
+        kept = [part for part in entry["parts"] if part["id"] not in found]
+        if not old and operation != "MERGE":
+            return self._commit(entry, operation, kept, _schema(entry))
+        part = self._write_part(change(self._parts(entry, old).drop(PART)), entry["partition_by"])
+        return self._commit(entry, operation, [*kept, part], _schema(entry))
 
     def drop_columns(self, *names: str) -> int:
         """Leave columns out of the table from now on; no file is rewritten."""
         entry = self._version_entry()
         schema = T.StructType([field for field in _schema(entry) if field.name not in names])
-        return self._commit("DROP COLUMNS", entry["row_count"], entry["parts"], schema, entry["partition_by"])
+        return self._commit(entry, "DROP COLUMNS", entry["parts"], schema)
 
     def _refuse_dropped(self, names: Sequence[str]) -> None:
         earlier = {name for row in self._log().select("schema_json").collect() for name in _schema(row).names}
         again = [name for name in names if name in earlier]
         if again:
-            raise ValueError(f"older files still hold the dropped columns {again}; overwrite the table first")
+            raise ValueError(f"older files may still hold the dropped columns {again}")
 
     def restore(self, version: int | None = None, as_of: datetime | None = None) -> int:
         """Make an earlier version the newest one; later versions stay in the history."""
         entry = self._version_entry(self._wanted(version, as_of))
-        return self._commit("RESTORE", entry["row_count"], entry["parts"], _schema(entry), entry["partition_by"])
+        return self._commit(
+            self._version_entry(), "RESTORE", entry["parts"], _schema(entry), entry["partition_by"]
+        )
 
     def deep_clone(self, root: str, version: int | None = None) -> VersionedTable:
         """Copy a version's rows to a dataset of its own."""
@@ -169,23 +176,25 @@ class VersionedTable:
 
     def compact(self, target_mb: int = 128) -> int:
         """Rewrite the table in files of about ``target_mb``."""
-        entry = self._version_entry()
         df = self.read()
         files = partitions_for(input_bytes(df), target_mb)
-        return self.overwrite(df.repartition(files), "OPTIMIZE", entry["partition_by"])
+        return self.overwrite(df.repartition(files), "OPTIMIZE", self._version_entry()["partition_by"])
 
     def _write_part(self, df: DataFrame, partition_by: Sequence[str]) -> tuple[str, int]:
-        """Write the rows and count them on the way."""
+        """Write the rows as a new part, counting them on the way."""
         part, seen = uuid.uuid4().hex, Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.partitionBy(*partition_by).parquet(f"{self.root}/data/{PART}={part}")
+        counted.write.partitionBy(*partition_by).parquet(self._folder(part))
         return part, seen.get["rows"]
 
-    def _commit(self, operation, rows, parts, schema, partition_by) -> int:
-        last = self.current_version()
-        version = 0 if last is None else last + 1
-        now = datetime.now(timezone.utc)
-        row = (now, operation, rows, list(parts), schema.json(), list(partition_by or ()), version)
+    def _commit(self, last, operation: str, parts: Sequence, schema: T.StructType, partition_by=None) -> int:
+        """Add the log row that follows ``last``; partitioning stays as it was unless given."""
+        version = 0 if last is None else last["version"] + 1
+        if partition_by is None:
+            partition_by = last["partition_by"]
+        listed = [tuple(part) for part in parts]
+        rows = sum(count for _, count in listed)
+        row = (datetime.now(timezone.utc), operation, rows, listed, schema.json(), list(partition_by), version)
         log = self.spark.createDataFrame([row], LOG_SCHEMA).drop("version").coalesce(1)
         log.write.mode("errorifexists").parquet(f"{self.root}/log/version={version}")
         return version
