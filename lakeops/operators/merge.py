@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.predicates import all_present, true_only
-from lakeops.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup_join, salted_join
+from lakeops.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_groups, lookup_join, salted_join
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> int:
@@ -39,21 +39,18 @@ def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], pick) ->
         *keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_matched")
     )
     small = require_unique(source, keys) <= BROADCAST_ROWS and fits_broadcast(incoming)
-    join = _broadcast_join if small else salted_join
+    # Sent to every executor, a small source leaves the target's rows where they are.
+    side, hot = (F.broadcast, {}) if small else (lambda df: df, hot_groups(target, keys))
     matched = F.col("_matched").isNotNull()
-    kept = join(target, incoming, keys, "left").select(
+    kept = salted_join(target, side(incoming), keys, "left", hot).select(
         *[F.col(c) if c in keys else pick(F.col(c), matched, F.col(f"_new_{c}")).alias(c) for c in target.columns]
     )
-    known = join(target.select(*keys), incoming.select(*keys), keys, "left_semi").distinct()
+    known = salted_join(target.select(*keys), side(incoming.select(*keys)), keys, "left_semi", hot).distinct()
     added = source.where(all_present(keys)).join(known, list(keys), "left_anti")
     keyless = source.where(~all_present(keys))
     return kept.unionByName(added).unionByName(keyless)
 
 
-def _broadcast_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    return left.join(F.broadcast(right), list(keys), how)
-
-
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows take all values of the source, other source rows are added.
 
@@ -80,30 +77,35 @@ def change_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     """Inserted, deleted and updated rows between two states of a table with unique keys.
 
     An update gives the row before and the row after it. Columns added later are null before. Values are
-    compared null-safely, so a rewrite that changes nothing gives no rows.
+    compared null-safely, so a rewrite that changes nothing gives no rows. Rows with a missing key cannot be
+    told to be the same row: they are compared as whole rows, by how often each occurs.
     """
     columns = list(dict.fromkeys([*after.columns, *before.columns]))
 
-    def state(df: DataFrame, name: str, other: DataFrame) -> DataFrame:
-        values = [
-            F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns
-        ]
-        return df.select(F.struct(*keys).alias(f"_{name}_key"), F.struct(*values).alias(name))
+    def filled(df: DataFrame, other: DataFrame) -> DataFrame:
+        return df.select(
+            *[F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
+        )
 
-    joined = state(before, "old", after).join(
-        state(after, "new", before), F.col("_old_key").eqNullSafe(F.col("_new_key")), "full"
-    )
+    before, after = filled(before, after), filled(after, before)
+    keyed = all_present(keys)
+    old = before.where(keyed).select(*keys, F.struct(*columns).alias("_old"))
+    new = after.where(keyed).select(*keys, F.struct(*columns).alias("_new"))
+    changed = old.join(new, list(keys), "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
 
     def row(kind: str, side: str) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("row"))
 
     changes = (
-        F.when(F.col("old").isNull(), F.array(row("insert", "new")))
-        .when(F.col("new").isNull(), F.array(row("delete", "old")))
-        .otherwise(F.array(row("update_preimage", "old"), row("update_postimage", "new")))
+        F.when(F.col("_old").isNull(), F.array(row("insert", "_new")))
+        .when(F.col("_new").isNull(), F.array(row("delete", "_old")))
+        .otherwise(F.array(row("update_preimage", "_old"), row("update_postimage", "_new")))
     )
-    changed = joined.where(~F.col("old").eqNullSafe(F.col("new")))
-    return changed.select(F.explode(changes).alias("change")).select("change.row.*", "change._change_type")
+    with_key = changed.select(F.explode(changes).alias("change")).select("change.row.*", "change._change_type")
+    lost, found = before.where(~keyed), after.where(~keyed)
+    deleted = lost.exceptAll(found).withColumn("_change_type", F.lit("delete"))
+    inserted = found.exceptAll(lost).withColumn("_change_type", F.lit("insert"))
+    return with_key.unionByName(deleted).unionByName(inserted)
 
 
 def scd2_start(dimension: DataFrame, effective: date) -> DataFrame:
@@ -123,14 +125,13 @@ def scd2_changes(dimension: DataFrame, updates: DataFrame, keys: Sequence[str],
     Only the current rows that the updates ask for are joined.
     """
     require_unique(updates, keys)
-    wanted = updates.select(*keys).distinct()
+    wanted = updates.where(all_present(keys)).select(*keys)
     current = lookup_join(dimension.where("is_current").select(*keys, *tracked), wanted, keys, "left_semi")
-    old = current.select(
-        *keys, F.struct(*tracked).alias("_old"), F.lit(True).alias("_known")
-    )
-    joined = old.join(updates, list(keys), "right")
+    old = current.select(*keys, F.struct(*tracked).alias("_old"), F.lit(True).alias("_known"))
+    # Both sides have a key at most once; updates without a key match nothing and need no join.
+    joined = old.join(updates.where(all_present(keys)), list(keys), "right")
     differs = F.col("_known").isNull() | ~F.col("_old").eqNullSafe(F.struct(*tracked))
-    return joined.where(differs).select(*updates.columns)
+    return joined.where(differs).select(*updates.columns).unionByName(updates.where(~all_present(keys)))
 
 
 def scd2_apply(

@@ -122,15 +122,17 @@ def _bytes(df: DataFrame, rows: int) -> int:
     return size + sum(total or 0 for total in df.agg(*varying).first()) if varying else size
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False
+) -> DataFrame:
     """Join a large table to a side that is usually small: broadcast if measured small, salted otherwise."""
     if fits_broadcast(right):
-        return left.join(F.broadcast(right), list(on), how)
-    return salted_join(left, right, on, how)
+        # Nothing of the left side moves, so hot keys do not matter.
+        return salted_join(left, F.broadcast(right), on, how, hot={}, null_safe=null_safe)
+    return salted_join(left, right, on, how, null_safe=null_safe)
 
 
 def lookup_join_on(left: DataFrame, right: DataFrame, pairs: dict[str, str], how: str = "inner") -> DataFrame:
     """Like :func:`lookup_join` for differently named keys; both key copies stay in the result."""
-    kept = right.withColumns({f"_on_{name}": F.col(other) for name, other in pairs.items()})
-    kept = kept.withColumnsRenamed({f"_on_{name}": name for name in pairs})
-    return lookup_join(left, kept, list(pairs), how)
+    named = right.select("*", *[F.col(other).alias(name) for name, other in pairs.items()])
+    return lookup_join(left, named, list(pairs), how)

@@ -107,6 +107,6 @@ def write_rejects(df: DataFrame, rules: Sequence[Mapping], job: str, base: str,
     summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/summary")
     written = df.sparkSession.read.schema(summary.schema).option("header", True).csv(f"{folder}/summary")
     if written.where("failed_count > 0").head(1):
-        rejects = rule_rejects(df, rules, job, stamp)
+        rejects = rule_rejects(df, rules, job, stamp).hint("rebalance", "rule_id")
         rejects.write.mode("append").partitionBy("rule_id").json(f"{folder}/rows")
     return folder

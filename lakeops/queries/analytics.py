@@ -269,8 +269,7 @@ def pair_dedup(spark, sf):
         "l_orderkey", F.col("c_nationkey").alias("source")
     )
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
-    # The lines of an order with the same supplier say the same thing once.
-    sold = lookup_join(lines.distinct(), suppliers, ["l_suppkey"], "inner")
+    sold = lookup_join(lines, suppliers, ["l_suppkey"], "inner")
     trades = salted_join(sold, buyers, ["l_orderkey"])
     pairs = trades.select("source", F.col("s_nationkey").alias("destination"))
     return dedup.undirected_pairs(pairs, "source", "destination")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lakeops.functions.masking import mask_fields
 from lakeops.operators import nested, text
 from lakeops.queries.registry import query, table
-from lakeops.session import work_dir
+from lakeops.session import parallelism, work_dir
+from lakeops.sources.readers import read_with_floor
 
 
 @query(
@@ -29,7 +30,7 @@ def distinct_members(spark, sf):
     """,
 )
 def word_count(spark, sf):
-    return text.word_counts(table(spark, sf, "documents"), "text")
+    return text.word_counts(_documents(spark, sf), "text")
 
 
 @query(
@@ -41,7 +42,7 @@ def word_count(spark, sf):
     """,
 )
 def top_words(spark, sf):
-    return text.top_words(table(spark, sf, "documents"), "text")
+    return text.top_words(_documents(spark, sf), "text")
 
 
 @query(
@@ -53,7 +54,13 @@ def top_words(spark, sf):
     """,
 )
 def top_words_case_sensitive(spark, sf):
-    return text.top_words(table(spark, sf, "documents"), "text", fold_case=False)
+    return text.top_words(_documents(spark, sf), "text", fold_case=False)
+
+
+def _documents(spark, sf):
+    """Documents in at least as many partitions as a shuffle has; large inputs have that many by themselves."""
+    path = f"{sf.rstrip('/')}/documents.parquet"
+    return read_with_floor(spark, path, min_partitions=parallelism(spark)).select("text")
 
 
 @query(

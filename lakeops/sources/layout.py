@@ -1,16 +1,37 @@
-"""File layouts that let a filter skip files."""
+"""File layouts that let a filter skip files, and files of the right size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def in_files(df: DataFrame, files: int) -> DataFrame:
+    """A scan in ``files`` partitions; merging partitions needs no shuffle, only splitting them does."""
+    return df.coalesce(files) if df.rdd.getNumPartitions() >= files else df.repartition(files)
+
+
+def _along(df: DataFrame, curve: Sequence[str], files: int) -> DataFrame:
+    """Range-partition and sort; rows that share a place are spread, so a frequent value fills many files."""
+    spread = F.xxhash64(F.spark_partition_id(), *df.columns)
+    placed = df.withColumn("_spread", spread).repartitionByRange(files, *curve, "_spread")
+    return placed.drop("_spread").sortWithinPartitions(*curve)
+
+
 def cluster_by_range(df: DataFrame, column: str, files: int) -> DataFrame:
     """Rows placed so that every file holds its own range of ``column``."""
-    return df.repartitionByRange(files, column).sortWithinPartitions(column)
+    return _along(df, [column], files)
+
+
+def bucket_of(value: Column, marks: Sequence, first: int = 0) -> Column:
+    """Number of sorted ``marks`` at or below the value, found by halving."""
+    if not marks:
+        return F.lit(first)
+    middle = len(marks) // 2
+    above = bucket_of(value, marks[middle + 1 :], first + middle + 1)
+    return F.when(value >= F.lit(marks[middle]), above).otherwise(bucket_of(value, marks[:middle], first))
 
 
 def cluster_by_zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
@@ -20,12 +41,13 @@ def cluster_by_zorder(df: DataFrame, columns: Sequence[str], files: int, bits: i
     """
     steps = [i / 2**bits for i in range(1, 2**bits)]
     cuts = df.agg(*[F.percentile_approx(c, steps, 100 * 2**bits).alias(c) for c in columns]).first()
+    bucketed = df.withColumns(
+        {f"_bucket{i}": bucket_of(F.col(c), sorted(set(cuts[c] or []))).cast("bigint") for i, c in enumerate(columns)}
+    )
     curve = F.lit(0).cast("bigint")
-    for place, name in enumerate(columns):
-        marks = F.array(*[F.lit(mark) for mark in cuts[name] or []])
-        bucket = F.size(F.filter(marks, lambda mark: mark <= F.col(name))).cast("bigint")
+    for place in range(len(columns)):
         for bit in range(bits):
-            moved = F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)), bit * len(columns) + place)
-            curve = curve.bitwiseOR(moved)
-    placed = df.withColumn("_curve", curve)
-    return placed.repartitionByRange(files, "_curve").sortWithinPartitions("_curve").drop("_curve")
+            one = F.shiftright(f"_bucket{place}", bit).bitwiseAND(F.lit(1).cast("bigint"))
+            curve = curve.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
+    placed = bucketed.withColumn("_curve", curve).drop(*[f"_bucket{i}" for i in range(len(columns))])
+    return _along(placed, ["_curve"], files).drop("_curve")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.sources.layout import in_files
 from lakeops.sources.readers import CORRUPT, input_bytes, partitions_for
 
 
@@ -18,6 +19,13 @@ def write_files(
     partition_by: Sequence[str] = (),
     **options: str,
 ) -> None:
+    """Write files of any format.
+
+    With ``partition_by``, rows are first gathered by folder, so that not every task writes to every folder;
+    Spark splits a folder that holds much of the data over several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).format(format).options(**options).partitionBy(*partition_by).save(path)
 
 
@@ -28,7 +36,7 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
 def write_sized(df: DataFrame, path: str, target_mb: int = 128, source_bytes: int | None = None) -> int:
     """Write in files of about ``target_mb``, going by the size of the input files."""
     files = partitions_for(input_bytes(df) if source_bytes is None else source_bytes, target_mb)
-    df.repartition(files).write.mode("overwrite").parquet(path)
+    in_files(df, files).write.mode("overwrite").parquet(path)
     return files
 
 

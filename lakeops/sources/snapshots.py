@@ -23,6 +23,7 @@ from lakeops.functions.predicates import all_present
 from lakeops.operators.merge import change_rows, delete_where, merge_upsert, require_unique, update_where
 from lakeops.operators.skew import lookup_join
 from lakeops.session import materialize, path_exists
+from lakeops.sources.layout import in_files
 from lakeops.sources.readers import input_bytes, partitions_for
 
 LOG_SCHEMA = (
@@ -178,11 +179,13 @@ class VersionedTable:
         """Rewrite the table in files of about ``target_mb``."""
         df = self.read()
         files = partitions_for(input_bytes(df), target_mb)
-        return self.overwrite(df.repartition(files), "OPTIMIZE", self._version_entry()["partition_by"])
+        return self.overwrite(in_files(df, files), "OPTIMIZE", self._version_entry()["partition_by"])
 
     def _write_part(self, df: DataFrame, partition_by: Sequence[str]) -> tuple[str, int]:
         """Write the rows as a new part, counting them on the way."""
         part, seen = uuid.uuid4().hex, Observation()
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.partitionBy(*partition_by).parquet(self._folder(part))
         return part, seen.get["rows"]

@@ -142,3 +142,12 @@ def test_stream_upsert(spark, tmp_path, rows):
         file_stream.drain_batches(stream, str(tmp_path / "checkpoint"), file_stream.upsert_into(versions, ["id"]))
     assert rows(versions.read()) == [(1, "a"), (2, "B"), (3, "c")]
     assert versions.current_version() == 1
+
+
+def test_a_frequent_value_is_clustered_into_many_files(spark, tmp_path):
+    df = spark.range(8000).select(F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id") % 1000).alias("v"))
+    layout.cluster_by_range(df, "v", 8).write.parquet(str(tmp_path / "hot"))
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "hot").glob("*.parquet")]
+    assert len(sizes) == 8 and max(sizes) < 2000
+    stats = footers.parquet_footers(spark, str(tmp_path / "hot"))
+    assert footers.range_overlaps(stats, "v").where("overlaps").count() == 0

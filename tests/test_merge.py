@@ -125,3 +125,10 @@ def test_change_rows_with_an_added_column(spark, rows):
     before = spark.createDataFrame([(1, "a")], "id int, v string")
     after = spark.createDataFrame([(1, "a", None), (2, "b", 9)], "id int, v string, extra int")
     assert rows(merge.change_rows(before, after, ["id"])) == [(2, "b", 9, "insert")]
+
+
+def test_change_rows_without_a_key_are_compared_whole(spark, rows):
+    before = spark.createDataFrame([(None, "a"), (None, "a"), (None, "b"), (1, "c")], "id int, v string")
+    after = spark.createDataFrame([(None, "a"), (None, "d"), (1, "c")], "id int, v string")
+    assert rows(merge.change_rows(before, after, ["id"])) == [
+        (None, "a", "delete"), (None, "b", "delete"), (None, "d", "insert")]
