@@ -45,7 +45,15 @@ def ratings_in_city(listing: DataFrame, city: str) -> DataFrame:
 
 
 def named_without_cuisine(names: DataFrame, ratings: DataFrame, cuisines: DataFrame) -> DataFrame:
-    """Restaurants per rating that have a name but an empty cuisine, from three tables keyed by id."""
-    joined = names.join(ratings, "restaurant_id", "left").join(cuisines, "restaurant_id", "inner")
-    kept = joined.where((F.col("restaurant_name") != "") & (F.col("cuisines") == ""))
-    return kept.groupBy("ratings").agg(F.count(F.lit(1)).alias("restaurants"))
+    """Restaurants per rating that have a name but an empty cuisine, from three tables keyed by id.
+
+    Counts what a join of the three tables gives. Each table is counted per id before it is joined, so an
+    id that occurs often on every side is multiplied as numbers, not as rows.
+    """
+    key, one = "restaurant_id", F.count(F.lit(1))
+    named = names.where(F.col("restaurant_name") != "").groupBy(key).agg(one.alias("_named"))
+    rated = ratings.groupBy(key, "ratings").agg(one.alias("_rated"))
+    without = cuisines.where(F.col("cuisines") == "").groupBy(key).agg(one.alias("_without"))
+    joined = named.join(rated, key, "left").join(without, key, "inner")
+    rows = F.col("_named") * F.coalesce("_rated", F.lit(1)) * F.col("_without")
+    return joined.groupBy("ratings").agg(F.sum(rows).alias("restaurants"))

@@ -38,17 +38,16 @@ def corrupt_split(spark, sf):
     "metadata_ingest",
     """
     SELECT user_id AS equipment_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS read_at,
-           CAST(value AS FLOAT) AS metric_value, 'S' || user_id AS sensor_id, n_name AS metric_name,
-           'events' AS origin,
+           CAST(value AS FLOAT) AS metric_value, c_name AS sensor_id, n_name AS metric_name, 'events' AS origin,
            CASE WHEN event_type <> 'error' AND n_name IS NOT NULL THEN 'Valid' ELSE 'Invalid' END AS quality_flag,
            upper(event_type) AS kind
-    FROM (
-      SELECT *, CASE WHEN user_id % 30 < 25 THEN user_id % 30 END AS unit FROM events WHERE value >= 1
-    ) LEFT JOIN nation ON unit = n_nationkey
+    FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey
+      LEFT JOIN nation ON c_nationkey = n_nationkey
+    WHERE value >= 1
     """,
 )
 def metadata_ingest_query(spark, sf):
-    """Events as a sensor feed: users are equipment and nations units; readings of errors lack a time."""
+    """Events as a sensor feed: solvent customers are sensors and nations units; readings of errors lack a time."""
     base = work_dir(spark, "feed")
     events = table(spark, sf, "events")
     time = F.when(F.col("event_type") != "error", F.date_format("ts", metadata_ingest.FEED_TIME))
@@ -81,11 +80,10 @@ def metadata_ingest_query(spark, sf):
         ),
         rules=spark.createDataFrame([("s1", "power >= 1")], "schema_id string, validation_expression string"),
     )
-    users = events.select("user_id").distinct()
-    sensors = users.select(
-        F.col("user_id").cast("string").alias("equipment_id"),
-        F.concat(F.lit("S"), F.col("user_id")).alias("sensor_id"),
-        (F.col("user_id") % 30).cast("int").alias("unit_id"),
+    sensors = table(spark, sf, "customer").where("c_acctbal > 0").select(
+        F.col("c_custkey").cast("string").alias("equipment_id"),
+        F.col("c_name").alias("sensor_id"),
+        F.col("c_nationkey").alias("unit_id"),
     )
     units = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit_type")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import relational
 from lakeops.operators.skew import lookup_join, lookup_join_on, salted_join
 from lakeops.queries.registry import query, table
+from lakeops.sources.readers import query_table, read_path_sql
 
 
 @query(
@@ -179,13 +180,11 @@ def union_by_name(spark, sf):
 def param_query(spark, sf):
     """Table and value are parameters of the SQL text, not parts of it."""
     table(spark, sf, "customer").createOrReplaceTempView("param_query_customer")
-    return spark.sql(
-        "SELECT c_custkey, c_name, c_mktsegment FROM IDENTIFIER(:table_name) WHERE c_mktsegment = :segment",
-        args={"table_name": "param_query_customer", "segment": "BUILDING"},
-    )
+    rows = query_table(spark, "param_query_customer", "c_mktsegment", "BUILDING")
+    return rows.select("c_custkey", "c_name", "c_mktsegment")
 
 
-@query("sql_on_path", "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey = 2")
+@query("sql_on_path", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def sql_on_path(spark, sf):
-    path = f"{sf.rstrip('/')}/nation.parquet"
-    return spark.sql(f"SELECT n_nationkey, n_name, n_regionkey FROM parquet.`{path}` WHERE n_regionkey = 2")
+    rows = read_path_sql(spark, f"{sf.rstrip('/')}/orders.parquet", "o_orderpriority = '1-URGENT'")
+    return rows.select("o_orderkey", "o_custkey")

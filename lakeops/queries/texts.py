@@ -142,7 +142,8 @@ LISTING_SQL = """
                WHEN 'LARGE' THEN 'Average' ELSE 'Not rated' END AS ratings,
              p_brand AS city,
              CASE WHEN p_size < 5 THEN NULL ELSE string_split(p_name, ' ') END AS types
-      FROM (SELECT *, unnest(generate_series(1, 1 + p_size % 3)) AS i FROM part)
+      FROM (SELECT *, unnest(generate_series(1, CASE WHEN p_size > 30 THEN 3 WHEN p_size > 10 THEN 2 ELSE 1 END)) AS i
+            FROM part)
     ),
     flat AS (
       SELECT * EXCLUDE (types), unnest(CASE WHEN types IS NULL THEN [NULL] ELSE types END) AS establishment_type
@@ -171,7 +172,8 @@ def _listing(spark, sf):
             ).alias("restaurant")
         )
 
-    many = F.transform(F.sequence(F.lit(1), 1 + F.col("p_size") % 3), restaurant)
+    branches = F.when(F.col("p_size") > 30, 3).when(F.col("p_size") > 10, 2).otherwise(1)
+    many = F.transform(F.sequence(F.lit(1), branches), restaurant)
     path = work_dir(spark, "listing")
     table(spark, sf, "part").select(
         F.lit("200").alias("code"), F.size(many).alias("results_found"), many.alias("restaurants")

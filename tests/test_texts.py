@@ -63,6 +63,8 @@ def test_listing_is_flattened_from_multi_line_json(spark, rows, tmp_path):
     assert rows(nested.ratings_in_city(listing, "Columbus")) == [("Excellent", 1), ("Good", 2)]
     by_id = [flat.select("restaurant_id", c) for c in ("restaurant_name", "ratings", "cuisines")]
     assert rows(nested.named_without_cuisine(*by_id)) == [("Good", 1)]
+    twice = [part.union(part) for part in by_id]
+    assert rows(nested.named_without_cuisine(*twice)) == [("Good", 8)]
 
 
 def test_explode_and_flatten(spark, rows):
