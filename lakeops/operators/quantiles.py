@@ -1,0 +1,35 @@
+"""Cutting points that divide columns into pieces of about equal size."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lakeops.operators.skew import MERGE_TASKS
+
+FIRST_STEP_PIECES = 100
+
+
+def cutting_points(df: DataFrame, columns: Sequence[str], pieces: int, by: Sequence[str] = ()) -> DataFrame:
+    """One row per ``by`` group with an array of ``pieces - 1`` points for each column.
+
+    Quantiles are taken over the rows of a few hundred tasks each, and once more over those results, so that
+    no single task merges the summaries of all tasks. The points need not be exact: they decide how large
+    the pieces become, never a result.
+    """
+    in_tasks = (
+        df.select(*by, *columns, F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS)).alias("_task"))
+        .groupBy(*by, "_task")
+        .agg(*_quantiles(columns, max(pieces, FIRST_STEP_PIECES)))
+    )
+    # A column without values in a task has no array there.
+    arrays = F.arrays_zip(*[F.coalesce(c, F.array()).alias(c) for c in columns])
+    points = in_tasks.select(*by, F.explode(arrays).alias("_point")).select(*by, "_point.*")
+    return points.groupBy(*by).agg(*_quantiles(columns, pieces))
+
+
+def _quantiles(columns: Sequence[str], pieces: int) -> list[Column]:
+    steps = [i / pieces for i in range(1, pieces)]
+    return [F.percentile_approx(c, steps, 20 * pieces).alias(c) for c in columns]

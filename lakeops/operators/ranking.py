@@ -13,7 +13,7 @@ from lakeops.session import materialize, parallelism
 
 
 def nth_highest(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
-    """Rows holding the n-th highest distinct value of their group, ties included.
+    """Rows holding the n-th highest distinct value of their group, ties included. A missing value is lowest.
 
     Each map task keeps its n highest values per group before anything is shuffled. The first window is
     also split by task, so a value that a third of the rows share is reduced to one row in many tasks
@@ -34,7 +34,7 @@ def nth_highest(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataF
         .where(F.col("_place") == n)
         .drop("_place")
     )
-    return lookup_join(df, materialize(wanted, "nth-highest"), [*keys, value], "left_semi")
+    return lookup_join(df, materialize(wanted, "nth-highest"), [*keys, value], "left_semi", null_safe=True)
 
 
 def rank_within(

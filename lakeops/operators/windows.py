@@ -11,46 +11,34 @@ from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from lakeops.functions.change import percent_change
-from lakeops.operators.skew import MERGE_TASKS, group_hash, hot_groups
+from lakeops.operators.quantiles import cutting_points
+from lakeops.operators.skew import group_hash, hot_groups
 from lakeops.session import parallelism
 
 ROWS_IN_ONE_TASK = -1  # chunk number of groups that need no cutting
 
 
 def _marks(df: DataFrame, order: str, keys: Sequence[str], hot: dict[int, float]) -> list[tuple]:
-    """Cutting points of every hot group, as arrays of arrays of about equal length.
-
-    Quantiles are taken in several tasks and then once more over their results. They need not be exact:
-    where the cuts fall decides the size of the chunks, never the result.
-    """
+    """Cutting points of every hot group, as arrays of arrays of about equal length."""
     tasks = parallelism(df.sparkSession)
     pieces = max(2, math.ceil(max(hot.values()) * tasks))
-    steps = [i / pieces for i in range(1, pieces)]
-    accuracy = 20 * pieces
-    points = df.select(
-        (group_hash(keys) if keys else F.lit(0).cast("bigint")).alias("_group"),
-        F.col(order).alias("_point"),
-        F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS)).alias("_task"),
-    ).where(F.col("_point").isNotNull())
-    if keys:
-        points = points.where(F.col("_group").isin(list(hot)))
-    quantiles = (
-        points.groupBy("_group", "_task")
-        .agg(F.percentile_approx("_point", steps, accuracy).alias("marks"))
-        .select("_group", F.explode("marks").alias("_point"))
-        .groupBy("_group")
-        .agg(F.percentile_approx("_point", steps, accuracy).alias("marks"))
-    )
+    points = df.select(_group(keys).alias("_group"), F.col(order).alias("_marks")).where(F.col("_group").isin(list(hot)))
     cuts = []
-    for row in quantiles.collect():
+    for row in cutting_points(points, ["_marks"], pieces, by=["_group"]).collect():
+        # A smaller group takes every n-th point only.
         wanted = max(2, math.ceil(hot[row["_group"]] * tasks))
         every = max(1, pieces // wanted)
-        marks = sorted(set(row["marks"][every - 1 :: every]))
+        marks = sorted({mark for mark in row["_marks"][every - 1 :: every] if mark is not None}) if row["_marks"] else []
         length = max(1, math.isqrt(len(marks)))
-        cuts.append((row["_group"], [marks[i : i + length] for i in range(0, len(marks), length)]))
+        if marks:
+            cuts.append((row["_group"], [marks[i : i + length] for i in range(0, len(marks), length)]))
     return cuts
 
 
+def _group(keys: Sequence[str]) -> Column:
+    return group_hash(keys) if keys else F.lit(0).cast("bigint")
+
+
 def order_chunks(
     df: DataFrame, order: str, keys: Sequence[str] = (), hot: dict[int, float] | None = None
 ) -> DataFrame:
@@ -82,9 +70,8 @@ def order_chunks(
     block = F.size(F.filter("_marks", lambda marks: marks[0] <= value))
     length = F.size(F.col("_marks")[0])
     chunk = F.when(block == 0, F.lit(0)).otherwise((block - 1) * length + below(F.get("_marks", block - 1)))
-    group = group_hash(keys) if keys else F.lit(0).cast("bigint")
     return (
-        df.withColumn("_group", group)
+        df.withColumn("_group", _group(keys))
         .join(F.broadcast(bounds), "_group", "left")
         .withColumn("_chunk", F.when(F.col("_marks").isNull(), F.lit(ROWS_IN_ONE_TASK)).otherwise(chunk))
         .drop("_group", "_marks")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.quantiles import cutting_points
+
 
 def in_files(df: DataFrame, files: int) -> DataFrame:
     """A scan in ``files`` partitions; merging partitions needs no shuffle, only splitting them does."""
@@ -39,10 +41,10 @@ def cluster_by_zorder(df: DataFrame, columns: Sequence[str], files: int, bits: i
 
     Each column is cut into 2**bits buckets of about equal size, and the buckets' bits are interleaved.
     """
-    steps = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = df.agg(*[F.percentile_approx(c, steps, 100 * 2**bits).alias(c) for c in columns]).first()
+    cuts = cutting_points(df, columns, 2**bits).first()
+    marks = {c: sorted({mark for mark in cuts[c] or [] if mark is not None}) for c in columns}
     bucketed = df.withColumns(
-        {f"_bucket{i}": bucket_of(F.col(c), sorted(set(cuts[c] or []))).cast("bigint") for i, c in enumerate(columns)}
+        {f"_bucket{i}": bucket_of(F.col(c), marks[c]).cast("bigint") for i, c in enumerate(columns)}
     )
     curve = F.lit(0).cast("bigint")
     for place in range(len(columns)):

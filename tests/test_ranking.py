@@ -16,6 +16,7 @@ def staff(spark):
 def test_second_highest_counts_distinct_values(staff, rows):
     got = ranking.nth_highest(staff, ["dept"], "sal", 2)
     assert rows(got, "dept", "name", "sal") == [("10", "varun", 100), ("20", "das", 100)]
+    assert rows(ranking.nth_highest(staff, ["dept"], "sal", 1), "dept", "sal")[-1] == ("30", None)
 
 
 def test_nth_highest_keeps_all_ties(spark, rows):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.change import as_percent_text, number_from_text, percent_change
 from lakeops.operators import windows
+from lakeops.operators.quantiles import cutting_points
 from lakeops.operators.skew import hot_groups
 
 SALES = [
@@ -120,3 +121,19 @@ def test_rows_are_carried_over_chunks_shorter_than_the_frame(spark, rows):
     window = Window.orderBy("place").rowsBetween(-3, 0)
     whole = few.withColumn("m", F.avg("value").over(window))
     assert rows(windows.moving_average(few, "place", "value", rows=4, name="m")) == rows(whole)
+
+
+def test_missing_order_values_come_first(spark, rows):
+    data = spark.range(100).select(F.when(F.col("id") > 0, F.col("id")).alias("place"), F.col("id").alias("value"))
+    window = Window.orderBy("place")
+    assert rows(windows.lag_lead(data, "place", "value")) == rows(
+        data.withColumns({"previous": F.lag("value").over(window), "following": F.lead("value").over(window)})
+    )
+
+
+def test_cutting_points_of_several_columns(spark):
+    df = spark.range(1000).select("id", (F.col("id") * 2).alias("double"), F.lit(None).cast("int").alias("nothing"))
+    cuts = cutting_points(df, ["id", "double", "nothing"], 4).first()
+    assert all(abs(got - want) < 30 for got, want in zip(cuts["id"], (250, 500, 750)))
+    assert all(abs(got - want) < 60 for got, want in zip(cuts["double"], (500, 1000, 1500)))
+    assert not cuts["nothing"]
