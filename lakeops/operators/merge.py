@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.predicates import all_present, true_only
 from lakeops.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_groups, lookup_join, salted_join
+from lakeops.session import materialize
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> int:
@@ -25,16 +26,19 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> int:
     return total
 
 
-def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], pick) -> DataFrame:
+def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], stored: bool, pick) -> DataFrame:
     """Target rows with ``pick(column, matched, new value)`` applied, and source rows with a new key.
 
-    Missing keys match nothing: such target rows stay and such source rows are added.
+    Missing keys match nothing: such target rows stay and such source rows are added. The source is used
+    several times, so unless it is ``stored`` in files already it is worked out once and written first.
     """
     absent = [c for c in target.columns if c not in source.columns]
     if absent:
         raise ValueError(f"the source lacks the columns {absent}")
     others = [c for c in target.columns if c not in keys]
     source = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    if not stored:
+        source = materialize(source, "merge-source")
     incoming = source.where(all_present(keys)).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_matched")
     )
@@ -51,17 +55,17 @@ def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], pick) ->
     return kept.unionByName(added).unionByName(keyless)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stored: bool = False) -> DataFrame:
     """Matched rows take all values of the source, other source rows are added.
 
     Extra source columns are ignored; several source rows with one key are an error.
     """
-    return _combine(target, source, keys, lambda old, matched, new: F.when(matched, new).otherwise(old))
+    return _combine(target, source, keys, stored, lambda old, matched, new: F.when(matched, new).otherwise(old))
 
 
-def scd1(dimension: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def scd1(dimension: DataFrame, updates: DataFrame, keys: Sequence[str], stored: bool = False) -> DataFrame:
     """Overwrite attributes with the updates that have a value, add new keys, keep all others."""
-    return _combine(dimension, updates, keys, lambda old, matched, new: F.coalesce(new, old))
+    return _combine(dimension, updates, keys, stored, lambda old, matched, new: F.coalesce(new, old))
 
 
 def update_where(df: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:
@@ -146,7 +150,7 @@ def scd2_apply(
     Older history and unchanged keys are carried through. ``as_of`` is today unless given.
     """
     today = F.lit(as_of) if as_of is not None else F.current_date()
-    changes = scd2_changes(dimension, updates, keys, tracked)
+    changes = materialize(scd2_changes(dimension, updates, keys, tracked), "scd2-changes")
     marked = lookup_join(dimension, changes.select(*keys, F.lit(True).alias("_changed")), keys, "left")
     expires = F.col("_changed").isNotNull() & F.col("is_current")
     history = marked.withColumns(

@@ -56,7 +56,8 @@ def hot_groups(df: DataFrame, keys: Sequence[str], share: float | None = None) -
 
 
 def _pieces(df: DataFrame, hot: dict[int, float]) -> int:
-    return max(2, math.ceil(max(hot.values()) * parallelism(df.sparkSession)))
+    # Twice a task's fair share, because some tasks get two pieces.
+    return max(2, math.ceil(2 * max(hot.values()) * parallelism(df.sparkSession)))
 
 
 def salted_join(
@@ -70,8 +71,9 @@ def salted_join(
     """Equi-join in which rows of hot left keys are spread over several tasks.
 
     The right rows of a hot key are copied once per salt, those of other keys are not; without hot keys
-    this is a plain join. A row's salt is its partition number, which a redone task computes again
-    unchanged, and which also spreads identical rows.
+    this is a plain join. A row's salt is a hash of its values and its partition number: a redone task
+    computes it again unchanged in whatever order its rows arrive, and identical rows are spread by where
+    they are. It takes in all columns of ``left``, so select the ones needed before.
     """
     if how not in REPLICABLE_JOINS:
         raise ValueError(f"a salted join cannot be {how!r}: copied right rows would show in the result")
@@ -83,9 +85,9 @@ def salted_join(
     if hot:
         pieces = _pieces(left, hot)
         is_hot = group_hash(on).isin(list(hot))
-        left = left.withColumn(
-            "_salt", F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(pieces))).otherwise(F.lit(0))
-        )
+        values = [name for name, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(pieces)).cast("int")
+        left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
         right = right.withColumn(
             "_salt",
             F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ RULE_DEFAULTS = {
     "severity": "warning",
 }
 
+# Column of a reject, and the field of the rule it comes from.
+TAGS = {"error": "description", "rule_id": "id", "category": "category", "severity": "severity"}
+
 
 def load_rules(spark: SparkSession, path: str) -> list[dict]:
     """Rules from a JSON list; a missing file is an error at once."""
@@ -45,21 +49,19 @@ def failing(rule: Mapping) -> Column | None:
 
 def rule_rejects(df: DataFrame, rules: Sequence[Mapping], job: str, at: str) -> DataFrame:
     """Each row once per rule it breaks, tagged with the rule; one scan, no shuffle."""
-    broken = []
-    for rule in rules:
-        condition = failing(rule)
-        if condition is not None:
-            tag = F.struct(
-                F.lit(_said(rule, "description")).alias("error"),
-                F.lit(_said(rule, "id")).alias("rule_id"),
-                F.lit(_said(rule, "category")).alias("category"),
-                F.lit(_said(rule, "severity")).alias("severity"),
-            )
-            broken.append(F.when(condition, tag))
-    tags = F.array_compact(F.array(*broken)) if broken else F.expr(
-        "cast(array() as array<struct<error: string, rule_id: string, category: string, severity: string>>)"
-    )
-    tagged = df.withColumn("_tag", F.explode(tags))
+    conditions = [(rule, failing(rule)) for rule in rules]
+    conditions = [(rule, condition) for rule, condition in conditions if condition is not None]
+    tags = [
+        F.when(condition, F.struct(*[F.lit(_said(rule, field)).alias(name) for name, field in TAGS.items()]))
+        for rule, condition in conditions
+    ]
+    if not tags:
+        return df.where(F.lit(False)).select(
+            "*", *[F.lit(None).cast("string").alias(name) for name in (*TAGS, "notebook_name", "timestamp")]
+        )
+    # Rows that break no rule, usually nearly all, are out before any tag is made.
+    broken = df.where(reduce(Column.__or__, [condition for _, condition in conditions]))
+    tagged = broken.withColumn("_tag", F.explode(F.array_compact(F.array(*tags))))
     return tagged.select(*df.columns, "_tag.*", F.lit(job).alias("notebook_name"), F.lit(at).alias("timestamp"))
 
 

@@ -128,7 +128,7 @@ class VersionedTable:
         source = materialize(source, "merge-source")
         wanted = source.where(all_present(keys)).select(*keys)
         hit = lookup_join(self._parts(entry, entry["parts"]).select(*keys, PART), wanted, keys, "left_semi")
-        return self._rewrite("MERGE", entry, hit, lambda rows: merge_upsert(rows, source, keys))
+        return self._rewrite("MERGE", entry, hit, lambda rows: merge_upsert(rows, source, keys, stored=True))
 
     def update(self, condition: Column, values: Mapping[str, Column]) -> int:
         entry = self._version_entry()
