@@ -125,13 +125,22 @@ def _bytes(df: DataFrame, rows: int) -> int:
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    null_safe: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a large table to a side that is usually small: broadcast if measured small, salted otherwise."""
+    """Join a large table to a side that is usually small: broadcast if measured small, salted otherwise.
+
+    Hot keys are looked for in ``rows``, by default ``left``; give what ``left`` was made from if that is
+    cheaper to read and has the key.
+    """
     if fits_broadcast(right):
         # Nothing of the left side moves, so hot keys do not matter.
         return salted_join(left, F.broadcast(right), on, how, hot={}, null_safe=null_safe)
-    return salted_join(left, right, on, how, null_safe=null_safe)
+    return salted_join(left, right, on, how, hot=hot_groups(left if rows is None else rows, on), null_safe=null_safe)
 
 
 def lookup_join_on(left: DataFrame, right: DataFrame, pairs: dict[str, str], how: str = "inner") -> DataFrame:

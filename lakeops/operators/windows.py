@@ -22,13 +22,14 @@ def _marks(df: DataFrame, order: str, keys: Sequence[str], hot: dict[int, float]
     """Cutting points of every hot group, as arrays of arrays of about equal length."""
     tasks = parallelism(df.sparkSession)
     pieces = max(2, math.ceil(max(hot.values()) * tasks))
-    points = df.select(_group(keys).alias("_group"), F.col(order).alias("_marks")).where(F.col("_group").isin(list(hot)))
+    points = df.select(_group(keys).alias("_group"), F.col(order).alias("_marks"))
+    points = points.where(F.col("_group").isin(list(hot)))
     cuts = []
     for row in cutting_points(points, ["_marks"], pieces, by=["_group"]).collect():
         # A smaller group takes every n-th point only.
         wanted = max(2, math.ceil(hot[row["_group"]] * tasks))
         every = max(1, pieces // wanted)
-        marks = sorted({mark for mark in row["_marks"][every - 1 :: every] if mark is not None}) if row["_marks"] else []
+        marks = sorted({mark for mark in (row["_marks"] or [])[every - 1 :: every] if mark is not None})
         length = max(1, math.isqrt(len(marks)))
         if marks:
             cuts.append((row["_group"], [marks[i : i + length] for i in range(0, len(marks), length)]))

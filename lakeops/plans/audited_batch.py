@@ -10,9 +10,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.ranking import latest_per_key
 from lakeops.session import path_exists
 from lakeops.sources.snapshots import VersionedTable
 
+# Columns of an audit row.
 AUDIT_SCHEMA = (
     "batch_id string, timestamp timestamp, source_path string, record_count bigint, "
     "delta_table_version bigint, status string, rollback_flag string, rollback_table_version bigint"
@@ -45,6 +47,10 @@ class AuditLog:
         row = (batch_id, now, source_path, record_count, version, status, flag, rolled_back_to)
         self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
+    def states(self) -> DataFrame:
+        """The newest row of every batch."""
+        return latest_per_key(self.rows(), ["batch_id"], [F.col("timestamp").desc()])
+
     def latest(self, batch_id: str):
         found = self.rows().where(F.col("batch_id") == batch_id).orderBy(F.col("timestamp").desc()).head(1)
         if not found:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.predicates import all_present
 from lakeops.operators.relational import enrich
@@ -90,6 +91,11 @@ def enrich_readings(feed: DataFrame, sensors: DataFrame, units: DataFrame, sourc
     )
 
 
+def not_null_columns(target: T.StructType) -> list[str]:
+    """Columns that the target table requires."""
+    return [field.name for field in target if not field.nullable]
+
+
 def flag_quality(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """``quality_flag`` is Valid where every required column has a value."""
     return df.withColumn("quality_flag", F.when(all_present(required), "Valid").otherwise("Invalid"))
@@ -101,12 +107,12 @@ def ingest(
     source_name: str,
     sensors: DataFrame,
     units: DataFrame,
-    required: Sequence[str],
+    target: T.StructType,
 ) -> DataFrame:
-    """Flagged readings of a source, from its files to the last lookup, as one plan."""
+    """Readings of a source, from its files to the last lookup, flagged by what the target requires."""
     plan = source_plan(control, source_name)
     raw = read_from_config(spark, plan.config, schema_from_control(plan.columns))
-    return flag_quality(enrich_readings(apply_plan(raw, plan), sensors, units, source_name), required)
+    return flag_quality(enrich_readings(apply_plan(raw, plan), sensors, units, source_name), not_null_columns(target))
 
 
 def write_by_quality(flagged: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:

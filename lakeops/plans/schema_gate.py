@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 # The control table's type names; any other name means string.
 CONTROL_TYPES = {"STRING": T.StringType(), "FLOAT": T.FloatType(), "TIMESTAMP": T.TimestampType()}
 
+# Fields of an issue and of a logged error.
 ISSUE_SCHEMA = "issue string, column_name string, expected string, found string"
 ERROR_LOG_SCHEMA = (
     "metadata struct<notebook_path: string, timestamp_utc: string, user: string, cluster_id: string>, "

@@ -187,6 +187,20 @@ def moving_avg_rows(spark, sf):
     )
 
 
+@query(
+    "moving_avg_per_type",
+    """
+    SELECT event_id, event_type, ts, round(avg(value) OVER w, 4) AS moving_avg
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+    """,
+)
+def moving_avg_per_type(spark, sf):
+    """Five latest events of the same type, in the order of their time."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    averages = windows.moving_average(events, "ts", "value", ["event_type"], rows=5)
+    return averages.select("event_id", "event_type", "ts", F.round("moving_avg", 4).alias("moving_avg"))
+
+
 @query(
     "date_gaps",
     """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.plans import metadata_ingest
 from lakeops.queries.registry import query, table
@@ -88,7 +89,8 @@ def metadata_ingest_query(spark, sf):
     units = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit_type")
     )
-    flagged = metadata_ingest.ingest(spark, control, "events", sensors, units, ["timestamp", "metric_name"])
+    target = T.StructType.fromDDL("equipment_id string, timestamp timestamp not null, metric_name string not null")
+    flagged = metadata_ingest.ingest(spark, control, "events", sensors, units, target)
     valid, invalid = metadata_ingest.write_by_quality(flagged, f"{base}-readings")
     return valid.unionByName(invalid).select(
         F.col("equipment_id").cast("bigint").alias("equipment_id"),

@@ -173,6 +173,16 @@ def union_by_name(spark, sf):
     return customers.unionByName(suppliers).orderBy("nation", "name")
 
 
+@query(
+    "available_columns",
+    "SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_clerk, o_totalprice, CAST(NULL AS VARCHAR) AS o_comment FROM orders",
+)
+def available_columns(spark, sf):
+    """The wanted columns in the wanted order; those the table lacks are null."""
+    wanted = ["o_orderkey", "o_clerk", "o_totalprice", "o_comment"]
+    return relational.present_columns(table(spark, sf, "orders"), wanted, add_missing=True)
+
+
 @query(
     "param_query",
     "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'",

@@ -271,12 +271,11 @@ def rollback(spark, sf):
         partition_by=["c_mktsegment"],
         batch_id="broken",
     )
-    states = audit.rows().groupBy("batch_id").agg(F.max_by(F.struct("*"), "timestamp").alias("state"))
-    return states.select(
+    return audit.states().select(
         "batch_id",
-        "state.status",
-        "state.rollback_flag",
-        "state.delta_table_version",
-        "state.rollback_table_version",
+        "status",
+        "rollback_flag",
+        "delta_table_version",
+        "rollback_table_version",
         F.lit(target.read().count()).cast("bigint").alias("rows_now"),
     )

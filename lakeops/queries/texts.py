@@ -8,7 +8,7 @@ from lakeops.functions.masking import mask_fields
 from lakeops.operators import nested, text
 from lakeops.queries.registry import query, table
 from lakeops.session import parallelism, work_dir
-from lakeops.sources.readers import read_with_floor
+from lakeops.sources.readers import read_products, read_with_floor
 
 
 @query(
@@ -165,7 +165,7 @@ def _listing(spark, sf):
                 (F.col("p_partkey") * 10 + i).alias("id"),
                 F.col("p_name").alias("name"),
                 F.when(F.col("p_size") > 40, F.lit("")).otherwise(F.col("p_type")).alias("cuisines"),
-                F.concat(F.lit("zoo://"), F.col("p_brand")).alias("deeplink"),
+                F.concat(F.lit("app://"), F.col("p_brand")).alias("deeplink"),
                 F.struct(rating.alias("rating_text")).alias("user_rating"),
                 F.struct(F.col("p_brand").alias("city")).alias("location"),
                 F.when(F.col("p_size") >= 5, F.split("p_name", " ")).alias("establishment_types"),
@@ -190,7 +190,7 @@ def _listing(spark, sf):
     "json_flatten",
     LISTING_SQL
     + """
-    SELECT restaurant_id, restaurant_name, cuisines, ratings, city, 'zoo://' || city AS deeplink, establishment_type
+    SELECT restaurant_id, restaurant_name, cuisines, ratings, city, 'app://' || city AS deeplink, establishment_type
     FROM flat
     """,
 )
@@ -198,6 +198,34 @@ def json_flatten(spark, sf):
     return nested.per_establishment(nested.flatten_listing(_listing(spark, sf)))
 
 
+@query(
+    "json_declared_schema",
+    """
+    SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_retailprice AS price, p_size AS stock,
+           CASE WHEN p_size > 5 THEN p_brand END AS brand, p_type AS category,
+           CAST(len(string_split(p_name, ' ')) AS INTEGER) AS images
+    FROM part
+    """,
+)
+def json_declared_schema(spark, sf):
+    """Parts as landed product payloads, read with the declared schema; unknown fields are left out."""
+    path = work_dir(spark, "products")
+    table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.col("p_name").alias("title"),
+        F.col("p_retailprice").alias("price"),
+        F.col("p_size").alias("stock"),
+        F.when(F.col("p_size") > 5, F.col("p_brand")).alias("brand"),
+        F.col("p_type").alias("category"),
+        F.split("p_name", " ").alias("images"),
+        F.lit("x").alias("warranty"),
+    ).write.json(path)
+    products = read_products(spark, path)
+    return products.select(
+        "id", "title", "price", "stock", "brand", "category", F.size("images").alias("images")
+    )
+
+
 @query(
     "json_rating_case",
     LISTING_SQL

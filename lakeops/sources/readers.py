@@ -37,7 +37,7 @@ def read_csv_permissive(spark: SparkSession, path: str, schema: str, header: boo
 def read_json(
     spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """JSON; without a schema it is inferred. ``path`` may be a glob.
+    """JSON; without a schema it is inferred, which reads everything once more. ``path`` may be a glob.
 
     ``multi_line`` reads each file as one document, which then cannot be split between tasks.
     """
@@ -53,11 +53,7 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
 def read_with_floor(
     spark: SparkSession, path: str, format: str = "parquet", min_partitions: int = 1, **options: str
 ) -> DataFrame:
-    """Any format, in at least ``min_partitions`` partitions.
-
-    Smaller scan splits give the partitions without a shuffle where the files can be split; only a source
-    that still has too few is repartitioned.
-    """
+    """Any format, in at least ``min_partitions`` partitions; only a source that has fewer is shuffled."""
     df = spark.read.format(format).options(**options).load(path)
     if min_partitions > 1 and df.rdd.getNumPartitions() < min_partitions:
         df = df.repartition(min_partitions)

@@ -113,8 +113,9 @@ def apply_changes(before, changes, keys):
 
 
 def test_change_rows_lead_from_before_to_after(spark, rows):
-    before = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (5, None, 5.0)], "id int, v string, x double")
-    after = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (4, "d", 4.0), (5, None, 5.0)], "id int, v string, x double")
+    schema = "id int, v string, x double"
+    before = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (5, None, 5.0)], schema)
+    after = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (4, "d", 4.0), (5, None, 5.0)], schema)
     changes = merge.change_rows(before, after, ["id"])
     assert rows(changes, "id", "_change_type") == [
         (2, "update_postimage"), (2, "update_preimage"), (3, "delete"), (4, "insert")]

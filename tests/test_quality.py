@@ -133,7 +133,8 @@ def test_service_writes_only_if_all_passed(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(data)
 
     other = str(tmp_path / "never")
-    failed = run_quality(spark, config(tmp_path, output_path=other, checks=[{"type": "range", "column": "id", "max": 3}]))
+    small = [{"type": "range", "column": "id", "max": 3}]
+    failed = run_quality(spark, config(tmp_path, output_path=other, checks=small))
     assert not failed["all_passed"] and failed["checks"][0]["bad"] == 6
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("gone", T.StringType())])
     (tmp_path / "schema.json").write_text(json.dumps(schema.jsonValue(), indent=1))
