@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.predicates import blank, not_matching, true_only
+from lakeops.functions.predicates import blank, not_matching
 
 # What a rule says when it leaves a field out.
 RULE_DEFAULTS = {
@@ -34,17 +34,15 @@ def _said(rule: Mapping, field: str) -> str:
 
 
 def failing(rule: Mapping) -> Column | None:
-    """True for the rows that break the rule, never null; None if the type is unknown."""
+    """True for the rows that break the rule, false or null for others; None if the type is unknown."""
     kind = rule.get("type")
     if kind == "not_null_or_blank":
-        condition = blank(F.col(rule["column"]))
-    elif kind == "pattern":
-        condition = not_matching(F.col(rule["column"]), rule["pattern"], rule.get("null_fails", False))
-    elif kind == "custom_sql":
-        condition = F.expr(rule["expression"])
-    else:
-        return None
-    return true_only(condition)
+        return blank(F.col(rule["column"]))
+    if kind == "pattern":
+        return not_matching(F.col(rule["column"]), rule["pattern"], rule.get("null_fails", False))
+    if kind == "custom_sql":
+        return F.expr(rule["expression"])
+    return None
 
 
 def rule_rejects(df: DataFrame, rules: Sequence[Mapping], job: str, at: str) -> DataFrame:

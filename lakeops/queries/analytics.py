@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeops.functions.change import as_percent_text
 from lakeops.operators import dedup, ranking, relational, sequences, windows
 from lakeops.operators.skew import lookup_join, salted_join
 from lakeops.queries.registry import query, table
@@ -112,6 +113,29 @@ def lag_lead_gap(spark, sf):
     return gaps.withColumn("gap_pct", F.round("gap_pct", 4))
 
 
+@query(
+    "gap_text",
+    """
+    WITH yearly AS (
+      SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS order_year, round(sum(o_totalprice), 2) AS revenue
+      FROM orders GROUP BY ALL
+    )
+    SELECT o_orderstatus, order_year,
+           CAST(round((revenue - lag(revenue) OVER w) / revenue * 100, 2) AS VARCHAR) || '%' AS revenue_gap
+    FROM yearly WINDOW w AS (PARTITION BY o_orderstatus ORDER BY order_year)
+    """,
+)
+def gap_text(spark, sf):
+    """The change from the year before as text; none in the first year."""
+    yearly = (
+        table(spark, sf, "orders")
+        .groupBy("o_orderstatus", F.year("o_orderdate").alias("order_year"))
+        .agg(F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+    )
+    gaps = windows.period_gap(yearly, "order_year", "revenue", ["o_orderstatus"], bounded=True)
+    return gaps.select("o_orderstatus", "order_year", as_percent_text(F.col("gap_pct"), 2).alias("revenue_gap"))
+
+
 @query(
     "lag_lead_rows",
     """
