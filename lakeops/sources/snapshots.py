@@ -28,7 +28,7 @@ from lakeops.sources.readers import input_bytes, partitions_for
 
 LOG_SCHEMA = (
     "commit_ts timestamp, operation string, row_count bigint, parts array<struct<id: string, rows: bigint>>, "
-    "schema_json string, partition_by array<string>, version bigint"
+    "schema_json string, partition_by array<string>, tag string, version bigint"
 )
 PART = "snapshot_part"
 
@@ -97,9 +97,15 @@ class VersionedTable:
 
     # Commits
 
-    def overwrite(self, df: DataFrame, operation: str = "WRITE", partition_by: Sequence[str] = ()) -> int:
+    def overwrite(
+        self, df: DataFrame, operation: str = "WRITE", partition_by: Sequence[str] = (), tag: str | None = None
+    ) -> int:
         part = self._write_part(df, partition_by)
-        return self._commit(self._entry(F.lit(True)), operation, [part], df.schema, partition_by)
+        return self._commit(self._entry(F.lit(True)), operation, [part], df.schema, partition_by, tag)
+
+    def has_commit(self, tag: str) -> bool:
+        """Whether a commit with this tag was made, so that a repeated job can leave it at that."""
+        return self._entry(F.col("tag") == tag) is not None
 
     def append(self, df: DataFrame, merge_schema: bool = False) -> int:
         """Add rows; with ``merge_schema`` new columns join the table and are null in older rows."""
@@ -119,7 +125,7 @@ class VersionedTable:
         part = self._write_part(rows, entry["partition_by"])
         return self._commit(entry, "APPEND", [*entry["parts"], part], schema)
 
-    def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
+    def merge(self, source: DataFrame, keys: Sequence[str], tag: str | None = None) -> int:
         """Update the rows whose key is in the source and add the others; parts without such rows stay.
 
         The source is used several times, so it is worked out once and written first.
@@ -128,7 +134,7 @@ class VersionedTable:
         source = materialize(source, "merge-source")
         wanted = source.where(all_present(keys)).select(*keys)
         hit = lookup_join(self._parts(entry, entry["parts"]).select(*keys, PART), wanted, keys, "left_semi")
-        return self._rewrite("MERGE", entry, hit, lambda rows: merge_upsert(rows, source, keys, stored=True))
+        return self._rewrite("MERGE", entry, hit, lambda rows: merge_upsert(rows, source, keys, stored=True), tag)
 
     def update(self, condition: Column, values: Mapping[str, Column]) -> int:
         entry = self._version_entry()
@@ -140,7 +146,7 @@ class VersionedTable:
         hit = self._parts(entry, entry["parts"]).where(condition)
         return self._rewrite("DELETE", entry, hit, lambda rows: delete_where(rows, condition))
 
-    def _rewrite(self, operation: str, entry, hit: DataFrame, change) -> int:
+    def _rewrite(self, operation: str, entry, hit: DataFrame, change, tag: str | None = None) -> int:
         """Replace the parts that ``hit`` rows are in by their changed rows."""
         found = {row[PART] for row in hit.select(PART).distinct().collect()}
         old = [part for part in entry["parts"] if part["id"] in found]
@@ -148,7 +154,7 @@ class VersionedTable:
         if not old and operation != "MERGE":
             return self._commit(entry, operation, kept, _schema(entry))
         part = self._write_part(change(self._parts(entry, old).drop(PART)), entry["partition_by"])
-        return self._commit(entry, operation, [*kept, part], _schema(entry))
+        return self._commit(entry, operation, [*kept, part], _schema(entry), tag=tag)
 
     def drop_columns(self, *names: str) -> int:
         """Leave columns out of the table from now on; no file is rewritten."""
@@ -190,14 +196,22 @@ class VersionedTable:
         counted.write.partitionBy(*partition_by).parquet(self._folder(part))
         return part, seen.get["rows"]
 
-    def _commit(self, last, operation: str, parts: Sequence, schema: T.StructType, partition_by=None) -> int:
+    def _commit(
+        self,
+        last,
+        operation: str,
+        parts: Sequence,
+        schema: T.StructType,
+        partition_by: Sequence[str] | None = None,
+        tag: str | None = None,
+    ) -> int:
         """Add the log row that follows ``last``; partitioning stays as it was unless given."""
         version = 0 if last is None else last["version"] + 1
         if partition_by is None:
             partition_by = last["partition_by"]
         listed = [tuple(part) for part in parts]
         rows = sum(count for _, count in listed)
-        row = (datetime.now(timezone.utc), operation, rows, listed, schema.json(), list(partition_by), version)
+        row = (datetime.now(timezone.utc), operation, rows, listed, schema.json(), list(partition_by), tag, version)
         log = self.spark.createDataFrame([row], LOG_SCHEMA).drop("version").coalesce(1)
         log.write.mode("errorifexists").parquet(f"{self.root}/log/version={version}")
         return version

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeops.operators.merge import require_unique
 from lakeops.session import path_exists
 from lakeops.sources.snapshots import VersionedTable
 
@@ -63,14 +64,21 @@ def drain_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
     return _finish(query)
 
 
-def upsert_into(table: VersionedTable, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """Batch handler that merges into a versioned table. Merging a batch twice leaves the same rows."""
+def upsert_into(table: VersionedTable, keys: list[str], stream: str = "stream") -> Callable[[DataFrame, int], None]:
+    """Batch handler that merges into a versioned table.
 
-    def handle(batch: DataFrame, _number: int) -> None:
+    The commit carries the stream's name and the batch number, so a batch handed over again is left out.
+    """
+
+    def handle(batch: DataFrame, number: int) -> None:
+        tag = f"{stream}:{number}"
+        if table.has_commit(tag):
+            return
         if table.current_version() is None:
-            table.overwrite(batch)
+            require_unique(batch, keys)
+            table.overwrite(batch, tag=tag)
         else:
-            table.merge(batch, keys)
+            table.merge(batch, keys, tag=tag)
 
     return handle
 

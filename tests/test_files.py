@@ -145,6 +145,9 @@ def test_stream_upsert(spark, tmp_path, rows):
         file_stream.drain_batches(stream, str(tmp_path / "checkpoint"), file_stream.upsert_into(versions, ["id"]))
     assert rows(versions.read()) == [(1, "a"), (2, "B"), (3, "c")]
     assert versions.current_version() == 1
+    # A batch that comes again, as after a crash, changes nothing.
+    file_stream.upsert_into(versions, ["id"])(spark.createDataFrame([(1, "z")], "id int, v string"), 1)
+    assert versions.current_version() == 1
 
 
 def test_a_frequent_value_is_clustered_into_many_files(spark, tmp_path):
