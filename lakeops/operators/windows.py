@@ -20,22 +20,43 @@ ROWS_IN_ONE_TASK = -1  # chunk number of groups that need no cutting
 
 def _marks(df: DataFrame, order: str, keys: Sequence[str], hot: dict[int, float]) -> list[tuple]:
     """Cutting points of every hot group, as arrays of arrays of about equal length."""
+    points = df.select(_group(keys).alias("_group"), F.col(order).alias("_mark"))
+    points = points.where(F.col("_group").isin(list(hot)) & F.col("_mark").isNotNull())
     tasks = parallelism(df.sparkSession)
-    pieces = max(2, math.ceil(max(hot.values()) * tasks))
-    points = df.select(_group(keys).alias("_group"), F.col(order).alias("_marks"))
-    points = points.where(F.col("_group").isin(list(hot)))
+    countable = isinstance(df.schema[order].dataType, (T.NumericType, T.DatetimeType))
+    found = _quantile_marks(points, hot, tasks) if countable else _range_marks(points, tasks)
     cuts = []
-    for row in cutting_points(points, ["_marks"], pieces, by=["_group"]).collect():
-        # A smaller group takes every n-th point only.
-        wanted = max(2, math.ceil(hot[row["_group"]] * tasks))
-        every = max(1, pieces // wanted)
-        marks = sorted({mark for mark in (row["_marks"] or [])[every - 1 :: every] if mark is not None})
+    for group, values in found.items():
+        # Not a number is above all others, and so in the last chunk without a mark of its own.
+        marks = sorted({mark for mark in values if mark == mark})
         length = max(1, math.isqrt(len(marks)))
         if marks:
-            cuts.append((row["_group"], [marks[i : i + length] for i in range(0, len(marks), length)]))
+            cuts.append((group, [marks[i : i + length] for i in range(0, len(marks), length)]))
     return cuts
 
 
+def _quantile_marks(points: DataFrame, hot: dict[int, float], tasks: int) -> dict[int, list]:
+    pieces = max(2, math.ceil(max(hot.values()) * tasks))
+    found = {}
+    for row in cutting_points(points, ["_mark"], pieces, by=["_group"]).collect():
+        # A smaller group takes every n-th point only.
+        wanted = max(2, math.ceil(hot[row["_group"]] * tasks))
+        every = max(1, pieces // wanted)
+        found[row["_group"]] = row["_mark"][every - 1 :: every]
+    return found
+
+
+def _range_marks(points: DataFrame, tasks: int) -> dict[int, list]:
+    """For texts, which have no quantiles: the first value of each range of a range partitioning."""
+    ranges = points.repartitionByRange(max(2, tasks), "_group", "_mark")
+    starts = ranges.groupBy("_group", F.spark_partition_id().alias("_range")).agg(F.min("_mark").alias("_mark"))
+    found: dict[int, list] = {}
+    for row in starts.collect():
+        found.setdefault(row["_group"], []).append(row["_mark"])
+    # What lies before the second range is the first chunk.
+    return {group: sorted(marks)[1:] for group, marks in found.items()}
+
+
 def _group(keys: Sequence[str]) -> Column:
     return group_hash(keys) if keys else F.lit(0).cast("bigint")
 
@@ -45,8 +66,7 @@ def order_chunks(
 ) -> DataFrame:
     """Add ``_chunk``, which rises with ``order`` inside each hot key group and is -1 in the others.
 
-    Without ``keys`` all rows are one group. ``order`` must be a number, date or timestamp; equal values
-    share a chunk.
+    Without ``keys`` all rows are one group. Equal values of ``order`` share a chunk.
     """
     if not keys:
         hot = {0: 1.0}

@@ -116,6 +116,26 @@ def test_cut_lag_and_lead_equal_whole(spark, rows, skewed, keys):
     assert rows(cut) == rows(whole)
 
 
+def test_texts_can_be_the_order(spark, rows, skewed):
+    data = skewed.withColumn("month", F.format_string("m%05d", "place"))
+    window = Window.partitionBy("key").orderBy("month")
+    whole = data.withColumns({"previous": F.lag("value").over(window), "following": F.lead("value").over(window)})
+    chunked = windows.order_chunks(data, "month", ["key"])
+    assert chunked.where("key = 'hot'").select("_chunk").distinct().count() >= 2
+    assert rows(windows.lag_lead(data, "month", "value", ["key"])) == rows(whole)
+
+
+def test_not_a_number_orders_last(spark, rows):
+    data = spark.range(500).select(
+        F.when(F.col("id") == 250, float("nan")).otherwise(F.col("id").cast("double")).alias("place"),
+        F.col("id").alias("value"),
+    )
+    window = Window.orderBy("place")
+    got = windows.lag_lead(data, "place", "value").select("value", "previous", "following")
+    whole = data.select("value", F.lag("value").over(window), F.lead("value").over(window))
+    assert rows(got) == rows(whole)
+
+
 def test_rows_are_carried_over_chunks_shorter_than_the_frame(spark, rows):
     few = spark.range(5).select(F.col("id").alias("place"), F.col("id").cast("double").alias("value"))
     window = Window.orderBy("place").rowsBetween(-3, 0)
