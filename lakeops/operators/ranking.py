@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import hot_groups, lookup_join
+from lakeops.operators.skew import hot_groups, lookup_join, salted_join
 from lakeops.operators.windows import order_chunks
 from lakeops.session import materialize, parallelism
 
@@ -65,10 +65,10 @@ def rank_within(
         Window.partitionBy(*keys, "_chunk").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
     inside = chunked.withColumn("_before", F.coalesce(F.sum("_rows").over(higher_values), F.lit(0)))
-    ranks = lookup_join(inside, above, [*keys, "_chunk"], "inner", null_safe=True).select(
+    ranks = salted_join(inside, above, [*keys, "_chunk"], "inner", hot={}, null_safe=True).select(
         *keys, value, (F.col("_above") + F.col("_before") + 1).cast("int").alias(name)
     )
-    return lookup_join(df, ranks, [*keys, value], "inner", null_safe=True)
+    return lookup_join(df, materialize(ranks, "ranks"), [*keys, value], "inner", null_safe=True)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.ranking import latest_per_key
-from lakeops.session import path_exists
+from lakeops.session import one_row, path_exists
 from lakeops.sources.snapshots import VersionedTable
 
 # Columns of an audit row.
@@ -42,10 +42,17 @@ class AuditLog:
         status: str,
         rolled_back_to: int | None = None,
     ) -> None:
-        flag = "N" if rolled_back_to is None else "Y"
-        now = datetime.now(timezone.utc)
-        row = (batch_id, now, source_path, record_count, version, status, flag, rolled_back_to)
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        row = {
+            "batch_id": batch_id,
+            "timestamp": datetime.now(timezone.utc),
+            "source_path": source_path,
+            "record_count": record_count,
+            "delta_table_version": version,
+            "status": status,
+            "rollback_flag": "N" if rolled_back_to is None else "Y",
+            "rollback_table_version": rolled_back_to,
+        }
+        one_row(self.spark, row, AUDIT_SCHEMA).write.mode("append").parquet(self.path)
 
     def states(self) -> DataFrame:
         """The newest row of every batch."""

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.sources.sinks import append_record
+
 # The control table's type names; any other name means string.
 CONTROL_TYPES = {"STRING": T.StringType(), "FLOAT": T.FloatType(), "TIMESTAMP": T.TimestampType()}
 
@@ -83,9 +85,14 @@ def log_issues(
     errors: dict[str, list[str]] = {}
     for issue, column, *_ in issues:
         errors.setdefault(issue, []).append(column)
-    now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    record = ((job, now, user, cluster), {issue: sorted(columns) for issue, columns in errors.items()})
-    spark.createDataFrame([record], ERROR_LOG_SCHEMA).coalesce(1).write.mode("append").json(log_path)
+    metadata = {
+        "notebook_path": job,
+        "timestamp_utc": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
+        "user": user,
+        "cluster_id": cluster,
+    }
+    record = {"metadata": metadata, "errors": {issue: sorted(columns) for issue, columns in errors.items()}}
+    append_record(spark, record, ERROR_LOG_SCHEMA, log_path)
 
 
 def error_report(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -63,6 +66,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_row(spark: SparkSession, values: Mapping, schema: str) -> DataFrame:
+    """A row made by Spark itself from plain values, such as a log entry; fields left out are null."""
+    text = json.dumps(values, default=lambda value: value.isoformat())
+    row = F.from_json(F.lit(text), schema, {"mode": "FAILFAST"}).alias("row")
+    return spark.range(0, 1, 1, 1).select(row).select("row.*")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists in whatever file system it belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

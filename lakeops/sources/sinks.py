@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.session import one_row
 from lakeops.sources.layout import in_files
 from lakeops.sources.readers import CORRUPT, input_bytes, partitions_for
 
@@ -54,4 +55,4 @@ def split_corrupt(parsed: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
 
 def append_record(spark: SparkSession, record: Mapping, schema: str, path: str) -> None:
     """Append one JSON line to a dataset of records."""
-    spark.createDataFrame([record], schema).coalesce(1).write.mode("append").json(path)
+    one_row(spark, record, schema).write.mode("append").json(path)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from lakeops.functions.predicates import all_present
 from lakeops.operators.merge import change_rows, delete_where, merge_upsert, require_unique, update_where
 from lakeops.operators.skew import lookup_join
-from lakeops.session import materialize, path_exists
+from lakeops.session import materialize, one_row, path_exists
 from lakeops.sources.layout import in_files
 from lakeops.sources.readers import input_bytes, partitions_for
 
@@ -209,10 +209,17 @@ class VersionedTable:
         version = 0 if last is None else last["version"] + 1
         if partition_by is None:
             partition_by = last["partition_by"]
-        listed = [tuple(part) for part in parts]
-        rows = sum(count for _, count in listed)
-        row = (datetime.now(timezone.utc), operation, rows, listed, schema.json(), list(partition_by), tag, version)
-        log = self.spark.createDataFrame([row], LOG_SCHEMA).drop("version").coalesce(1)
+        listed = [{"id": part, "rows": rows} for part, rows in parts]
+        entry = {
+            "commit_ts": datetime.now(timezone.utc),
+            "operation": operation,
+            "row_count": sum(part["rows"] for part in listed),
+            "parts": listed,
+            "schema_json": schema.json(),
+            "partition_by": list(partition_by),
+            "tag": tag,
+        }
+        log = one_row(self.spark, entry, LOG_SCHEMA).drop("version")
         log.write.mode("errorifexists").parquet(f"{self.root}/log/version={version}")
         return version
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.operators.merge import require_unique
-from lakeops.session import path_exists
+from lakeops.session import one_row, path_exists
 from lakeops.sources.snapshots import VersionedTable
 
 
@@ -20,8 +20,7 @@ def stream_schema(spark: SparkSession, source: str, schema_path: str, format: st
         saved = spark.read.text(schema_path).first()
         return T.StructType.fromJson(json.loads(saved["value"]))
     schema = spark.read.format(format).load(source).schema
-    text = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-    text.write.mode("overwrite").text(schema_path)
+    one_row(spark, {"value": schema.json()}, "value string").write.mode("overwrite").text(schema_path)
     return schema
 
 
