@@ -114,3 +114,17 @@ def test_present_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert relational.present_columns(df, ["b", "c"]).columns == ["b"]
     assert relational.present_columns(df, ["b", "c"], add_missing=True).columns == ["b", "c"]
+
+
+def test_lookups_too_large_to_broadcast(sides, rows, monkeypatch):
+    left, right = sides
+    lookup = right.drop("part").dropDuplicates(["key"])
+    parts = right.select("part", "value").dropDuplicates(["part"]).withColumnRenamed("value", "word")
+    plain = left.join(lookup, ["key"], "left").join(parts, ["part"], "left")
+    assert rows(relational.enrich(left, (lookup, "key"), (parts, "part")), "id", "part") == rows(plain, "id", "part")
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
+    salted = relational.enrich(left, (lookup, "key"), (parts, "part"))
+    assert salted.columns == plain.columns
+    assert rows(salted, "id", "part") == rows(plain, "id", "part")
+    anti = skew.lookup_join(left, lookup, ["key"], "left_anti")
+    assert rows(anti) == rows(left.join(lookup, ["key"], "left_anti"))
