@@ -231,7 +231,10 @@ class VersionedTable:
         Two versions are compared only in the parts they do not share.
         """
         log = {row["version"]: row for row in self._log().where(F.col("version") >= start - 1).collect()}
-        end = max(log) if end is None else end
+        end = max(log, default=-1) if end is None else end
+        unknown = [version for version in (start, end) if version not in log]
+        if unknown or start > end:
+            raise ValueError(f"{self.root} has no versions from {start} to {end}")
         feeds = []
         for version in range(start, end + 1):
             entry, last = log[version], log.get(version - 1)

@@ -69,6 +69,10 @@ def test_change_feed(versions, rows):
     ]
     versions.restore(3)
     assert versions.change_feed(["id"], start=4).count() == 0
+    assert rows(versions.change_feed(["id"], 1, 1), "id") == [(4,)]
+    for start, end in ((5, None), (2, 7), (3, 2)):
+        with pytest.raises(ValueError):
+            versions.change_feed(["id"], start, end)
 
 
 def test_appended_columns_are_null_in_older_rows(spark, versions, rows):
