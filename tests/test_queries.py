@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lakeops.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -29,10 +30,10 @@ def canonical(table):
     return names, sorted(map(repr, zip(*[table.column(n).to_pylist() for n in names])))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    got = canonical(queries()[name](spark, SF).toArrow())
-    assert got == canonical(duck.execute(oracle_sql()[name]).to_arrow_table())
+    got = canonical(QUERIES[name](spark, SF).toArrow())
+    assert got == canonical(duck.execute(ORACLES[name]).to_arrow_table())
 
 
 def test_entry(spark):
