@@ -12,8 +12,8 @@ _CUTOFFS = ", ".join(map(str, RULES.cutoffs))
 SQL = rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines
+  SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines
   FROM d
 ),
 words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
@@ -58,7 +58,7 @@ tests AS (
   FROM marked, (SELECT unnest([{_CUTOFFS}])::DOUBLE AS cutoff) c GROUP BY lang, c.cutoff
 ),
 passed AS (
-  SELECT *, list_sum(list_transform(range(0, k + 1), i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+  SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
            + i * ln({RULES.risk}) + (n - i) * ln(1 - {RULES.risk}))))
            <= {RULES.delta} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM marked)) AS ok,
          caught / nullif(n_bad, 0)::DOUBLE - k / nullif(n, 0)::DOUBLE AS gain
