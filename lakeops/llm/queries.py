@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeops.llm import quality_queries  # noqa: F401 - registers its query
+from lakeops.llm import chat_queries, glob_queries, quality_queries  # noqa: F401 - they register their queries
 from lakeops.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
