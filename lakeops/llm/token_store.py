@@ -1,7 +1,7 @@
 """Token ids in shard files with a minimal perfect hash index.
 
-Documents are sorted by key over range partitions. A shard is two files: the raw ids (little-endian unsigned 32-bit, one
-document after another) and an index. The index maps a key to a slot of its own by levels of bits: a key sits on the
+Documents are sorted by key over range partitions. A shard is two files: the raw ids (little-endian unsigned, 16 bits
+where the vocabulary allows, else 32; one document after another) and an index. The index maps a key to a slot of its own by levels of bits: a key sits on the
 first level where no other key shares its bit, and its slot is the number of bits set before it. A slot holds a
 fingerprint, which tells unknown keys, and the first row of the key; offsets of rows lead to the ids. Repeated keys share
 a slot, as their rows are neighbours. A manifest, one row per shard, gives files, first and last key and sizes.
@@ -89,7 +89,7 @@ class PerfectHash:
         return out
 
 
-def write_index(keys: np.ndarray, lengths: np.ndarray, null_docs: int) -> bytes:
+def write_index(keys: np.ndarray, lengths: np.ndarray, null_docs: int, width: int) -> bytes:
     """The index of a shard: ``lengths`` of all rows in order, ``keys`` (ascending) of those behind the null keys."""
     different, first = np.unique(keys, return_index=True)
     hashed = PerfectHash.build(different.view(np.uint64))
@@ -102,6 +102,7 @@ def write_index(keys: np.ndarray, lengths: np.ndarray, null_docs: int) -> bytes:
         offsets=np.concatenate([[0], np.cumsum(lengths)]).astype("<u8"),
         keys=keys.astype("<i8"),
         null_docs=np.array([null_docs]),
+        width=np.array([width]),
         fingerprints=prints,
         rows=rows,
         sizes=np.array(hashed.sizes, "<u8"),
@@ -121,6 +122,7 @@ class Shard:
         sizes = [int(s) for s in data["sizes"]]
         cuts = np.cumsum([-(-s // 64) for s in sizes])[:-1] if sizes else []
         self.hashed = PerfectHash(np.split(data["words"], cuts) if sizes else [], sizes)
+        self.kind = np.dtype(f"<u{int(data['width'][0])}")
         self.file = range_reader(ids_file)
 
     def first_rows(self, keys: np.ndarray) -> np.ndarray:
@@ -143,8 +145,12 @@ class Shard:
         return out
 
     def row(self, row: int) -> np.ndarray:
-        start, end = int(self.offsets[row]), int(self.offsets[row + 1])
-        return np.frombuffer(self.file.read_at(4 * (end - start), 4 * start), "<u4")
+        return self.ids(int(self.offsets[row]), int(self.offsets[row + 1]))
+
+    def ids(self, start: int, end: int) -> np.ndarray:
+        """The ids between two offsets."""
+        width = self.kind.itemsize
+        return np.frombuffer(self.file.read_at(width * (end - start), width * start), self.kind).astype("<u4")
 
 
 def write_store(
@@ -159,15 +165,15 @@ def write_store(
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     order = [F.col("k").asc_nulls_first(), F.xxhash64("t")]
     shards = rows.repartitionByRange(parallelism(spark), *order).sortWithinPartitions(*order)
-    end = end_id.to_bytes(4, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, keys, lengths, ids_file = piece_ids(tokenizer), [], [], new_file(folder, ".ids")
-        stream = None
+        width = 2 if max(end_id, len(encoder.ends) - 1) < 1 << 16 else 4
+        end, stream = end_id.to_bytes(width, "little"), None
         for some, texts in _chunks(batches):
             stream = stream or created(ids_file)
             for ids in encoder.encode(texts):
-                stream.write(ids + end)
+                stream.write(np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() + end)
                 lengths.append(len(ids) // 4 + 1)
             keys.append(some)
         if stream is None:
@@ -178,7 +184,7 @@ def write_store(
         nulls = column.null_count
         index_file = ids_file.removesuffix(".ids") + ".idx"
         with created(index_file) as out:
-            out.write(write_index(known, np.array(lengths, np.int64), nulls))
+            out.write(write_index(known, np.array(lengths, np.int64), nulls, width))
         row = [ids_file, index_file, *((int(known[0]), int(known[-1])) if len(known) else (None, None))]
         row += [TaskContext.get().partitionId(), len(lengths), sum(lengths), nulls]
         types = [pa.string(), pa.string(), *[pa.int64()] * 6]
@@ -224,7 +230,7 @@ def _shard_rows(shard: Shard, base: int) -> Iterator[pa.RecordBatch]:
     while at < len(rows):
         # Neighbouring documents are read together.
         stop = max(at + 1, int(np.searchsorted(ends, starts[at] + READ_BYTES // 4)))
-        data = memoryview(shard.file.read_at(4 * int(ends[stop - 1] - starts[at]), 4 * int(starts[at])))
+        data = memoryview(shard.ids(int(starts[at]), int(ends[stop - 1])).tobytes())
         cuts = zip(((starts[at:stop] - starts[at]) * 4).tolist(), ((ends[at:stop] - starts[at]) * 4).tolist())
         crcs = [zlib.crc32(data[a:b]) for a, b in cuts]
         keys = [shard.keys[r - nulls].item() if r >= nulls else None for r in rows[at:stop].tolist()]
