@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeops.llm import chat_queries, decontaminate_queries, glob_queries, quality_queries, token_queries, toxicity_queries  # noqa: F401 - they register their queries
+from lakeops.llm import chat_queries, decontaminate_queries, glob_queries, quality_queries, token_queries, toxicity_queries, warc_queries  # noqa: F401 - they register their queries
 from lakeops.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
