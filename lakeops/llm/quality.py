@@ -249,13 +249,17 @@ def quality_report(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -
 def keep_good(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns and no others.
 
-    Texts are measured twice, once for the cutoffs and once for the verdict, instead of being shuffled for a join.
+    Texts are measured twice, once for the cutoffs and once for the verdict, instead of being shuffled for a join. The
+    row number keeps the filter above the counting; pushed below it, Spark would copy the counts into the filter.
     """
-    counts = free_name(docs, "_counts")
+    counts, number = free_name(docs, "_counts"), free_name(docs, "_number")
     failed, kept = free_name(docs, "_failed"), free_name(docs, "_kept")
-    for_cutoffs = measured(docs.select("doc_id", "lang", "text"), "text", counts).drop("text")
+    for_cutoffs = materialize(
+        measured(docs.select("doc_id", "lang", "text"), "text", "counts").drop("text"), "quality-counts"
+    )
     cutoffs = materialize(
-        certified_cutoffs(_labelled(for_cutoffs, labels, "doc_id", "lang", counts, rules), rules), "quality-cutoffs"
+        certified_cutoffs(_labelled(for_cutoffs, labels, "doc_id", "lang", "counts", rules), rules), "quality-cutoffs"
     )
-    judged = with_verdict(measured(docs, "text", counts), counts, "lang", cutoffs, rules, failed, kept)
-    return judged.filter(F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = measured(docs, "text", counts).withColumn(number, F.monotonically_increasing_id())
+    judged = with_verdict(numbered, counts, "lang", cutoffs, rules, failed, kept)
+    return judged.filter(F.col(kept) & (F.col(number) >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
