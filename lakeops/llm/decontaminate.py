@@ -72,7 +72,9 @@ class Scanner:
             # Bytes are handed over as Latin-1, so that ends are byte offsets.
             word = f" {window} ".encode().decode("latin-1")
             self.automaton.add_word(word, (len(word) - 2, items))
-        self.automaton.make_automaton()
+        self.empty = not patterns
+        if patterns:
+            self.automaton.make_automaton()
 
     def scan(self, text: bytes) -> tuple[int, int, list[tuple[int, int]], set[str]]:
         """How many words the text has and how many are hit, the byte spans of hit passages, and the items found.
@@ -81,6 +83,8 @@ class Scanner:
         """
         folded = text.translate(FOLD)
         words = folded.split()
+        if self.empty or not words:
+            return len(words), 0, [], set()
         joined = b" " + b" ".join(words) + b" "
         found = [(end, *value) for end, value in self.automaton.iter(joined.decode("latin-1"))]
         if not found:
