@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.columns import free_name
 from lakeops.llm.components import components
 from lakeops.session import materialize, parallelism
 
@@ -373,10 +374,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.max("stays").alias("stays"), F.count_if(~F.col("stays")).alias("go"), F.count("*").alias("n")
     )
     pairs = materialize(pairs.filter("go > 0"), "row-verdicts")
-    go = _small(pairs.filter(~F.col("stays")).select("key", "text_hash"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("key")) & (F.xxhash64(F.col("text")) == F.col("text_hash"))
+    key, hashed = free_name(docs, "_key"), free_name(docs, "_hash")
+    named = [F.col("key").alias(key), F.col("text_hash").alias(hashed)]
+    go = _small(pairs.filter(~F.col("stays")).select(*named))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(F.col("text")) == F.col(hashed))
     left = docs.join(go, same, "left_anti")
-    repeated = pairs.filter(F.col("stays") & (F.col("n") > 1)).select("key", "text_hash")
+    repeated = pairs.filter(F.col("stays") & (F.col("n") > 1)).select(*named)
     if repeated.isEmpty():
         return left
     repeated = _small(repeated)
