@@ -23,14 +23,12 @@ def rows_with_repeated_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def undirected_pairs(df: DataFrame, source: str, destination: str) -> DataFrame:
     """One row per pair, A-B being the same as B-A: the row with the smaller source.
 
-    Minimum and maximum are combined in every map task before the shuffle.
+    A missing end is an end like others and the smallest of all. The smaller row is found in every map task before the
+    shuffle.
     """
-    low, high = F.least(source, destination), F.greatest(source, destination)
+    ends = F.sort_array(F.array(source, destination))
     return (
-        df.groupBy(low.alias("_low"), high.alias("_high"))
-        .agg(F.min(source).alias("_source"))
-        .select(
-            F.col("_source").alias(source),
-            F.when(F.col("_source") == F.col("_low"), F.col("_high")).otherwise(F.col("_low")).alias(destination),
-        )
+        df.groupBy(ends[0].alias("_low"), ends[1].alias("_high"))
+        .agg(F.min(F.struct(F.col(source).alias("source"), F.col(destination).alias("destination"))).alias("_row"))
+        .select(F.col("_row.source").alias(source), F.col("_row.destination").alias(destination))
     )

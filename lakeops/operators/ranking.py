@@ -44,14 +44,15 @@ def rank_within(
     name: str = "rank",
     hot: dict[int, float] | None = None,
 ) -> DataFrame:
-    """``rank()`` of every row in its group, highest value first.
+    """``rank()`` of every row in its group, highest value first, as a bigint.
 
     When a group is too large for one task, ranks are worked out over its distinct values with their
     counts, cut into ranges of the value, and joined back to the rows.
     """
     hot = hot_groups(df, keys) if hot is None else hot
     if not hot:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(F.col(value).desc())))
+        place = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(value).desc()))
+        return df.withColumn(name, place.cast("bigint"))
     counts = materialize(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows")), "rank-values")
     chunked = order_chunks(counts, value, keys, hot)
     higher_chunks = Window.partitionBy(*keys).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -66,7 +67,7 @@ def rank_within(
     )
     inside = chunked.withColumn("_before", F.coalesce(F.sum("_rows").over(higher_values), F.lit(0)))
     ranks = salted_join(inside, above, [*keys, "_chunk"], "inner", hot={}, null_safe=True).select(
-        *keys, value, (F.col("_above") + F.col("_before") + 1).cast("int").alias(name)
+        *keys, value, (F.col("_above") + F.col("_before") + 1).cast("bigint").alias(name)
     )
     return lookup_join(df, materialize(ranks, "ranks"), [*keys, value], "inner", null_safe=True)
 

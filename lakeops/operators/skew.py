@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from lakeops.session import parallelism
 
 # No more than 1 / SMALLEST_SHARE groups can be hot, so the list of them always fits on the driver.
-SMALLEST_SHARE = 1 / 1000
-# The sketch's error (3.5 / 16384 of the rows) is below SMALLEST_SHARE, so no hot group is missed.
-SKETCH_ITEMS = 8192
+SMALLEST_SHARE = 1 / 100_000
+# The most that a sketch may track.
+SKETCH_ITEMS = 1_000_000
 # Sketches are merged in this many tasks first, then in one.
 MERGE_TASKS = 256
 
@@ -35,20 +35,25 @@ def hot_groups(df: DataFrame, keys: Sequence[str], share: float | None = None) -
     once and used as literals, so both sides of a join treat the same keys as hot even if tasks are redone.
     The default share is what one shuffle task should hold.
     """
-    share = max(SMALLEST_SHARE, share if share is not None else 1 / parallelism(df.sparkSession))
+    if share is None:
+        share = max(SMALLEST_SHARE, 1 / parallelism(df.sparkSession))
+    if share < SMALLEST_SHARE:
+        raise ValueError(f"a share below {SMALLEST_SHARE} cannot be told by a sketch")
+    # A sketch's error, 3.5 / 2 of a tracked item's part of the rows, stays below a quarter of the share.
+    items = min(SKETCH_ITEMS, max(8192, math.ceil(8 / share)))
     sketches = (
         df.select(group_hash(keys).alias("item"), F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS)).alias("task"))
         .groupBy("task")
         .agg(
-            F.expr(f"approx_top_k_accumulate(item, {SKETCH_ITEMS})").alias("sketch"),
+            F.expr(f"approx_top_k_accumulate(item, {items})").alias("sketch"),
             F.count(F.lit(1)).alias("rows"),
         )
     )
     top = (
         # Grouped by a constant, because no rows must give no group.
         sketches.groupBy(F.lit("all"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("rows").alias("rows"))
-        .selectExpr("rows", f"explode(approx_top_k_estimate(sketch, {math.ceil(1 / SMALLEST_SHARE)})) as top")
+        .agg(F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"), F.sum("rows").alias("rows"))
+        .selectExpr("rows", f"explode(approx_top_k_estimate(sketch, {math.ceil(1 / share)})) as top")
         .selectExpr("top.item as item", "top.count / rows as share")
         .where(F.col("share") > share)
     )

@@ -46,7 +46,7 @@ def bonus(spark, sf):
     "rank_two_keys",
     """
     SELECT o_orderkey, o_orderpriority, o_custkey, o_totalprice,
-           CAST(rank() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_totalprice DESC) AS INTEGER)
+           CAST(rank() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_totalprice DESC) AS BIGINT)
              AS price_rank
     FROM orders
     """,
@@ -60,7 +60,7 @@ def rank_two_keys(spark, sf):
     "rank_hot_groups",
     """
     SELECT l_orderkey, l_linenumber, l_linestatus, l_returnflag, l_quantity,
-           CAST(rank() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_quantity DESC) AS INTEGER)
+           CAST(rank() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_quantity DESC) AS BIGINT)
              AS quantity_rank
     FROM lineitem
     """,
@@ -172,6 +172,48 @@ def yoy_change(spark, sf):
     )
 
 
+@query(
+    "yoy_equal_rows",
+    """
+    WITH yearly AS (
+      SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total
+      FROM lineitem GROUP BY ALL
+    )
+    SELECT ship_year, total, lag(total) OVER (ORDER BY ship_year) AS previous_total FROM yearly
+    """,
+)
+def yoy_equal_rows(spark, sf):
+    """Many lines of a year have the same quantity, and each of them counts."""
+    lines = table(spark, sf, "lineitem").select(
+        F.year("l_shipdate").alias("ship_year"), F.col("l_quantity").cast("bigint").alias("quantity")
+    )
+    return windows.year_over_year(lines, "ship_year", F.col("quantity")).drop("change_pct")
+
+
+@query(
+    "pair_dedup_missing_ends",
+    """
+    WITH pairs AS (
+      SELECT nullif(o_custkey % 7, 3) AS source, nullif(o_orderkey % 5, 2) AS destination FROM orders
+    )
+    SELECT source, destination FROM (
+      SELECT source, destination, row_number() OVER (
+        PARTITION BY least(coalesce(source, -1), coalesce(destination, -1)),
+                     greatest(coalesce(source, -1), coalesce(destination, -1))
+        ORDER BY coalesce(source, -1)) AS place
+      FROM pairs
+    ) WHERE place = 1
+    """,
+)
+def pair_dedup_missing_ends(spark, sf):
+    """Pairs of which either end, or both, may be missing."""
+    pairs = table(spark, sf, "orders").select(
+        F.nullif(F.col("o_custkey") % 7, F.lit(3)).alias("source"),
+        F.nullif(F.col("o_orderkey") % 5, F.lit(2)).alias("destination"),
+    )
+    return dedup.undirected_pairs(pairs, "source", "destination")
+
+
 @query(
     "moving_avg",
     """

@@ -112,7 +112,8 @@ def stream_ingest(spark, sf):
     base = work_dir(spark, "stream")
     events = table(spark, sf, "events")
     landed, sink, checkpoint = f"{base}/landed", f"{base}/sink", f"{base}/checkpoint"
-    for arriving in ("event_type <> 'error'", "event_type = 'error'"):
+    is_error = F.coalesce(F.col("event_type") == "error", F.lit(False))
+    for arriving in (~is_error, is_error):
         events.where(arriving).write.mode("append").parquet(landed)
         schema = file_stream.stream_schema(spark, landed, f"{base}/schema")
         file_stream.drain(file_stream.file_stream(spark, landed, schema), sink, checkpoint)
@@ -133,7 +134,8 @@ def stream_upsert(spark, sf):
     versions = VersionedTable(spark, f"{base}/table")
     middle = events.agg((F.max("event_id") / 2).cast("bigint")).first()[0]
     keys = ["user_id", "event_type"]
-    for arriving in (F.col("event_id") <= middle, F.col("event_id") > middle):
+    early = F.coalesce(F.col("event_id") <= middle, F.lit(False))
+    for arriving in (early, ~early):
         newest = events.where(arriving).groupBy(*keys).agg(
             F.max("event_id").alias("event_id"), F.max_by("value", "event_id").alias("value")
         )
@@ -157,9 +159,11 @@ def compact(spark, sf):
     """Three appends of many small files, rewritten in files of the target size."""
     versions = VersionedTable(spark, work_dir(spark, "small-files"))
     lines = table(spark, sf, "lineitem")
-    for flag in ("A", "N", "R"):
+    # Any other flag, or none, is in the last part.
+    flag = F.coalesce("l_returnflag", F.lit(""))
+    for arriving in (flag == "A", flag == "N", ~flag.isin("A", "N")):
         versions.append(
-            lines.where(F.col("l_returnflag") == flag)
+            lines.where(arriving)
             .select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
             .repartition(parallelism(spark))
         )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -42,17 +41,18 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder given by ``spark.checkpoint.dir``.
+    """A new folder name under the shared folder given by ``spark.checkpoint.dir``, else under the warehouse.
 
-    Only a local session without that setting falls back to a folder on this machine.
+    All folders of an application lie in one, which is deleted when the application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="lakeops-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    home = f"{base.rstrip('/')}/lakeops/{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(home)
+    # It has to exist to be noted for deletion; noting it again changes nothing.
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -17,7 +17,9 @@ def in_files(df: DataFrame, files: int) -> DataFrame:
 
 def _along(df: DataFrame, curve: Sequence[str], files: int) -> DataFrame:
     """Range-partition and sort; rows that share a place are spread, so a frequent value fills many files."""
-    spread = F.xxhash64(F.spark_partition_id(), *df.columns)
+    # Maps have no hash; the partition and the other columns spread rows that differ in maps only.
+    hashed = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.xxhash64(F.spark_partition_id(), *hashed)
     placed = df.withColumn("_spread", spread).repartitionByRange(files, *curve, "_spread")
     return placed.drop("_spread").sortWithinPartitions(*curve)
 

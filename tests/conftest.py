@@ -9,14 +9,16 @@ from lakeops.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    home = tmp_path_factory.mktemp("spark")
     session = build_session(
         "tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
-            "spark.sql.warehouse.dir": "/tmp/lakeops-test-warehouse",
+            "spark.sql.warehouse.dir": f"file://{home}/warehouse",
+            "spark.checkpoint.dir": f"file://{home}/shared",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

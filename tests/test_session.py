@@ -1,7 +1,5 @@
 import uuid
 
-import pytest
-
 from lakeops.plans import quality_rules
 from lakeops.session import materialize, parallelism, path_exists, work_dir
 from lakeops.sources import sinks
@@ -14,20 +12,16 @@ def test_work_folders_are_new_and_under_the_shared_folder(spark):
     assert not path_exists(spark, first)
 
 
-def test_without_a_shared_folder_only_a_local_session_may_run(spark, monkeypatch):
-    class Context:
-        master = "spark://cluster:7077"
+def test_without_a_checkpoint_folder_the_warehouse_is_used(spark):
+    class Settings:
+        @staticmethod
+        def get(key, default=None):
+            return default if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
 
     class Session:
-        sparkContext = Context()
-
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return default
+        conf, sparkContext, _jvm, _jsc = Settings, spark.sparkContext, spark._jvm, spark._jsc
 
-    with pytest.raises(ValueError):
-        work_dir(Session(), "x")
+    assert work_dir(Session(), "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def test_materialize_keeps_rows_and_schema(spark, rows):

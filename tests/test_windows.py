@@ -68,8 +68,8 @@ def test_year_over_year_cleans_numbers_first(spark, rows):
     got = windows.year_over_year(demand, "year", number_from_text(F.col("total")))
     assert rows(got, "year", "total", "previous_total", "change_pct") == [
         ("2020", 1000.0, None, None),
-        ("2021", 1250.0, 1000.0, 25.0),
-        ("2022", 500.0, 1250.0, -60.0),
+        ("2021", 2500.0, 1000.0, 150.0),
+        ("2022", 500.0, 2500.0, -80.0),
     ]
 
 
