@@ -19,9 +19,9 @@ def test_corrupt_lines_are_quarantined_whole(spark, tmp_path, rows):
 
 
 def test_readers(spark, tmp_path, rows):
-    (tmp_path / "emp.csv").write_text("id,name,dept,sal\n1,ada,10,100\n2,bea,10,200\n")
-    staff = readers.read_csv(spark, str(tmp_path / "emp.csv"), "id string, name string, dept string, sal int")
-    assert rows(staff)[0] == ("1", "ada", "10", 100)
+    (tmp_path / "apples.csv").write_text("tag,orchard,grams\na1,hill,142\na2,,97\n")
+    apples = readers.read_csv(spark, str(tmp_path / "apples.csv"), "tag string, orchard string, grams int")
+    assert rows(apples) == [("a1", "hill", 142), ("a2", None, 97)]
     (tmp_path / "log_1.json").write_text('{"a": 1}\n')
     (tmp_path / "log_2.json").write_text('{"a": 2}\n')
     assert rows(readers.read_json(spark, str(tmp_path / "log_*.json"))) == [(1,), (2,)]

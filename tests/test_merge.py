@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import merge, skew
 
-DIM = [(1, "Alice", "100 Main St"), (2, "Bob", "200 Oak Ave"), (3, "Charlie", "300 Pine Rd")]
-UPDATES = [(1, "Alice", "123 Elm St"), (2, "Bob", "200 Oak Ave"), (4, "Dana", "400 Birch Blvd")]
-SCHEMA = "cust_id bigint, name string, address string"
-KEYS, TRACKED = ["cust_id"], ["name", "address"]
+#: Lamps by number: what they are called and where they hang. One moves, one stays, one is new.
+DIM = [(1, "arc", "hall"), (2, "beam", "attic"), (3, "coil", "yard")]
+UPDATES = [(1, "arc", "porch"), (2, "beam", "attic"), (4, "disc", "cellar")]
+SCHEMA = "lamp bigint, name string, place string"
+KEYS, TRACKED = ["lamp"], ["name", "place"]
 
 
 @pytest.fixture
@@ -45,14 +46,14 @@ def test_upsert_never_matches_missing_keys(spark, rows, any_join):
 
 def test_upsert_with_a_hot_target_key(spark, rows, any_join):
     target = spark.range(900).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("cust_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("lamp"),
         F.col("id").cast("string").alias("name"),
     )
-    source = spark.createDataFrame([(7, "seven"), (101, "one"), (5000, "new")], "cust_id bigint, name string")
+    source = spark.createDataFrame([(7, "seven"), (101, "one"), (5000, "new")], "lamp bigint, name string")
     merged = merge.merge_upsert(target, source, KEYS)
     assert merged.count() == 901
-    assert merged.where("cust_id = 7 and name = 'seven'").count() == 300
-    assert rows(merged.where("cust_id in (101, 5000)")) == [(101, "one"), (5000, "new")]
+    assert merged.where("lamp = 7 and name = 'seven'").count() == 300
+    assert rows(merged.where("lamp in (101, 5000)")) == [(101, "one"), (5000, "new")]
 
 
 def test_upsert_refuses_repeated_keys_and_missing_columns(dim, updates):
@@ -63,16 +64,16 @@ def test_upsert_refuses_repeated_keys_and_missing_columns(dim, updates):
 
 
 def test_scd1_keeps_rows_without_update(spark, dim, rows, any_join):
-    updates = spark.createDataFrame([(1, None, "123 Elm St"), *UPDATES[1:]], SCHEMA)
+    updates = spark.createDataFrame([(1, None, "porch"), *UPDATES[1:]], SCHEMA)
     assert rows(merge.scd1(dim, updates, KEYS)) == [UPDATES[0], DIM[1], DIM[2], UPDATES[2]]
 
 
 def test_scd2_history(spark, dim, updates, rows, any_join):
-    start, today = date(2023, 1, 1), date(2024, 6, 1)
+    start, today = date(2030, 3, 1), date(2031, 3, 1)
     history = merge.scd2_apply(merge.scd2_start(dim, start), updates, KEYS, TRACKED, today)
     assert rows(history) == sorted(
         [
-            (*DIM[0], start, date(2024, 5, 31), False),
+            (*DIM[0], start, date(2031, 2, 28), False),
             (*UPDATES[0], today, None, True),
             (*DIM[1], start, None, True),
             (*DIM[2], start, None, True),
@@ -81,22 +82,22 @@ def test_scd2_history(spark, dim, updates, rows, any_join):
         key=repr,
     )
     # A second change ends only the current version; the first one stays as it was.
-    again = spark.createDataFrame([(1, "Alice", None)], SCHEMA)
-    later = merge.scd2_apply(history, again, KEYS, TRACKED, date(2024, 7, 1))
-    assert rows(later.where("cust_id = 1"), "address", "end_date", "is_current") == sorted(
+    again = spark.createDataFrame([(1, "arc", None)], SCHEMA)
+    later = merge.scd2_apply(history, again, KEYS, TRACKED, date(2031, 4, 1))
+    assert rows(later.where("lamp = 1"), "place", "end_date", "is_current") == sorted(
         [
-            ("100 Main St", date(2024, 5, 31), False),
-            ("123 Elm St", date(2024, 6, 30), False),
+            ("hall", date(2031, 2, 28), False),
+            ("porch", date(2031, 3, 31), False),
             (None, None, True),
         ],
         key=repr,
     )
     # Nothing changed, nothing happens.
-    assert rows(merge.scd2_apply(later, again, KEYS, TRACKED, date(2024, 8, 1))) == rows(later)
+    assert rows(merge.scd2_apply(later, again, KEYS, TRACKED, date(2031, 5, 1))) == rows(later)
 
 
 def test_scd2_changes(dim, updates, rows):
-    changes = merge.scd2_changes(merge.scd2_start(dim, date(2023, 1, 1)), updates, KEYS, TRACKED)
+    changes = merge.scd2_changes(merge.scd2_start(dim, date(2030, 3, 1)), updates, KEYS, TRACKED)
     assert rows(changes) == [UPDATES[0], UPDATES[2]]
 
 

@@ -4,19 +4,20 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import ranking
 
-STAFF = [("1", "ada", "10", 100), ("2", "bea", "10", 200), ("3", "cid", "20", 300), ("4", "rao", "20", 300),
-         ("5", "das", "20", 100), ("6", "sen", "30", None)]
+#: Apples by orchard: two of a weight, one without a weight.
+APPLES = [("a1", "hill", 142), ("a2", "hill", 97), ("a3", "lake", 180), ("a4", "lake", 180), ("a5", "lake", 66),
+          ("a6", "road", None)]
 
 
 @pytest.fixture(scope="module")
-def staff(spark):
-    return spark.createDataFrame(STAFF, "id string, name string, dept string, sal int")
+def apples(spark):
+    return spark.createDataFrame(APPLES, "tag string, orchard string, grams int")
 
 
-def test_second_highest_counts_distinct_values(staff, rows):
-    got = ranking.nth_highest(staff, ["dept"], "sal", 2)
-    assert rows(got, "dept", "name", "sal") == [("10", "ada", 100), ("20", "das", 100)]
-    assert rows(ranking.nth_highest(staff, ["dept"], "sal", 1), "dept", "sal")[-1] == ("30", None)
+def test_second_highest_counts_distinct_values(apples, rows):
+    got = ranking.nth_highest(apples, ["orchard"], "grams", 2)
+    assert rows(got, "orchard", "tag", "grams") == [("hill", "a2", 97), ("lake", "a5", 66)]
+    assert rows(ranking.nth_highest(apples, ["orchard"], "grams", 1), "orchard", "grams")[-1] == ("road", None)
 
 
 def test_nth_highest_keeps_all_ties(spark, rows):
@@ -32,14 +33,15 @@ def test_nth_highest_keeps_all_ties(spark, rows):
 
 
 def test_rank_within_two_keys(spark, rows):
-    sales = spark.createDataFrame(
-        [("North", "CustA", 500), ("North", "CustA", 700), ("North", "CustB", 600), ("South", "CustA", 800),
-         ("South", "CustB", 750), ("South", "CustB", 900)],
-        "region string, customer string, sales int",
+    jumps = spark.createDataFrame(
+        [("may", "high", 171), ("may", "high", 168), ("may", "high", 171), ("may", "long", 540), ("june", "high", 175),
+         ("june", "long", 512), ("june", "long", 533)],
+        "month string, kind string, cm int",
     )
-    got = ranking.rank_within(sales, ["region", "customer"], "sales", "sales_rank", hot={})
-    assert rows(got) == [("North", "CustA", 500, 2), ("North", "CustA", 700, 1), ("North", "CustB", 600, 1),
-                         ("South", "CustA", 800, 1), ("South", "CustB", 750, 2), ("South", "CustB", 900, 1)]
+    got = ranking.rank_within(jumps, ["month", "kind"], "cm", "place", hot={})
+    assert dict(got.dtypes)["place"] == "bigint"
+    assert rows(got) == [("june", "high", 175, 1), ("june", "long", 512, 2), ("june", "long", 533, 1),
+                         ("may", "high", 168, 3), ("may", "high", 171, 1), ("may", "high", 171, 1), ("may", "long", 540, 1)]
 
 
 def test_rank_of_a_hot_group_equals_the_plain_rank(spark, rows):
@@ -70,10 +72,10 @@ def test_latest_per_key_is_cut_down_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_group_stats_and_bonus(staff, rows):
-    assert rows(ranking.group_stats(staff, ["dept"], "sal")) == [
-        ("10", 150.0, 200, 100), ("20", 700 / 3, 300, 100), ("30", None, None, None)]
-    assert [r[0] for r in rows(ranking.with_bonus(staff.limit(1), "sal"), "bonus")] == [10.0]
+def test_group_stats_and_bonus(apples, rows):
+    assert rows(ranking.group_stats(apples, ["orchard"], "grams")) == [
+        ("hill", 119.5, 142, 97), ("lake", 142.0, 180, 66), ("road", None, None, None)]
+    assert [r[0] for r in rows(ranking.with_bonus(apples.where("tag = 'a3'"), "grams"), "bonus")] == [18.0]
 
 
 def test_top_by_count_orders_ties_by_value(spark):
