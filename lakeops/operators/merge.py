@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +44,24 @@ def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], stored:
         *keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_matched")
     )
     small = require_unique(source, keys) <= BROADCAST_ROWS and fits_broadcast(incoming)
-    # Sent to every executor, a small source leaves the target's rows where they are.
-    side, hot = (F.broadcast, {}) if small else (lambda df: df, hot_groups(target, keys))
     matched = F.col("_matched").isNotNull()
+    hot = {} if small else hot_groups(target, keys)
+    if not small and not hot:
+        # One pass over the target and one shuffle of each side; missing keys match nothing in an outer join either.
+        new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_matched"))
+        old = target.withColumn("_there", F.lit(True)).alias("old")
+        same = reduce(Column.__and__, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
+        both, there = old.join(new.alias("new"), same, "full"), F.col("_there").isNotNull()
+        return both.select(
+            *[
+                F.coalesce(F.col(f"old.{c}"), F.col(f"new.{c}")).alias(c)
+                if c in keys
+                else F.when(there, pick(F.col(c), matched, F.col(f"_new_{c}"))).otherwise(F.col(f"_new_{c}")).alias(c)
+                for c in target.columns
+            ]
+        )
+    # Sent to every executor, a small source leaves the target's rows where they are.
+    side = F.broadcast if small else lambda df: df
     kept = salted_join(target, side(incoming), keys, "left", hot).select(
         *[F.col(c) if c in keys else pick(F.col(c), matched, F.col(f"_new_{c}")).alias(c) for c in target.columns]
     )
@@ -78,7 +94,7 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def change_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inserted, deleted and updated rows between two states of a table with unique keys.
+    """Inserted, deleted and updated rows between two states of a table with unique keys; a repeated key fails the job.
 
     An update gives the row before and the row after it. Columns added later are null before. Values are
     compared null-safely, so a rewrite that changes nothing gives no rows. Rows with a missing key cannot be
@@ -93,9 +109,19 @@ def change_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
 
     before, after = filled(before, after), filled(after, before)
     keyed = all_present(keys)
-    old = before.where(keyed).select(*keys, F.struct(*columns).alias("_old"))
-    new = after.where(keyed).select(*keys, F.struct(*columns).alias("_new"))
-    changed = old.join(new, list(keys), "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    # Both states meet in one shuffle, which also tells whether a key is there twice.
+    tagged = [
+        df.where(keyed).select(*keys, F.struct(*columns).alias("_row"), F.lit(is_new).alias("_is_new"))
+        for df, is_new in ((before, False), (after, True))
+    ]
+    sides = tagged[0].union(tagged[1]).groupBy(*keys).agg(
+        F.first(F.when(~F.col("_is_new"), F.col("_row")), ignorenulls=True).alias("_old"),
+        F.first(F.when(F.col("_is_new"), F.col("_row")), ignorenulls=True).alias("_new"),
+        F.greatest(F.count_if("_is_new"), F.count_if(~F.col("_is_new"))).alias("_rows"),
+    )
+    repeated = F.raise_error(F.lit(f"several rows have the same key {list(keys)}")).cast("boolean")
+    differs = ~F.col("_old").eqNullSafe(F.col("_new"))
+    changed = sides.where(F.when(F.col("_rows") > 1, repeated).otherwise(differs))
 
     def row(kind: str, side: str) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("row"))
@@ -126,8 +152,9 @@ def scd2_start(dimension: DataFrame, effective: date) -> DataFrame:
 def scd2_changes(dimension: DataFrame, updates: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Updates with a new key, or whose tracked values differ from the current row's.
 
-    Only the current rows that the updates ask for are joined.
+    The updates are worked out once, and only the current rows that they ask for are joined.
     """
+    updates = materialize(updates, "scd2-updates")
     require_unique(updates, keys)
     wanted = updates.where(all_present(keys)).select(*keys)
     current = lookup_join(dimension.where("is_current").select(*keys, *tracked), wanted, keys, "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -19,6 +20,8 @@ AUDIT_SCHEMA = (
     "batch_id string, timestamp timestamp, source_path string, record_count bigint, "
     "delta_table_version bigint, status string, rollback_flag string, rollback_table_version bigint"
 )
+# And two of our own: what failed, and the order of rows with one timestamp.
+AUDIT_SCHEMA += ", error string, entry bigint"
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,7 @@ class AuditLog:
         version: int | None,
         status: str,
         rolled_back_to: int | None = None,
+        error: str | None = None,
     ) -> None:
         row = {
             "batch_id": batch_id,
@@ -51,15 +55,17 @@ class AuditLog:
             "status": status,
             "rollback_flag": "N" if rolled_back_to is None else "Y",
             "rollback_table_version": rolled_back_to,
+            "error": error,
+            "entry": time.time_ns(),
         }
         one_row(self.spark, row, AUDIT_SCHEMA).write.mode("append").parquet(self.path)
 
     def states(self) -> DataFrame:
         """The newest row of every batch."""
-        return latest_per_key(self.rows(), ["batch_id"], [F.col("timestamp").desc()])
+        return latest_per_key(self.rows(), ["batch_id"], [F.col("timestamp").desc(), F.col("entry").desc()])
 
     def latest(self, batch_id: str):
-        found = self.rows().where(F.col("batch_id") == batch_id).orderBy(F.col("timestamp").desc()).head(1)
+        found = self.rows().where(F.col("batch_id") == batch_id).orderBy(F.desc("timestamp"), F.desc("entry")).head(1)
         if not found:
             raise ValueError(f"no audit row for batch {batch_id}")
         return found[0]
@@ -68,7 +74,7 @@ class AuditLog:
         """Newest failed batch with its version, and version of the newest successful one, in one pass."""
 
         def newest(column: str, status: str):
-            return f"max_by({column}, timestamp) filter (where status = '{status}')"
+            return f"max_by({column}, struct(timestamp, entry)) filter (where status = '{status}')"
 
         return self.rows().selectExpr(
             f"{newest('batch_id', 'FAILED')} as failed_batch",
@@ -102,19 +108,22 @@ def audited_write(
     record_count: int | None = None,
     partition_by: Sequence[str] = (),
     batch_id: str | None = None,
+    raises: bool = False,
 ) -> str:
     """Overwrite the table with what ``build`` returns, recording the start and the outcome.
 
-    A failed write does not raise: it is recorded, and undone if it got as far as a new version. Returns
-    the batch id.
+    A failed write is recorded with its error, and undone if it got as far as a new version; it is raised on only
+    if ``raises``. Returns the batch id.
     """
     batch_id = batch_id or str(uuid.uuid4())
     audit.add(batch_id, source_path, record_count, table.current_version(), "STARTED")
     try:
         table.overwrite(build(), partition_by=partition_by)
-    except Exception:  # noqa: BLE001 - the audit row is the report
-        audit.add(batch_id, source_path, record_count, table.current_version(), "FAILED")
+    except Exception as error:  # noqa: BLE001 - the audit row is the report
+        audit.add(batch_id, source_path, record_count, table.current_version(), "FAILED", error=str(error)[:2000])
         rollback_if_needed(table, audit)
+        if raises:
+            raise
     else:
         audit.add(batch_id, source_path, record_count, table.current_version(), "SUCCESS")
     return batch_id

@@ -73,8 +73,13 @@ def apply_plan(raw: DataFrame, plan: SourcePlan) -> DataFrame:
     return renamed
 
 
-def enrich_readings(feed: DataFrame, sensors: DataFrame, units: DataFrame, source_name: str) -> DataFrame:
-    """Parse the time, add sensor and unit, and say where each reading comes from."""
+def enrich_readings(
+    feed: DataFrame, sensors: DataFrame, units: DataFrame, source_name: str, given_keys: Sequence[str] = ()
+) -> DataFrame:
+    """Parse the time, add sensor and unit, and say where each reading comes from.
+
+    A reading's id is a hash of source, equipment and time, and of ``given_keys`` where those do not tell readings apart.
+    """
     named = feed.withColumnsRenamed({"device_id": "equipment_id"}).withColumn(
         "timestamp", F.try_to_timestamp(F.col("timestamp").cast("string"), F.lit(FEED_TIME))
     )
@@ -85,7 +90,10 @@ def enrich_readings(feed: DataFrame, sensors: DataFrame, units: DataFrame, sourc
     )
     return joined.withColumnsRenamed({"power": "metric_value", "unit_type": "metric_name"}).withColumns(
         {
-            "reading_id": F.expr("uuid()"),
+            # The same reading gets the same id whenever it is read.
+            "reading_id": F.sha2(
+                F.concat_ws("|", F.lit(source_name), "equipment_id", F.col("timestamp").cast("string"), *given_keys), 256
+            ),
             "metadata": F.create_map(F.lit("source"), F.lit(source_name)),
         }
     )

@@ -38,24 +38,35 @@ def corrupt_split(spark, sf):
 @query(
     "metadata_ingest",
     """
-    SELECT user_id AS equipment_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS read_at,
+    SELECT device AS equipment_id, read_at,
+           sha256(concat_ws('|', 'events', CAST(device AS VARCHAR), strftime(read_at, '%Y-%m-%d %H:%M:%S'))) AS reading_id,
            CAST(value AS FLOAT) AS metric_value, c_name AS sensor_id, n_name AS metric_name, 'events' AS origin,
            CASE WHEN event_type <> 'error' AND n_name IS NOT NULL THEN 'Valid' ELSE 'Invalid' END AS quality_flag,
            upper(event_type) AS kind
-    FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey
+    FROM (
+      SELECT *, CASE WHEN event_type <> 'error' THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS read_at,
+             CASE WHEN user_id % 5 = 0 THEN user_id + 1000000000 ELSE user_id END AS device
+      FROM events
+    ) LEFT JOIN customer ON device = c_custkey
       LEFT JOIN nation ON c_nationkey = n_nationkey
     WHERE value >= 1
     """,
 )
 def metadata_ingest_query(spark, sf):
-    """Events as a sensor feed: solvent customers are sensors and nations units; readings of errors lack a time."""
+    """Events as a sensor feed: customers are sensors and nations units.
+
+    Readings of errors lack a time, and a fifth of the devices are no known sensor.
+    """
     base = work_dir(spark, "feed")
     events = table(spark, sf, "events")
     time = F.when(F.col("event_type") != "error", F.date_format("ts", metadata_ingest.FEED_TIME))
     events.select(
         F.concat(F.col("event_type"), F.lit(" "), F.date_format("ts", metadata_ingest.FEED_TIME)).alias("note"),
         time.alias("timestamp"),
-        F.col("user_id").cast("string").alias("device_id"),
+        F.when(F.col("user_id") % 5 == 0, F.col("user_id") + 1_000_000_000)
+        .otherwise(F.col("user_id"))
+        .cast("string")
+        .alias("device_id"),
         F.col("value").alias("power"),
     ).write.option("header", True).csv(base)
     control = metadata_ingest.ControlTables(
@@ -81,7 +92,7 @@ def metadata_ingest_query(spark, sf):
         ),
         rules=spark.createDataFrame([("s1", "power >= 1")], "schema_id string, validation_expression string"),
     )
-    sensors = table(spark, sf, "customer").where("c_acctbal > 0").select(
+    sensors = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("equipment_id"),
         F.col("c_name").alias("sensor_id"),
         F.col("c_nationkey").alias("unit_id"),
@@ -94,9 +105,8 @@ def metadata_ingest_query(spark, sf):
     valid, invalid = metadata_ingest.write_by_quality(flagged, f"{base}-readings")
     return valid.unionByName(invalid).select(
         F.col("equipment_id").cast("bigint").alias("equipment_id"),
-        F.to_timestamp_ntz(F.split_part("remark", F.lit(" "), F.lit(2)), F.lit(metadata_ingest.FEED_TIME)).alias(
-            "read_at"
-        ),
+        F.col("timestamp").cast("timestamp_ntz").alias("read_at"),
+        "reading_id",
         "metric_value",
         "sensor_id",
         "metric_name",
@@ -145,6 +155,45 @@ def stream_upsert(spark, sf):
     return versions.read()
 
 
+@query(
+    "json_multi_line",
+    """
+    SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
+    """,
+)
+def json_multi_line(spark, sf):
+    """Customers as lists over many lines, about a thousand to a file; the nested schema is inferred."""
+    base = work_dir(spark, "documents")
+    customers = table(spark, sf, "customer")
+    document = F.struct(
+        F.col("c_custkey").alias("id"),
+        F.struct(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")).alias("account"),
+        F.array("c_mktsegment").alias("segments"),
+    )
+    files = max(1, customers.count() // 1000)
+    lists = customers.groupBy(F.pmod(F.xxhash64("c_custkey"), F.lit(files)).alias("file")).agg(
+        F.collect_list(document).alias("list")
+    )
+    pretty = lists.select(F.to_json("list", {"pretty": "true"}).alias("value"))
+    pretty.write.option("maxRecordsPerFile", 1).text(base)
+    found = readers.read_json(spark, base, multi_line=True)
+    return found.select("id", "account.name", "account.balance", F.col("segments")[0].alias("segment"))
+
+
+@query(
+    "json_glob",
+    "SELECT event_id, event_type, value FROM events WHERE event_type IN ('click', 'error')",
+)
+def json_glob(spark, sf):
+    """Events as JSON lines in a folder per type, two of which a glob reads."""
+    base = work_dir(spark, "json-events")
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    events.withColumn("kind", F.coalesce("event_type", F.lit("none"))).write.partitionBy("kind").json(base)
+    return readers.read_json(
+        spark, f"{base}/kind={{click,error}}", "event_id bigint, event_type string, value double"
+    )
+
+
 LINES_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity FROM lineitem"
 
 

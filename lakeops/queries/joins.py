@@ -47,18 +47,23 @@ def join_broadcast(spark, sf):
     """
     WITH net AS (
       SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE -o_totalprice END) AS net
-      FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY o_custkey
+      FROM orders GROUP BY o_custkey
     )
     SELECT c_custkey, c_acctbal, round(coalesce(net, 0), 2) AS net,
            round(c_acctbal + coalesce(net, 0), 2) AS final_balance
-    FROM customer LEFT JOIN net ON c_custkey = o_custkey
+    FROM (
+      SELECT c_custkey, c_acctbal FROM customer
+      UNION ALL SELECT c_custkey + 1000000000, c_acctbal FROM customer WHERE c_custkey % 10 = 0
+    ) LEFT JOIN net ON c_custkey = o_custkey
     """,
 )
 def join_left_zero(spark, sf):
     """Finished orders are credits, others debits; customers without orders keep their balance."""
-    orders = table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    orders = table(spark, sf, "orders")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    without = customers.where("c_custkey % 10 = 0").withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)
     balances = relational.final_balances(
-        table(spark, sf, "customer").select("c_custkey", "c_acctbal"),
+        customers.union(without),
         "c_acctbal",
         orders.withColumnRenamed("o_custkey", "c_custkey"),
         "o_totalprice",
@@ -138,8 +143,8 @@ def join_salted(spark, sf):
     "salted_left_join",
     """
     SELECT l_orderkey, l_linenumber, l_partkey, p_name
-    FROM lineitem LEFT JOIN (SELECT p_partkey, p_name FROM part WHERE p_size > 25)
-      ON p_partkey = CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_partkey END
+    FROM lineitem LEFT JOIN part
+      ON p_partkey = CASE WHEN l_linestatus = 'F' THEN NULL WHEN l_partkey % 7 = 0 THEN -l_partkey ELSE l_partkey END
     """,
 )
 def join_salted_left(spark, sf):
@@ -148,9 +153,12 @@ def join_salted_left(spark, sf):
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        F.when(F.col("l_linestatus") != "F", F.col("l_partkey")).alias("p_partkey"),
+        F.when(F.col("l_linestatus") == "F", F.lit(None))
+        .when(F.col("l_partkey") % 7 == 0, -F.col("l_partkey"))
+        .otherwise(F.col("l_partkey"))
+        .alias("p_partkey"),
     )
-    parts = table(spark, sf, "part").where("p_size > 25").select("p_partkey", "p_name")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
     return salted_join(lines, parts, ["p_partkey"], "left").drop("p_partkey")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -295,6 +296,45 @@ def schema_diff(spark, sf):
     return schema_gate.issues_frame(spark, issues).join(held, "column_name", "left").fillna(0, ["values"])
 
 
+@query(
+    "rules_from_file",
+    """
+    SELECT 'big' AS rule_id, CAST(count_if(l_quantity > 40) AS BIGINT) AS failed_count FROM lineitem
+    UNION ALL SELECT 'mode', count_if(l_returnflag IS NOT NULL AND NOT regexp_matches(l_returnflag, '^[AN]$')) FROM lineitem
+    """,
+)
+def rules_from_file(spark, sf):
+    """A list of rules kept as JSON, written and read as a file."""
+    rules = [
+        {"id": "big", "type": "custom_sql", "expression": "l_quantity > 40", "description": "large", "category": "size"},
+        {"id": "mode", "type": "pattern", "column": "l_returnflag", "pattern": "^[AN]$", "description": "kept"},
+    ]
+    path = f"{work_dir(spark, 'rules')}/list"
+    spark.range(1).select(F.lit(json.dumps(rules, indent=2)).alias("value")).coalesce(1).write.text(path)
+    loaded = quality_rules.load_rules(spark, path)
+    summary = quality_rules.rule_summary(table(spark, sf, "lineitem"), loaded, "job", "now", "batch")
+    return summary.select("rule_id", "failed_count")
+
+
+@query(
+    "error_log_report",
+    """
+    SELECT 'load ' || n_name AS "NotebookPath", 'ops' AS "Username", 'Missing Columns' AS issue, 'o_clerk' AS column_name
+    FROM nation WHERE n_regionkey = 1
+    """,
+)
+def error_log_report(spark, sf):
+    """Refused writes of some jobs, logged as JSON records and read back as a report through a glob."""
+    log = f"{work_dir(spark, 'errors')}/log"
+    orders = table(spark, sf, "orders")
+    expected = T.StructType.fromDDL("o_orderkey bigint, o_clerk string")
+    issues = schema_gate.schema_issues(orders.schema, expected, strict=False)
+    for row in table(spark, sf, "nation").where("n_regionkey = 1").select("n_name").collect():
+        schema_gate.log_issues(spark, issues, log, f"load {row.n_name}", user="ops")
+    report = schema_gate.error_report(spark, f"{log}/*.json").select("NotebookPath", "Username", F.explode("Errors"))
+    return report.select("NotebookPath", "Username", F.col("key").alias("issue"), F.explode("value").alias("column_name"))
+
+
 @query(
     "gated_write",
     """

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.predicates import all_present
-from lakeops.operators.merge import change_rows, delete_where, merge_upsert, require_unique, update_where
+from lakeops.operators.merge import change_rows, delete_where, merge_upsert, update_where
 from lakeops.operators.skew import lookup_join
 from lakeops.session import materialize, one_row, path_exists
 from lakeops.sources.layout import in_files
@@ -254,8 +254,6 @@ class VersionedTable:
         before = self._parts(last, old).drop(PART)
         if not new:
             return before.withColumn("_change_type", F.lit("delete"))
-        require_unique(before, keys)
-        require_unique(after, keys)
         return change_rows(before, after, keys)
 
 
