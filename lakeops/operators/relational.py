@@ -12,13 +12,10 @@ from lakeops.operators.skew import lookup_join
 
 
 def enrich(df: DataFrame, *lookups: tuple[DataFrame, str]) -> DataFrame:
-    """Left-join lookup tables one after the other, each on its key column.
-
-    Lookup keys should be unique, so that the rows of ``df`` tell the hot keys without the joins before.
-    """
+    """Left-join lookup tables one after the other, each on its key column; lookup keys should be unique."""
     joined = df
     for table, key in lookups:
-        joined = lookup_join(joined, table, [key], "left", rows=df if key in df.columns else None)
+        joined = lookup_join(joined, table, [key], "left")
     return joined
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.session import parallelism
+from lakeops.session import materialize, parallelism
 
 # No more than 1 / SMALLEST_SHARE groups can be hot, so the list of them always fits on the driver.
 SMALLEST_SHARE = 1 / 100_000
@@ -60,9 +60,19 @@ def hot_groups(df: DataFrame, keys: Sequence[str], share: float | None = None) -
     return {row["item"]: row["share"] for row in top.collect()}
 
 
-def _pieces(df: DataFrame, hot: dict[int, float]) -> int:
-    # Twice a task's fair share, because some tasks get two pieces.
-    return max(2, math.ceil(2 * max(hot.values()) * parallelism(df.sparkSession)))
+def _pieces(keys: Sequence[str], hot: dict[int, float], tasks: int) -> Column:
+    """How many pieces the rows of a key are cut into: by the share of that key, rounded up to a power of two.
+
+    A piece is at most half a task's fair share, because some tasks get two pieces. There are few powers of two, so the
+    expression stays short however many keys are hot.
+    """
+    levels: dict[int, list[int]] = {}
+    for item, share in hot.items():
+        levels.setdefault(2 ** math.ceil(math.log2(max(2, 2 * share * tasks))), []).append(item)
+    pieces = F.lit(1)
+    for count, items in levels.items():
+        pieces = F.when(group_hash(keys).isin(items), F.lit(count)).otherwise(pieces)
+    return pieces
 
 
 def salted_join(
@@ -75,8 +85,9 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join in which rows of hot left keys are spread over several tasks.
 
-    The right rows of a hot key are copied once per salt, those of other keys are not; without hot keys
-    this is a plain join. A row's salt is a hash of its values and its partition number: a redone task
+    For sides that Spark cannot split by itself, as where an aggregate lies between shuffle and join; plain scans and
+    stored sides are better left to adaptive execution. The right rows of a hot key are copied once per piece that the
+    key needs, those of other keys are not; without hot keys this is a plain join. A row's salt is a hash of its values and its partition number: a redone task
     computes it again unchanged in whatever order its rows arrive, and identical rows are spread by where
     they are. It takes in all columns of ``left``, so select the ones needed before.
     """
@@ -88,15 +99,11 @@ def salted_join(
     hot = hot_groups(left, on) if hot is None else hot
     keys = list(on)
     if hot:
-        pieces = _pieces(left, hot)
-        is_hot = group_hash(on).isin(list(hot))
+        pieces = _pieces(on, hot, parallelism(left.sparkSession))
         values = [name for name, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
-        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(pieces)).cast("int")
-        left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-        right = right.withColumn(
-            "_salt",
-            F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))),
-        )
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *values), pieces).cast("int")
+        left = left.withColumn("_salt", salt)
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
         keys.append("_salt")
     if null_safe:
         renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
@@ -135,17 +142,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a large table to a side that is usually small: broadcast if measured small, salted otherwise.
+    """Join a large table to a side that is usually small: broadcast if measured small.
 
-    Hot keys are looked for in ``rows``, by default ``left``; give what ``left`` was made from if that is
-    cheaper to read and has the key.
+    A larger side is stored and joined by a shuffle that adaptive execution splits where a key is hot.
     """
     if fits_broadcast(right):
         # Nothing of the left side moves, so hot keys do not matter.
         return salted_join(left, F.broadcast(right), on, how, hot={}, null_safe=null_safe)
-    return salted_join(left, right, on, how, hot=hot_groups(left if rows is None else rows, on), null_safe=null_safe)
+    return salted_join(left, materialize(right, "lookup"), on, how, hot={}, null_safe=null_safe)
 
 
 def lookup_join_on(left: DataFrame, right: DataFrame, pairs: dict[str, str], how: str = "inner") -> DataFrame:

@@ -16,7 +16,7 @@ from lakeops.operators.merge import merge_upsert
 from lakeops.operators.skew import hot_groups, salted_join
 from lakeops.plans.quality_rules import rule_rejects, rule_summary
 from lakeops.queries.quality import LINE_RULES
-from lakeops.session import work_dir
+from lakeops.session import materialize, work_dir
 from lakeops.sources.footers import parquet_footers
 from lakeops.sources.layout import cluster_by_range
 from lakeops.streaming import file_stream
@@ -60,11 +60,14 @@ def skewed_join(spark: SparkSession, lines: DataFrame) -> dict:
     left = lines.withColumn(
         "key", F.when(F.col("l_returnflag") == "R", F.lit(-1).cast("bigint")).otherwise(F.col("l_orderkey"))
     ).select("key", "l_extendedprice")
-    right = left.select("key").distinct().withColumn("name", F.concat(F.lit("k"), F.col("key")))
+    aggregate = left.select("key").distinct().withColumn("name", F.concat(F.lit("k"), F.col("key")))
+    stored = materialize(aggregate, "ratio-right")
     hot = hot_groups(left, ["key"])
 
     def largest_task(df: DataFrame) -> int:
-        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        # All columns are used, so that none is pruned and the bytes of a task are those of the join itself.
+        used = [F.max(F.xxhash64(*df.columns)), F.count("*").alias("count")]
+        return df.groupBy(F.spark_partition_id()).agg(*used).agg(F.max("count")).first()[0]
 
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -72,11 +75,12 @@ def skewed_join(spark: SparkSession, lines: DataFrame) -> dict:
     try:
         for name, adaptive in (("adaptive", "true"), ("plain", "false")):
             spark.conf.set("spark.sql.adaptive.skewJoin.enabled", adaptive)
-            joined = left.join(right, "key")
-            found[name] = seconds(lambda joined=joined: drained(joined))
-            found[f"{name}_largest_task"] = largest_task(joined)
+            for kind, right in (("stored", stored), ("aggregate", aggregate)):
+                joined = left.join(right, "key")
+                found[f"{name}_{kind}"] = seconds(lambda joined=joined: drained(joined))
+                found[f"{name}_{kind}_largest_task"] = largest_task(joined)
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-        salted = salted_join(left, right, ["key"], hot=hot)
+        salted = salted_join(left, aggregate, ["key"], hot=hot)
         found["salted"] = seconds(lambda: drained(salted))
         found["salted_largest_task"] = largest_task(salted)
         found["finding_hot_keys"] = seconds(lambda: hot_groups(left, ["key"]))
