@@ -3,7 +3,8 @@
 A commit writes the rows that are new as one folder under ``data`` and one log row that lists the folders
 ("parts") the version consists of. So an append writes only its rows, a merge rewrites only the parts that
 hold matching keys, and a restore writes no data at all. A version exists once its log row does; a job that
-dies earlier leaves a folder nobody reads. A second writer of the same version fails on the log row.
+dies earlier leaves a folder nobody reads, and one that dies on the log row leaves a folder without a mark of success,
+which the next commit replaces. One writer at a time is expected; two at once are not kept apart.
 """
 
 from __future__ import annotations
@@ -220,7 +221,9 @@ class VersionedTable:
             "tag": tag,
         }
         log = one_row(self.spark, entry, LOG_SCHEMA).drop("version")
-        log.write.mode("errorifexists").parquet(f"{self.root}/log/version={version}")
+        place = f"{self.root}/log/version={version}"
+        unfinished = path_exists(self.spark, place) and not path_exists(self.spark, f"{place}/_SUCCESS")
+        log.write.mode("overwrite" if unfinished else "errorifexists").parquet(place)
         return version
 
     # Change feed
@@ -230,7 +233,10 @@ class VersionedTable:
 
         Two versions are compared only in the parts they do not share.
         """
-        log = {row["version"]: row for row in self._log().where(F.col("version") >= start - 1).collect()}
+        wanted = F.col("version") >= start - 1
+        if end is not None:
+            wanted = wanted & (F.col("version") <= end)
+        log = {row["version"]: row for row in self._log().where(wanted).collect()}
         end = max(log, default=-1) if end is None else end
         unknown = [version for version in (start, end) if version not in log]
         if unknown or start > end:

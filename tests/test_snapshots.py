@@ -108,7 +108,18 @@ def test_update_partitioned_clone_and_compact(spark, tmp_path, rows):
     assert rows(versions.read()) == before
 
 
-def test_two_writers_of_one_version(spark, versions, data):
+def test_a_commit_that_died_blocks_nothing(versions, data, rows):
+    from pathlib import Path
+
+    dead = Path(versions.root) / f"log/version={versions.current_version() + 1}/_temporary/0"
+    dead.mkdir(parents=True)
+    before = versions.current_version()
+    versions.overwrite(data)
+    assert versions.current_version() == before + 1
+    assert rows(versions.read()) == rows(data)
+
+
+def test_a_version_is_committed_once(spark, versions, data):
     last = versions._version_entry()
     versions.overwrite(data)
     with pytest.raises(AnalysisException):
