@@ -13,7 +13,7 @@ from pyspark.sql.window import WindowSpec
 from lakeops.functions.change import percent_change
 from lakeops.operators.quantiles import cutting_points
 from lakeops.operators.skew import group_hash, hot_groups
-from lakeops.session import parallelism
+from lakeops.session import materialize, parallelism
 
 ROWS_IN_ONE_TASK = -1  # chunk number of groups that need no cutting
 
@@ -99,23 +99,29 @@ def order_chunks(
     )
 
 
-def carry_rows(chunked: DataFrame, order: str, keys: Sequence[str], before: int = 0, after: int = 0) -> DataFrame:
+def order_columns(order: str | Sequence[str]) -> list[str]:
+    """The first column orders rows, the others break its ties."""
+    return [order] if isinstance(order, str) else list(order)
+
+
+def carry_rows(chunked: DataFrame, order: str | Sequence[str], keys: Sequence[str], before: int = 0, after: int = 0) -> DataFrame:
     """Copy the rows next to each chunk's edges into it, marked ``_carried``.
 
     With them a frame of up to ``before`` rows back and ``after`` rows ahead can be computed inside a
     chunk. At most ``before + after`` rows of a chunk are copied.
     """
+    columns = order_columns(order)
     cut = chunked.where(F.col("_chunk") != ROWS_IN_ONE_TASK)
     result = chunked.withColumn("_carried", F.lit(False))
     for rows, inside, neighbour in (
-        (before, F.col(order).desc(), F.lead),
-        (after, F.col(order).asc(), F.lag),
+        (before, [F.col(c).desc() for c in columns], F.lead),
+        (after, [F.col(c).asc() for c in columns], F.lag),
     ):
         if not rows:
             continue
-        edge = Window.partitionBy(*keys, "_chunk").orderBy(inside)
+        edge = Window.partitionBy(*keys, "_chunk").orderBy(*inside)
         # One hot group's edges: `rows` times its number of chunks.
-        edges = Window.partitionBy(*keys).orderBy("_chunk", order)
+        edges = Window.partitionBy(*keys).orderBy("_chunk", *columns)
         copies = (
             cut.withColumn("_place", F.row_number().over(edge))
             .where(F.col("_place") <= rows)
@@ -132,7 +138,7 @@ def carry_rows(chunked: DataFrame, order: str, keys: Sequence[str], before: int
 
 def over_rows(
     df: DataFrame,
-    order: str,
+    order: str | Sequence[str],
     columns: dict[str, Callable[[WindowSpec], Column]],
     keys: Sequence[str] = (),
     back: int = 0,
@@ -141,21 +147,25 @@ def over_rows(
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows back and ``ahead`` rows ahead.
 
-    ``order`` must be unique in each group. ``bounded`` says that groups are known to be small, as after
-    an aggregation by calendar day; otherwise large groups are cut into chunks.
+    ``order`` is a column or several, of which the later break ties of the earlier; together they should be
+    unique in each group, as the place of equal rows is not defined. ``bounded`` says that groups are known to
+    be small, as after an aggregation by calendar day; otherwise large groups are cut into chunks by the first
+    column, and the chunks are stored once for what reads them.
     """
-    if bounded:
-        window = Window.partitionBy(*keys).orderBy(order)
+    by = order_columns(order)
+    hot = {} if bounded else {0: 1.0} if not keys else hot_groups(df, keys)
+    if not hot:
+        window = Window.partitionBy(*keys).orderBy(*by)
         return df.withColumns({name: build(window) for name, build in columns.items()})
-    chunked = carry_rows(order_chunks(df, order, keys), order, keys, back, ahead)
-    window = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    chunked = carry_rows(materialize(order_chunks(df, by[0], keys, hot), "chunks"), by, keys, back, ahead)
+    window = Window.partitionBy(*keys, "_chunk").orderBy(*by)
     result = chunked.withColumns({name: build(window) for name, build in columns.items()})
     return result.where(~F.col("_carried")).drop("_chunk", "_carried")
 
 
 def lag_lead(
     df: DataFrame,
-    order: str,
+    order: str | Sequence[str],
     value: str,
     keys: Sequence[str] = (),
     previous: str = "previous",
@@ -170,7 +180,7 @@ def lag_lead(
 
 
 def period_gap(
-    df: DataFrame, order: str, value: str, keys: Sequence[str] = (), gap: str = "gap_pct", bounded: bool = False
+    df: DataFrame, order: str | Sequence[str], value: str, keys: Sequence[str] = (), gap: str = "gap_pct", bounded: bool = False
 ) -> DataFrame:
     """Previous and following value, and the change from the previous one relative to the current one."""
     rows = lag_lead(df, order, value, keys, bounded=bounded)
@@ -179,7 +189,7 @@ def period_gap(
 
 def moving_average(
     df: DataFrame,
-    order: str,
+    order: str | Sequence[str],
     value: str,
     keys: Sequence[str] = (),
     rows: int = 3,

@@ -257,16 +257,33 @@ def moving_avg_rows(spark, sf):
     "moving_avg_per_type",
     """
     SELECT event_id, event_type, ts, round(avg(value) OVER w, 4) AS moving_avg
-    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
     """,
 )
 def moving_avg_per_type(spark, sf):
     """Five latest events of the same type, in the order of their time."""
     events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
-    averages = windows.moving_average(events, "ts", "value", ["event_type"], rows=5)
+    averages = windows.moving_average(events, ["ts", "event_id"], "value", ["event_type"], rows=5)
     return averages.select("event_id", "event_type", "ts", F.round("moving_avg", 4).alias("moving_avg"))
 
 
+@query(
+    "moving_avg_ties",
+    """
+    SELECT l_orderkey, l_linenumber, round(avg(l_quantity) OVER w, 4) AS moving_avg
+    FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber
+                               ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+    """,
+)
+def moving_avg_ties(spark, sf):
+    """Many lines ship on one day; order and line number tell which comes first."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity")
+    averages = windows.moving_average(
+        lines, ["l_shipdate", "l_orderkey", "l_linenumber"], "l_quantity", ["l_returnflag"], rows=7
+    )
+    return averages.select("l_orderkey", "l_linenumber", F.round("moving_avg", 4).alias("moving_avg"))
+
+
 @query(
     "date_gaps",
     """
