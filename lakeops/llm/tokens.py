@@ -1,9 +1,9 @@
 """Token ids of whole texts, with the ids of words kept.
 
 The tokenizer of these files folds case, drops white space and never joins what white space parts, nor a letter with a
-mark behind it. So the ids of a text are those of its pieces one after another. Pieces repeat, so each Python worker
-keeps the packed ids of those it has met, in two generations of at most ``KEPT`` pieces each; only new pieces go to the
-tokenizers library.
+mark behind it. So the ids of a text are those of its pieces one after another. Words and pieces repeat, so each Python
+worker keeps the packed ids of those it has met: at most ``KEPT`` words, and two generations of at most ``KEPT`` pieces.
+Words are looked up first; new ones are cut into pieces, and only new pieces go to the tokenizers library.
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ class PieceIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.words: dict[bytes, bytes] = {}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -73,19 +74,32 @@ class PieceIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        # Only ASCII letters are folded here; the library folds the others.
-        split = [PIECE.findall(text.encode(errors="replace").lower()) for text in texts]
+        # Only ASCII letters are folded here; the library folds the others. Both split at the same white space.
+        split = [text.encode(errors="replace").lower().split() for text in texts]
+        new = [word for word in set().union(*split) if word not in self.words]
+        self.words.update(zip(new, self._joined([PIECE.findall(word) for word in new])))
+        get = self.words.__getitem__
+        out = [b"".join(map(get, words)) for words in split]
+        for word in new:
+            if len(word) > KEPT_BYTES:
+                del self.words[word]
+        if len(self.words) > self.kept:
+            self.words = {}
+        return out
+
+    def _joined(self, parts: list[list[bytes]]) -> list[bytes]:
+        """The packed ids of words, given as their pieces."""
         young, old = self.young, self.old
-        missing = [piece for piece in set().union(*split) if piece not in young]
         new = []
-        for piece in missing:
-            if piece in old:
-                young[piece] = old[piece]
-            else:
-                new.append(piece)
+        for piece in set().union(*parts):
+            if piece not in young:
+                if piece in old:
+                    young[piece] = old[piece]
+                else:
+                    new.append(piece)
         self._learn(new)
         get = young.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in split]
+        out = [b"".join(map(get, pieces)) for pieces in parts]
         for piece in new:
             if len(piece) > KEPT_BYTES:
                 del young[piece]
