@@ -41,7 +41,7 @@ BLOCK = 256
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Words whose hashes a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)

@@ -15,7 +15,7 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT = 400_000
+KEPT = 200_000
 #: Pieces of more bytes are encoded each time.
 KEPT_BYTES = 64
 #: New words that are handed over as one text.
