@@ -300,7 +300,9 @@ def schema_diff(spark, sf):
     "rules_from_file",
     """
     SELECT 'big' AS rule_id, CAST(count_if(l_quantity > 40) AS BIGINT) AS failed_count FROM lineitem
-    UNION ALL SELECT 'mode', count_if(l_returnflag IS NOT NULL AND NOT regexp_matches(l_returnflag, '^[AN]$')) FROM lineitem
+    UNION ALL
+    SELECT 'mode', CAST(count_if(l_returnflag IS NOT NULL AND NOT regexp_matches(l_returnflag, '^[AN]$')) AS BIGINT)
+    FROM lineitem
     """,
 )
 def rules_from_file(spark, sf):
