@@ -1,9 +1,10 @@
 """Token ids of whole texts, with the ids of words kept.
 
-The tokenizer of these files folds case, drops white space and never joins what white space parts, nor a letter with a
-mark behind it. So the ids of a text are those of its pieces one after another. Words and pieces repeat, so each Python
-worker keeps the packed ids of those it has met: at most ``KEPT`` words, and two generations of at most ``KEPT`` pieces.
-Words are looked up first; new ones are cut into pieces, and only new pieces go to the tokenizers library.
+The tokenizer of these files composes letters (NFC), then folds case, drops white space and never joins what white space
+parts, nor a letter with an ASCII mark behind it. So the ids of a text are those of its pieces one after another. Words
+and pieces repeat, so each Python worker keeps the packed ids of those it has met: at most ``KEPT`` words, and two
+generations of at most ``KEPT`` pieces. Words are looked up first; new ones are cut into pieces, and only new pieces go to
+the tokenizers library. Texts that hold the string of an added token go to it whole.
 """
 
 from __future__ import annotations
@@ -25,24 +26,48 @@ WORD_END = "</w>"
 #: A run of letters (ASCII, or of U+00C0 to U+00FF) with a mark or the end behind it; a run of ASCII marks with an ASCII
 #: letter or the end behind it; else all up to the next white space. The apostrophe is no mark here, as it joins letters.
 PIECE = re.compile(
-    rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++(?=[!-&(-/:-@\[-`{-~\s]|\Z)"
-    rb"|[!-&(-/:-@\[-`{-~]++(?=[a-z\s]|\Z)|\S+"
+    rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++(?=[!-&(-/:-@\[-`{-~\s]|\Z)"
+    rb"|[!-&(-/:-@\[-`{-~]++(?=[A-Za-z\s]|\Z)|\S+"
 )
 
 
 @functools.cache
-def _load(path: str) -> Tokenizer:
+def _load(path: str, special_as_text: bool) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
+    tokenizer.encode_special_tokens = special_as_text
     return tokenizer
 
 
+def _added(tokenizer: Tokenizer) -> re.Pattern:
+    """Matches in texts that may hold an added token: in all, if the library looks for one in the normalised text."""
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(token.normalized for token in added):
+        return re.compile("")
+    return re.compile("|".join(re.escape(token.content) for token in added) or r"(?!)")
+
+
+def _words(text: str) -> list[bytes]:
+    """What white space parts; the library splits there, too.
+
+    Only words of ASCII are folded, which have nothing to compose. In others a capital may compose with the mark behind it
+    in another way than its small letter.
+    """
+    if text.isascii():
+        return text.encode().lower().split()
+    return [word.lower() if word.isascii() else word for word in text.encode(errors="replace").split()]
+
+
 class PieceIds:
-    """Packed ids (little-endian unsigned 32-bit) of texts."""
+    """Packed ids (little-endian unsigned 32-bit) of texts.
+
+    With ``special_as_text`` strings of special tokens inside a text are ordinary text. Without it the ids are those that
+    ``encode(text, add_special_tokens=False)`` of the file gives, where such a string is its token.
+    """
 
-    def __init__(self, path: str, kept: int = KEPT):
-        self.tokenizer, self.kept = _load(path), kept
+    def __init__(self, path: str, kept: int = KEPT, special_as_text: bool = True):
+        self.tokenizer, self.kept = _load(path, special_as_text), kept
+        self.added = None if special_as_text else _added(self.tokenizer)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -74,8 +99,18 @@ class PieceIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        # Only ASCII letters are folded here; the library folds the others. Both split at the same white space.
-        split = [text.encode(errors="replace").lower().split() for text in texts]
+        if self.added is None:
+            return self._by_words(texts)
+        whole = [i for i, text in enumerate(texts) if self.added.search(text)]
+        if not whole:
+            return self._by_words(texts)
+        held = set(whole)
+        others = iter(self._by_words([text for i, text in enumerate(texts) if i not in held]))
+        ids = iter(self._ids([texts[i].encode(errors="replace").decode() for i in whole]))
+        return [next(ids).tobytes() if i in held else next(others) for i in range(len(texts))]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        split = [_words(text) for text in texts]
         new = [word for word in set().union(*split) if word not in self.words]
         self.words.update(zip(new, self._joined([PIECE.findall(word) for word in new])))
         get = self.words.__getitem__
@@ -110,5 +145,5 @@ class PieceIds:
 
 @functools.cache
 def piece_ids(path: str) -> PieceIds:
-    """One memory per Python worker, used by all its tasks."""
-    return PieceIds(path)
+    """One memory per Python worker, used by all its tasks; the ids are those the library gives by default."""
+    return PieceIds(path, special_as_text=False)

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from lakeops.llm.packing import BestFit, packed
 from lakeops.llm.token_store import PerfectHash, fetch, new_store_folder, read_store, write_store
-from lakeops.llm.tokens import PieceIds
+from lakeops.llm.tokens import PieceIds, piece_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +37,28 @@ def test_pieces_give_the_ids_of_whole_texts(encode, prose):
             assert np.frombuffer(ids, "<u4").tolist() == encode(text), text
 
 
+def test_operators_give_the_ids_of_the_unmodified_file(spark, hard_docs):
+    letters, plain = random.Random(6), Tokenizer.from_file(PATH)
+    marks = "\u0331\u0308\u030a\u030c\u0307\u0338\u0301"
+    odd = ["".join(letters.choices(f"aHTWYJIShtwyjÉé=<'. 1{marks}", k=40)) for _ in range(1000)]
+    special = ["a <|endoftext|> b", "<|endoftext|>", "H\u0331<|startoftext|>x<|endoftext", "é<|ENDOFTEXT|>", "a<|ENDOFTEXT|>"]
+    capitals = [f"{c}{m}amas x{c}{m}" for c in "HTWYJI" for m in marks]
+    texts = [*TEXTS, *odd, *special, *capitals, "H\u0331amas"]
+    want = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in piece_ids(PATH).encode(texts)] == want
+    assert want[-1] == [327, 136, 365, 15667] and [320, 49407, 321] in want
+    few = [*special, *capitals]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(few)], hard_docs.schema)
+    crcs = {
+        i: zlib.crc32(np.array(plain.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes())
+        for i, t in enumerate(few)
+    }
+    store = read_store(write_store(docs, PATH, new_store_folder(spark)))
+    assert {r.doc_id: r.ids_crc32 for r in store.collect()} == crcs
+    rows = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packed(docs, PATH, with_ids=True).collect()}
+    assert rows == {i: plain.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(few)}
+
+
 def test_best_fit_equals_a_plain_search():
     numbers = random.Random(3)
     for limit in (1, 3, 50):
