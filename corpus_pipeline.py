@@ -35,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without benchmark passages, also of items without an id."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,21 +40,25 @@ def normal_words(text: Column) -> Column:
     return F.array_remove(F.split(folded, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
+def benchmark_windows(
+    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = WINDOW, unnamed: bool = False
+) -> DataFrame:
     """(window, items): every different window with the keys of the items that hold it, as strings.
 
-    Items without words have no window; repeated items count once.
+    Items without words have no window; repeated items count once. With ``unnamed``, items without a key give windows,
+    too, and stand as one null behind the keys; otherwise they are left out.
     """
     words = benchmark.select(F.col(f"`{key}`").cast("string").alias("item"), normal_words(F.col(f"`{text}`")).alias("w"))
-    words = words.filter((F.size("w") > 0) & F.col("item").isNotNull())
+    words = words.filter((F.size("w") > 0) & (F.col("item").isNotNull() | F.lit(unnamed)))
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (size - 1)))
     windows = words.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("words"))
+    keys, missing = F.sort_array(F.collect_set("item")), F.bool_or(F.col("item").isNull())
     return windows.groupBy(F.array_join("words", " ").alias("window")).agg(
-        F.sort_array(F.collect_set("item")).alias("items")
+        F.when(missing, F.array_append(keys, F.lit(None).cast("string"))).otherwise(keys).alias("items")
     )
 
 
-def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, list[str]]]]:
+def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, list[str | None]]]]:
     """The windows in blocks of about ``block_bytes``; only one block is on the driver at a time."""
     size = windows.agg(F.sum(F.octet_length("window") + 16 * F.size("items"))).first()[0] or 0
     count = -(-size // block_bytes)
@@ -66,7 +70,7 @@ def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, li
 class Scanner:
     """The automaton of one block."""
 
-    def __init__(self, patterns: list[tuple[str, list[str]]]):
+    def __init__(self, patterns: list[tuple[str, list[str | None]]]):
         self.automaton = ahocorasick.Automaton()
         for window, items in patterns:
             # Bytes are handed over as Latin-1, so that ends are byte offsets.
@@ -76,7 +80,7 @@ class Scanner:
         if patterns:
             self.automaton.make_automaton()
 
-    def scan(self, text: bytes) -> tuple[int, int, list[tuple[int, int]], set[str]]:
+    def scan(self, text: bytes) -> tuple[int, int, list[tuple[int, int]], set[str | None]]:
         """How many words the text has and how many are hit, the byte spans of hit passages, and the items found.
 
         Spans run from the first byte of a word to behind the last byte of another; they are apart and in order.
@@ -141,7 +145,8 @@ def _scanned(df: DataFrame, text: str, into: str, patterns) -> DataFrame:
                 if before and before[i]["spans"]:
                     spans, items = _union([*map(tuple, before[i]["spans"]), *spans]), {*before[i]["items"], *items}
                     hit = sum(len(data[a:b].translate(FOLD).split()) for a, b in spans)
-                out.append({"n_words": n, "n_hit": hit, "spans": [list(s) for s in spans], "items": sorted(items)})
+                items = sorted(items, key=lambda item: (item is None, item or ""))
+                out.append({"n_words": n, "n_hit": hit, "spans": [list(s) for s in spans], "items": items})
             column = pa.array(out, arrow)
             others = [c for name, c in zip(batch.schema.names, batch.columns) if name != into]
             names = [name for name in batch.schema.names if name != into]
@@ -150,13 +155,15 @@ def _scanned(df: DataFrame, text: str, into: str, patterns) -> DataFrame:
     return df.mapInArrow(scan, schema)
 
 
-def scanned(docs: DataFrame, benchmark: DataFrame, text: str, into: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def scanned(
+    docs: DataFrame, benchmark: DataFrame, text: str, into: str, block_bytes: int = BLOCK_BYTES, unnamed: bool = False
+) -> DataFrame:
     """``docs`` with a struct column: n_words, n_hit, spans (byte offsets in the text's UTF-8) and items of each whole text.
 
     Null and empty texts have no words, no spans and no items; an empty benchmark finds nothing. ``docs`` must not have
-    columns of equal names.
+    columns of equal names. For ``unnamed`` see ``benchmark_windows``.
     """
-    windows = materialize(benchmark_windows(benchmark), "benchmark-windows")
+    windows = materialize(benchmark_windows(benchmark, unnamed=unnamed), "benchmark-windows")
     # The last column, so that a chain of blocks keeps its place.
     for block in _blocks(windows, block_bytes):
         docs = _scanned(docs, text, into, docs.sparkSession.sparkContext.broadcast(block))
@@ -165,12 +172,16 @@ def scanned(docs: DataFrame, benchmark: DataFrame, text: str, into: str, block_b
     return docs
 
 
-def contamination_report(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination_report(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, unnamed: bool = False
+) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and spans of every row of ``docs``.
 
     Rows are judged one by one where they lie, so nothing is shuffled and repeated rows give repeated results.
+    With ``unnamed``, items without an id make hits like others; together they count as one in n_items, and items_sha256,
+    a hash of the ids, leaves them out. Otherwise they are left out of everything.
     """
-    found = scanned(docs.select("doc_id", "text"), benchmark, "text", "found", block_bytes)
+    found = scanned(docs.select("doc_id", "text"), benchmark, "text", "found", block_bytes, unnamed)
 
     return found.select(
         "doc_id",
@@ -183,8 +194,13 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, block_bytes: int
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark window, with all their columns."""
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, unnamed: bool = False
+) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark window, with all their columns.
+
+    With ``unnamed``, windows of items without an id count, too.
+    """
     into = free_name(docs, "_found")
-    found = scanned(docs, benchmark, "text", into, block_bytes)
+    found = scanned(docs, benchmark, "text", into, block_bytes, unnamed)
     return found.filter(F.size(f"{into}.spans") == 0).drop(into)

@@ -50,5 +50,5 @@ FROM texts t LEFT JOIN covered c ON c.doc_id = t.doc_id LEFT JOIN items m ON m.d
 
 @query("op3_benchmark_decontamination", SQL)
 def op3_benchmark_decontamination(spark, sf_dir):
-    report = contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    report = contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
     return report.drop("spans")
