@@ -340,6 +340,8 @@ def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     marks = known.groupBy(F.col("doc_id").alias("labelled")).agg((F.max("toxic") == 1).alias("toxic"))
+    # Ids without a document must not use up the bound.
+    marks = marks.join(docs.select(F.col("doc_id").alias("known")), F.col("labelled") == F.col("known"), "left_semi")
     order = [F.xxhash64("labelled"), "labelled"]
     chosen = marks.filter("toxic").orderBy(*order).limit(fit.toxic_rows)
     chosen = chosen.union(marks.filter("not toxic").orderBy(*order).limit(fit.other_rows))

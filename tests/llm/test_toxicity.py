@@ -4,7 +4,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.llm.toxicity import Matcher, Model, drop_toxic, fitted, folded_words, toxicity_report
+from lakeops.llm.toxicity import Fit, Matcher, Model, drop_toxic, fitted, folded_words, toxicity_report
 
 BAD, STEM = ("vilewort", "grubnok"), "snarl"
 
@@ -66,3 +66,12 @@ def test_odd_tables(spark, corpus, hard_docs, no_docs, clashing):
     kept = drop_toxic(clashing(docs), labels)
     assert kept.columns == clashing(docs).columns and kept.count() == 480
     assert not math.isnan(report.agg(F.sum("score")).first()[0])
+
+
+def test_labels_without_a_document_take_no_place_in_the_sample(spark, corpus):
+    docs, labels = corpus
+    fit = Fit(toxic_rows=60, other_rows=200)
+    strange = spark.range(10_000, 14_000).selectExpr("id as doc_id", "1 as quality", "cast(id % 2 as int) as toxic")
+    alone, mixed = fitted(docs, labels, fit), fitted(docs, labels.union(strange), fit)
+    assert alone.entries and mixed.entries == alone.entries and mixed.exceptions == alone.exceptions
+    assert mixed.curve == pytest.approx(alone.curve)
