@@ -23,7 +23,7 @@ OPEN_BINS = 4096
 #: Tokens that wait at a time.
 WAITING = 8 << 20
 #: Texts that are encoded at a time, by characters.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 4 << 20
 
 
 class BestFit:

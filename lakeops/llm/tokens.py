@@ -2,33 +2,49 @@
 
 The tokenizer of these files composes letters (NFC), then folds case, drops white space and never joins what white space
 parts, nor a letter with an ASCII mark behind it. So the ids of a text are those of its pieces one after another. Words
-and pieces repeat, so each Python worker keeps the packed ids of those it has met: at most ``KEPT`` words, and two
-generations of at most ``KEPT`` pieces. Words are looked up first; new ones are cut into pieces, and only new pieces go to
-the tokenizers library. Texts that hold the string of an added token go to it whole.
+and pieces repeat: Arrow finds the distinct words of a batch, and each Python worker keeps the packed ids of at most
+``KEPT`` words and pieces that it has met, those met most often longest. Only new pieces go to the tokenizers library;
+words of plain letters and marks, which it would not compose, are cut here and go straight to its merges. Texts that hold
+the string of an added token go to it whole.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-KEPT = 200_000
-#: Pieces of more bytes are encoded each time.
+KEPT = 600_000
+#: Words of more bytes are encoded each time.
 KEPT_BYTES = 64
 #: New words that are handed over as one text.
 TOGETHER = 256
 #: What the vocabulary puts behind the last id of a word.
 WORD_END = "</w>"
-#: A run of letters (ASCII, or of U+00C0 to U+00FF) with a mark or the end behind it; a run of ASCII marks with an ASCII
-#: letter or the end behind it; else all up to the next white space. The apostrophe is no mark here, as it joins letters.
-PIECE = re.compile(
-    rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++(?=[!-&(-/:-@\[-`{-~\s]|\Z)"
-    rb"|[!-&(-/:-@\[-`{-~]++(?=[A-Za-z\s]|\Z)|\S+"
-)
+LETTER, MARK = 1, 2
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte: the kind of an ASCII character (the apostrophe is no mark here, as it joins letters), and whether it
+    makes a letter of U+00C0 to U+00FF behind the lead byte 0xC3."""
+    kinds = np.zeros(256, np.uint8)
+    for byte in range(0x21, 0x7F):
+        if byte != ord("'") and not chr(byte).isdigit():
+            kinds[byte] = LETTER if chr(byte).isalpha() else MARK
+    after_lead = np.zeros(256, bool)
+    after_lead[0x80:0xC0] = [chr(code).isalpha() for code in range(0xC0, 0x100)]
+    return kinds, after_lead
+
+
+KINDS, AFTER_LEAD = _kinds()
+LEAD = 0xC3
 
 
 @functools.cache
@@ -39,6 +55,23 @@ def _load(path: str, special_as_text: bool) -> Tokenizer:
     return tokenizer
 
 
+@functools.cache
+def _merges(path: str) -> Tokenizer:
+    """The merges of the file alone, for words that are given in the letters of its vocabulary."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    parts |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+    return Tokenizer.from_str(json.dumps(parts))
+
+
+@functools.cache
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: the byte's own if it can be seen, else the next of 256."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    unseen = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(byte) for byte in seen} | {byte: chr(256 + i) for i, byte in enumerate(unseen)}
+
+
 def _added(tokenizer: Tokenizer) -> re.Pattern:
     """Matches in texts that may hold an added token: in all, if the library looks for one in the normalised text."""
     added = tokenizer.get_added_tokens_decoder().values()
@@ -47,15 +80,26 @@ def _added(tokenizer: Tokenizer) -> re.Pattern:
     return re.compile("|".join(re.escape(token.content) for token in added) or r"(?!)")
 
 
-def _words(text: str) -> list[bytes]:
-    """What white space parts; the library splits there, too.
+def _strings(texts: list[str]) -> pa.Array:
+    try:
+        return pa.array(texts, pa.large_string())
+    except UnicodeEncodeError:  # half a surrogate pair
+        return pa.array([text.encode(errors="replace").decode() for text in texts], pa.large_string())
 
-    Only words of ASCII are folded, which have nothing to compose. In others a capital may compose with the mark behind it
-    in another way than its small letter.
-    """
-    if text.isascii():
-        return text.encode().lower().split()
-    return [word.lower() if word.isascii() else word for word in text.encode(errors="replace").split()]
+
+def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large binary array, and where each value begins and the last ends in them."""
+    if not len(values):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = values.buffers()
+    places = np.frombuffer(offsets, np.int64, len(values) + 1, 8 * values.offset)
+    first, last = places[0], places[-1]
+    return np.frombuffer(data or b"", np.uint8)[first:last], places - first
+
+
+def _binary(places: np.ndarray, data: np.ndarray) -> pa.Array:
+    places = pa.py_buffer(np.ascontiguousarray(places, np.int64))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), places.size // 8 - 1, [None, places, pa.py_buffer(np.ascontiguousarray(data))])
 
 
 class PieceIds:
@@ -71,31 +115,45 @@ class PieceIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.merges = _merges(path)
+        self.letters = {byte: letter for byte, letter in byte_letters().items() if byte != 0x20}  # blanks part words
+        self.keys = self.values = pa.array([], pa.large_binary())
+        self.uses = np.zeros(0, np.int64)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[np.ndarray]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4") for one in found]
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        """Encode new pieces: words of letters many at a time, cut behind the ids that end a word; others one by one."""
-        words, others = [], []
-        for piece in pieces:
-            text = piece.decode()
-            (words if text.isalpha() else others).append((piece, text))
-        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        for group, ids in zip(groups, self._ids([" ".join([text for _, text in group]) for group in groups])):
+    def _learn(self, pieces: pa.Array) -> pa.Array:
+        """The ids of new plain pieces: many as one text, cut behind the ids that end a word."""
+        if not len(pieces):
+            return pieces
+        data, starts = _bytes(pieces)
+        spaced = np.full(len(data) + len(pieces), 0x20, np.uint8)
+        spaced[np.arange(len(data)) + np.repeat(np.arange(len(pieces)), np.diff(starts))] = data
+        text = spaced.tobytes().decode("latin-1").translate(self.letters)
+        cuts = [*(starts[:-1] + np.arange(len(pieces)))[::TOGETHER].tolist(), len(text)]
+        ids = np.concatenate(self._ids([text[a:b] for a, b in zip(cuts, cuts[1:])], self.merges))
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(pieces) or ends[-1] != len(ids):  # a vocabulary without ends for some letters
+            found = self._ids([piece.decode() for piece in pieces.to_pylist()])
+            return pa.array([one.tobytes() for one in found], pa.large_binary())
+        return _binary(np.append(0, 4 * ends), ids)
+
+    def _odd(self, words: list[bytes]) -> pa.Array:
+        """The ids of words that only the whole tokenizer knows to cut: words of letters many at a time, others one by one."""
+        out: dict[bytes, bytes] = {}
+        texts = {word: word.decode() for word in words}
+        letters = [word for word, text in texts.items() if text.isalpha()]
+        groups = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        for group, ids in zip(groups, self._ids([" ".join([texts[word] for word in group]) for group in groups])):
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(group) or ends[-1] != len(ids):  # some word was parted
-                others += group
-                continue
-            packed, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            for (piece, _), start, end in zip(group, cuts, cuts[1:]):
-                self.young[piece] = packed[start:end]
-        for (piece, _), ids in zip(others, self._ids([text for _, text in others])):
-            self.young[piece] = ids.tobytes()
+            if len(ends) == len(group) and ends[-1] == len(ids):  # else some word was parted
+                packed, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out.update((word, packed[a:b]) for word, a, b in zip(group, cuts, cuts[1:]))
+        others = [word for word in words if word not in out]
+        out.update((word, ids.tobytes()) for word, ids in zip(others, self._ids([texts[word] for word in others])))
+        return pa.array(map(out.__getitem__, words), pa.large_binary())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
@@ -110,37 +168,71 @@ class PieceIds:
         return [next(ids).tobytes() if i in held else next(others) for i in range(len(texts))]
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
-        split = [_words(text) for text in texts]
-        new = [word for word in set().union(*split) if word not in self.words]
-        self.words.update(zip(new, self._joined([PIECE.findall(word) for word in new])))
-        get = self.words.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        for word in new:
-            if len(word) > KEPT_BYTES:
-                del self.words[word]
-        if len(self.words) > self.kept:
-            self.words = {}
+        split = pc.ascii_split_whitespace(_strings(texts))
+        words = split.values.dictionary_encode()
+        # Folded only where nothing can compose: a capital may do so with the mark behind it in another way than its
+        # small letter. White space at the ends of a text gives empty words, which have no ids.
+        folded = pc.if_else(pc.string_is_ascii(words.dictionary), pc.ascii_lower(words.dictionary), words.dictionary)
+        folded = folded.cast(pa.large_binary()).dictionary_encode()
+        ids = self._of(folded.dictionary, self._new_words).take(folded.indices.take(words.indices))
+        data, ends = _bytes(ids)
+        ends, packed = ends[split.offsets.to_numpy()].tolist(), memoryview(data)
+        return [bytes(packed[start:end]) for start, end in zip(ends, ends[1:])]
+
+    def _of(self, keys: pa.Array, learn: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of distinct words or pieces; unknown ones are learned and kept."""
+        place = pc.index_in(keys, self.keys).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        self.uses[place[place >= 0]] += 1
+        known, values = len(self.keys), self.values
+        fresh = keys.take(pa.array(new))
+        learned = learn(fresh)
+        place[new] = known + np.arange(len(new))
+        out = pa.concat_arrays([values, learned]).take(pa.array(place))
+        self._keep(fresh, learned)
         return out
 
-    def _joined(self, parts: list[list[bytes]]) -> list[bytes]:
-        """The packed ids of words, given as their pieces."""
-        young, old = self.young, self.old
-        new = []
-        for piece in set().union(*parts):
-            if piece not in young:
-                if piece in old:
-                    young[piece] = old[piece]
-                else:
-                    new.append(piece)
-        self._learn(new)
-        get = young.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in parts]
-        for piece in new:
-            if len(piece) > KEPT_BYTES:
-                del young[piece]
-        if len(young) > self.kept:
-            self.old, self.young = young, {}
-        return out
+    def _keep(self, keys: pa.Array, values: pa.Array) -> None:
+        short = pc.less_equal(pc.binary_length(keys), KEPT_BYTES)
+        self.keys = pa.concat_arrays([self.keys, keys.filter(short)])
+        self.values = pa.concat_arrays([self.values, values.filter(short)])
+        self.uses = np.append(self.uses, np.zeros(len(self.keys) - len(self.uses), np.int64))
+        if len(self.keys) > self.kept:
+            # Half of the room is for what was met most often; older uses count less and less.
+            best = np.sort(np.argpartition(-self.uses, self.kept // 2)[: self.kept // 2])
+            self.keys, self.values = self.keys.take(pa.array(best)), self.values.take(pa.array(best))
+            self.uses = self.uses[best] // 2
+
+    def _new_words(self, words: pa.Array) -> pa.Array:
+        """The ids of new words: cut where letters and marks meet, and put together from those pieces."""
+        data, starts = _bytes(words)
+        kinds = KINDS[data]
+        leads = np.flatnonzero(data == LEAD)
+        leads = leads[AFTER_LEAD[data[leads + 1]]]
+        kinds[leads] = kinds[leads + 1] = LETTER
+        odd = np.append(0, np.cumsum(kinds == 0))[starts]
+        odd = np.diff(odd) > 0
+        plain = words.filter(pa.array(~odd))
+        of_plain = np.repeat(~odd, np.diff(starts))
+        data, kinds = data[of_plain], kinds[of_plain]
+        starts = _bytes(plain)[1]
+        # Each capital is 32 below its small letter; above ASCII the sharp s and the last letter have none.
+        capital = (data >= 0x41) & (data <= 0x5A)
+        capital |= np.append(False, data[:-1] == LEAD)[: len(data)] & (kinds == LETTER) & (data < 0x9F)
+        data = data + (capital * 0x20).astype(np.uint8)
+        cut = np.append(True, kinds[1:] != kinds[:-1])[: len(data)]
+        cut[starts[:-1][starts[:-1] < len(data)]] = True
+        begins = np.append(np.flatnonzero(cut), len(data))
+        pieces = _binary(begins, data).dictionary_encode()
+        ids = self._of(pieces.dictionary, self._learn).take(pieces.indices)
+        # A word's ids reach from those of its first piece to those of the next word's first.
+        ends = _bytes(ids)[1][np.searchsorted(begins, starts)]
+        composed = _binary(ends, _bytes(ids)[0])
+        if not odd.any():
+            return composed
+        rest = self._odd(words.filter(pa.array(odd)).to_pylist())
+        place = np.where(odd, len(composed) + np.cumsum(odd) - 1, np.cumsum(~odd) - 1)
+        return pa.concat_arrays([composed, rest]).take(pa.array(place))
 
 
 @functools.cache
