@@ -77,7 +77,7 @@ def _added(tokenizer: Tokenizer) -> re.Pattern:
     added = tokenizer.get_added_tokens_decoder().values()
     if any(token.normalized for token in added):
         return re.compile("")
-    return re.compile("|".join(re.escape(token.content) for token in added) or r"(?!)")
+    return re.compile("|".join(re.escape(token.content) for token in added) or r"[^\s\S]")
 
 
 def _strings(texts: list[str]) -> pa.Array:
@@ -87,7 +87,21 @@ def _strings(texts: list[str]) -> pa.Array:
         return pa.array([text.encode(errors="replace").decode() for text in texts], pa.large_string())
 
 
-def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def distinct_words(texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """The distinct words of large string texts, the place of each word of the texts among them, and where texts end.
+
+    The library splits at white space, too. Words are folded only where nothing can compose, that is in ASCII: a capital
+    may do so with the mark behind it in another way than its small letter. White space at the ends of a text gives
+    empty words, which have no ids.
+    """
+    split = pc.ascii_split_whitespace(texts)
+    words = split.values.dictionary_encode()
+    folded = pc.if_else(pc.string_is_ascii(words.dictionary), pc.ascii_lower(words.dictionary), words.dictionary)
+    folded = folded.cast(pa.large_binary()).dictionary_encode()
+    return folded.dictionary, folded.indices.take(words.indices), split.offsets.to_numpy()
+
+
+def value_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a large binary array, and where each value begins and the last ends in them."""
     if not len(values):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -97,7 +111,7 @@ def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8)[first:last], places - first
 
 
-def _binary(places: np.ndarray, data: np.ndarray) -> pa.Array:
+def binary_values(places: np.ndarray, data: np.ndarray) -> pa.Array:
     places = pa.py_buffer(np.ascontiguousarray(places, np.int64))
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), places.size // 8 - 1, [None, places, pa.py_buffer(np.ascontiguousarray(data))])
 
@@ -128,7 +142,7 @@ class PieceIds:
         """The ids of new plain pieces: many as one text, cut behind the ids that end a word."""
         if not len(pieces):
             return pieces
-        data, starts = _bytes(pieces)
+        data, starts = value_bytes(pieces)
         spaced = np.full(len(data) + len(pieces), 0x20, np.uint8)
         spaced[np.arange(len(data)) + np.repeat(np.arange(len(pieces)), np.diff(starts))] = data
         text = spaced.tobytes().decode("latin-1").translate(self.letters)
@@ -138,7 +152,7 @@ class PieceIds:
         if len(ends) != len(pieces) or ends[-1] != len(ids):  # a vocabulary without ends for some letters
             found = self._ids([piece.decode() for piece in pieces.to_pylist()])
             return pa.array([one.tobytes() for one in found], pa.large_binary())
-        return _binary(np.append(0, 4 * ends), ids)
+        return binary_values(np.append(0, 4 * ends), ids)
 
     def _odd(self, words: list[bytes]) -> pa.Array:
         """The ids of words that only the whole tokenizer knows to cut: words of letters many at a time, others one by one."""
@@ -168,17 +182,15 @@ class PieceIds:
         return [next(ids).tobytes() if i in held else next(others) for i in range(len(texts))]
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
-        split = pc.ascii_split_whitespace(_strings(texts))
-        words = split.values.dictionary_encode()
-        # Folded only where nothing can compose: a capital may do so with the mark behind it in another way than its
-        # small letter. White space at the ends of a text gives empty words, which have no ids.
-        folded = pc.if_else(pc.string_is_ascii(words.dictionary), pc.ascii_lower(words.dictionary), words.dictionary)
-        folded = folded.cast(pa.large_binary()).dictionary_encode()
-        ids = self._of(folded.dictionary, self._new_words).take(folded.indices.take(words.indices))
-        data, ends = _bytes(ids)
-        ends, packed = ends[split.offsets.to_numpy()].tolist(), memoryview(data)
+        words, places, ends = distinct_words(_strings(texts))
+        data, cuts = value_bytes(self.word_ids(words).take(places))
+        ends, packed = cuts[ends].tolist(), memoryview(data)
         return [bytes(packed[start:end]) for start, end in zip(ends, ends[1:])]
 
+    def word_ids(self, words: pa.Array) -> pa.Array:
+        """The packed ids of distinct words without white space and added tokens (large binary, as the result)."""
+        return self._of(words, self._new_words)
+
     def _of(self, keys: pa.Array, learn: Callable[[pa.Array], pa.Array]) -> pa.Array:
         """The ids of distinct words or pieces; unknown ones are learned and kept."""
         place = pc.index_in(keys, self.keys).fill_null(-1).to_numpy().astype(np.int64)
@@ -205,7 +217,7 @@ class PieceIds:
 
     def _new_words(self, words: pa.Array) -> pa.Array:
         """The ids of new words: cut where letters and marks meet, and put together from those pieces."""
-        data, starts = _bytes(words)
+        data, starts = value_bytes(words)
         kinds = KINDS[data]
         leads = np.flatnonzero(data == LEAD)
         leads = leads[AFTER_LEAD[data[leads + 1]]]
@@ -215,7 +227,7 @@ class PieceIds:
         plain = words.filter(pa.array(~odd))
         of_plain = np.repeat(~odd, np.diff(starts))
         data, kinds = data[of_plain], kinds[of_plain]
-        starts = _bytes(plain)[1]
+        starts = value_bytes(plain)[1]
         # Each capital is 32 below its small letter; above ASCII the sharp s and the last letter have none.
         capital = (data >= 0x41) & (data <= 0x5A)
         capital |= np.append(False, data[:-1] == LEAD)[: len(data)] & (kinds == LETTER) & (data < 0x9F)
@@ -223,11 +235,11 @@ class PieceIds:
         cut = np.append(True, kinds[1:] != kinds[:-1])[: len(data)]
         cut[starts[:-1][starts[:-1] < len(data)]] = True
         begins = np.append(np.flatnonzero(cut), len(data))
-        pieces = _binary(begins, data).dictionary_encode()
+        pieces = binary_values(begins, data).dictionary_encode()
         ids = self._of(pieces.dictionary, self._learn).take(pieces.indices)
         # A word's ids reach from those of its first piece to those of the next word's first.
-        ends = _bytes(ids)[1][np.searchsorted(begins, starts)]
-        composed = _binary(ends, _bytes(ids)[0])
+        ends = value_bytes(ids)[1][np.searchsorted(begins, starts)]
+        composed = binary_values(ends, value_bytes(ids)[0])
         if not odd.any():
             return composed
         rest = self._odd(words.filter(pa.array(odd)).to_pylist())
