@@ -21,9 +21,9 @@ from tokenizers import Tokenizer
 
 from lakeops.llm.batches import chunks, large_texts
 from lakeops.llm.columns import free_name
-from lakeops.llm.lexicon import lexicon, write_lexicon
+from lakeops.llm.lexicon import Lexicon, lexicon, write_lexicon
 from lakeops.llm.storage import new_file
-from lakeops.llm.tokens import KEPT_BYTES, binary_values, distinct_words, piece_ids, value_bytes
+from lakeops.llm.tokens import KEPT_BYTES, PieceIds, distinct_words, load_tokenizer, piece_ids, value_bytes
 from lakeops.session import materialize, work_dir
 
 #: Words of a lexicon. One task compiles them, so this bounds it.
@@ -74,10 +74,16 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text: str = "text", words:
 
 
 def encode(
-    docs: DataFrame, tokenizer: str, lexicon_uri: str | None = None, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    lexicon_uri: str | None = None,
+    key: str = "doc_id",
+    text: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
     """``key`` and ``ids`` (array of int) of every row: what the library's encode of the whole text gives.
 
+    With ``decoded`` a column of that name holds what :func:`decode` makes of the ids, worked out in the same process.
     Without ``lexicon_uri`` every word is merged. Null texts are empty and have no ids; repeated rows and null keys have
     a row each; other columns are left out. Special tokens' strings inside a text are their tokens, as the library has it
     by default. ``tokenizer`` is a path that every executor has.
@@ -89,20 +95,29 @@ def encode(
         known = lexicon(lexicon_uri) if lexicon_uri else None
         for batch in batches:
             for part in chunks(batch):
-                texts = large_texts(part.column(1))
-                special = pc.match_substring_regex(texts, merged.added.pattern).to_numpy(zero_copy_only=False)
-                plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
-                ids, ends = _looked_up(plain, merged, known)
-                if special.any():
-                    ids, ends = _with_specials(texts, special, ids, ends, merged)
-                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), column], names=[key, "ids"])
+                lists = _encoded(large_texts(part.column(1)), merged, known)
+                columns = {key: part.column(0), "ids": lists}
+                if decoded:
+                    columns["decoded"] = _decoded(lists, tokenizer)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>" + ", decoded string" * decoded)
 
 
-def _looked_up(texts: pa.Array, merged, known) -> tuple[np.ndarray, np.ndarray]:
+def _encoded(texts: pa.Array, merged: PieceIds, known: Lexicon | None) -> pa.Array:
+    special = pc.match_substring_regex(texts, merged.added.pattern).to_numpy(zero_copy_only=False)
+    plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
+    ids, ends = _looked_up(plain, merged, known)
+    if special.any():
+        # Texts with added tokens have no ids yet; theirs go between the others'.
+        whole = iter(merged.encode(texts.filter(pa.array(special)).to_pylist()))
+        parts = [np.frombuffer(next(whole), "<u4") if s else ids[a:b] for s, a, b in zip(special, ends, ends[1:])]
+        ids, ends = np.concatenate(parts), np.append(0, np.cumsum([len(part) for part in parts]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _looked_up(texts: pa.Array, merged: PieceIds, known: Lexicon | None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts one after another, and where those of each text begin and the last end."""
     words, places, ends = distinct_words(texts)
     if known is None:
@@ -122,17 +137,10 @@ def _looked_up(texts: pa.Array, merged, known) -> tuple[np.ndarray, np.ndarray]:
     return data.view("<u4"), cuts[ends] // 4
 
 
-def _with_specials(texts: pa.Array, special: np.ndarray, ids: np.ndarray, ends: np.ndarray, merged):
-    """Put the ids of texts with added tokens, which have none yet, between the others."""
-    whole = iter(merged.encode(texts.filter(pa.array(special)).to_pylist()))
-    parts = [np.frombuffer(next(whole), "<u4") if s else ids[a:b] for s, a, b in zip(special, ends, ends[1:])]
-    return np.concatenate(parts), np.append(0, np.cumsum([len(part) for part in parts]))
-
-
 @functools.cache
 def _tokens(path: str) -> tuple[Tokenizer, pa.Array]:
     """The strings of all ids, each behind a blank; ids without a token have none."""
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = load_tokenizer(path, False)
     size = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
     tokens = [tokenizer.id_to_token(i) for i in range(size)]
     return tokenizer, pa.array(["" if token is None else f" {token}" for token in tokens], pa.large_string())
@@ -150,20 +158,22 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", name: str = "decod
     place = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, tokens = _tokens(tokenizer)
         for batch in batches:
-            lists = batch.column(place)
-            if whole.decoder is None:
-                texts = _joined(lists, tokens)
-            else:
-                found = [[i for i in one or [] if 0 <= i < len(tokens)] for one in lists.to_pylist()]
-                texts = pa.array(whole.decode_batch(found, skip_special_tokens=False), pa.string())
+            texts = _decoded(batch.column(place), tokenizer)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*kept, inner])
 
     schema = T.StructType([*given.schema, T.StructField(inner, T.StringType())])
     return given.mapInArrow(run, schema).withColumnRenamed(inner, name)
 
 
+def _decoded(lists: pa.Array, tokenizer: str) -> pa.Array:
+    whole, tokens = _tokens(tokenizer)
+    if whole.decoder is not None:
+        found = [[i for i in one or [] if 0 <= i < len(tokens)] for one in lists.to_pylist()]
+        return pa.array(whole.decode_batch(found, skip_special_tokens=False), pa.string())
+    return _joined(lists, tokens)
+
+
 def _joined(lists: pa.Array, tokens: pa.Array) -> pa.Array:
     flat, lengths = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))

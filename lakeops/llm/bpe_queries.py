@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lakeops.llm.bpe import compile_lexicon, decode, encode
+from lakeops.llm.bpe import compile_lexicon, encode
 from lakeops.llm.registry import query, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -15,7 +15,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def op11_transducer_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     made = compile_lexicon(docs, TOKENIZER)
-    rows = decode(encode(docs, TOKENIZER, made["uri"] if made else None), TOKENIZER)
+    rows = encode(docs, TOKENIZER, made["uri"] if made else None, decoded=True)
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

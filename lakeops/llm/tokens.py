@@ -48,7 +48,7 @@ LEAD = 0xC3
 
 
 @functools.cache
-def _load(path: str, special_as_text: bool) -> Tokenizer:
+def load_tokenizer(path: str, special_as_text: bool) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
@@ -124,7 +124,7 @@ class PieceIds:
     """
 
     def __init__(self, path: str, kept: int = KEPT, special_as_text: bool = True):
-        self.tokenizer, self.kept = _load(path, special_as_text), kept
+        self.tokenizer, self.kept = load_tokenizer(path, special_as_text), kept
         self.added = None if special_as_text else _added(self.tokenizer)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)

@@ -66,8 +66,8 @@ def test_round_trip_equals_the_library(spark, hard_docs, no_docs, clashing, pros
         ids = plain.encode(r.text or "", add_special_tokens=False).ids
         want.append((r.doc_id, ids, plain.decode(ids, skip_special_tokens=False)))
     for uri in (made["uri"], None):
-        rows = decode(encode(docs, PATH, uri), PATH).collect()
-        assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.ids, r.decoded)) for r in rows)
+        for rows in (decode(encode(docs, PATH, uri), PATH), encode(docs, PATH, uri, decoded=True)):
+            assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.ids, r.decoded)) for r in rows.collect())
     assert compile_lexicon(no_docs, PATH) is None and encode(no_docs, PATH).count() == 0
 
 
