@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import hot_groups, lookup_join, salted_join
-from lakeops.operators.windows import order_chunks
+from lakeops.operators.windows import ROWS_IN_ONE_TASK, order_chunks, with_places
 from lakeops.session import materialize, parallelism
 
 
@@ -46,30 +46,43 @@ def rank_within(
 ) -> DataFrame:
     """``rank()`` of every row in its group, highest value first, as a bigint.
 
-    When a group is too large for one task, ranks are worked out over its distinct values with their
-    counts, cut into ranges of the value, and joined back to the rows.
+    Groups too large for one task are cut into chunks, also inside a value that many rows share. Rows are ranked in their
+    chunk and stored; a row per chunk then tells how many rows lie above it, and how many of those share its highest
+    value. Missing values are lowest.
     """
     hot = hot_groups(df, keys) if hot is None else hot
     if not hot:
         place = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(value).desc()))
         return df.withColumn(name, place.cast("bigint"))
-    counts = materialize(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows")), "rank-values")
-    chunked = order_chunks(counts, value, keys, hot)
-    higher_chunks = Window.partitionBy(*keys).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    above = (
-        chunked.groupBy(*keys, "_chunk")
-        .agg(F.sum("_rows").alias("_total"))
-        .withColumn("_above", F.coalesce(F.sum("_total").over(higher_chunks), F.lit(0)))
-        .drop("_total")
+    chunked = order_chunks(with_places(df), [value, "_place"], keys, hot)
+    inside = F.rank().over(Window.partitionBy(*keys, "_chunk").orderBy(F.col(value).desc()))
+    ranked = materialize(chunked.withColumn("_inside", inside).drop("_tie", "_place"), "ranked-chunks")
+    one = F.struct(F.col(value))  # keeps missing values apart from no rows
+    per_chunk = (
+        ranked.where(F.col("_chunk") != ROWS_IN_ONE_TASK)
+        .groupBy(*keys, "_chunk")
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.max(one).alias("_top"),
+            F.min(one).alias("_bottom"),
+            F.max("_inside").alias("_last"),
+        )
     )
-    higher_values = (
-        Window.partitionBy(*keys, "_chunk").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    downwards = Window.partitionBy(*keys).orderBy(F.col("_chunk").desc())
+    same_bottom = Window.partitionBy(*keys, "_bottom").orderBy(F.col("_chunk").desc())
+    over = (
+        # The rows that share the lowest value of this chunk, from the highest chunk that ends with it.
+        per_chunk.withColumn("_run", F.sum(F.col("_rows") - F.col("_last") + 1).over(same_bottom))
+        .withColumn("_above", F.coalesce(F.sum("_rows").over(downwards.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("_begun", F.lag("_bottom").over(downwards).eqNullSafe(F.col("_top")))
+        .withColumn("_equal", F.when(F.col("_begun"), F.lag("_run").over(downwards)).otherwise(0))
+        .select(*keys, "_chunk", "_top", "_above", "_equal")
     )
-    inside = chunked.withColumn("_before", F.coalesce(F.sum("_rows").over(higher_values), F.lit(0)))
-    ranks = salted_join(inside, above, [*keys, "_chunk"], "inner", hot={}, null_safe=True).select(
-        *keys, value, (F.col("_above") + F.col("_before") + 1).cast("bigint").alias(name)
-    )
-    return lookup_join(df, materialize(ranks, "ranks"), [*keys, value], "inner", null_safe=True)
+    # As many rows as there are chunks: a few per task.
+    joined = salted_join(ranked, F.broadcast(over), [*keys, "_chunk"], "left", hot={}, null_safe=True)
+    shared = one.eqNullSafe(F.col("_top"))
+    place = F.coalesce(F.col("_above"), F.lit(0)) + F.when(shared, 1 - F.col("_equal")).otherwise(F.col("_inside"))
+    return joined.withColumn(name, place.cast("bigint")).select(*df.columns, name)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

@@ -114,6 +114,71 @@ def salted_join(
     return joined.drop("_salt")
 
 
+def _cells(left_rows: float, right_rows: float, cells: int) -> tuple[int, int]:
+    """How many pieces each side of a key is cut into, so that there are ``cells`` pairs of them and the fewest copies.
+
+    Every piece of one side meets every piece of the other, so left rows are copied as often as there are right pieces.
+    Both numbers are powers of two; the copies are fewest where pieces of both sides are alike in size.
+    """
+    steps = max(0, math.ceil(math.log2(cells)))
+    left = round((steps + math.log2(left_rows / right_rows)) / 2)
+    left = min(max(left, 0), steps)
+    return 2**left, 2 ** (steps - left)
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join for keys that may hold a large part of the rows on both sides.
+
+    The rows of such a key are cut on both sides, and each pair of pieces is a cell of its own: left rows are dealt over
+    the rows of that grid and copied along them, right rows over its columns. A key that is hot on one side only is cut
+    there, others are not. Hot keys, and how they are cut, come from a sketch and a count of each side.
+
+    A left join takes keys that are hot on both sides apart, as their rows all find partners: the others are joined
+    without copies of left rows. Semi and anti joins look at the distinct keys of the right side.
+    """
+    if how not in REPLICABLE_JOINS:
+        raise ValueError(f"a grid join cannot be {how!r}: copied rows would show in the result")
+    if how in ("left_semi", "left_anti"):
+        return salted_join(left, right.select(*on).distinct(), on, how)
+    left_hot, right_hot = hot_groups(left, on), hot_groups(right, on)
+    both = left_hot.keys() & right_hot.keys()
+    if how == "left":
+        one_sided = {key: share for key, share in left_hot.items() if key not in both}
+        if not both:
+            return salted_join(left, right, on, "left", one_sided)
+        # A missing key matches nothing, however hot.
+        present = reduce(Column.__and__, [F.col(key).isNotNull() for key in on])
+        apart = group_hash(on).isin(list(both)) & present
+        rest = salted_join(left.where(~apart), right.where(~apart), on, "left", one_sided)
+        return grid_join(left.where(apart), right.where(apart), on).unionByName(rest)
+    if not left_hot and not right_hot:
+        return left.join(right, list(on), how)
+    tasks = parallelism(left.sparkSession)
+    left_rows, right_rows = left.count(), right.count()
+    levels: dict[tuple[int, int], list[int]] = {}
+    for key in left_hot.keys() | right_hot.keys():
+        # Pairs of a key that is hot on both sides are most of the work, so it alone fills all tasks.
+        share = 1.0 if key in both else max(left_hot.get(key, 0), right_hot.get(key, 0))
+        sizes = max(1, left_hot.get(key, 0) * left_rows), max(1, right_hot.get(key, 0) * right_rows)
+        levels.setdefault(_cells(*sizes, max(2, math.ceil(2 * share * tasks))), []).append(key)
+
+    def pieces(side: int) -> Column:
+        count = F.lit(1)
+        for cut, items in levels.items():
+            count = F.when(group_hash(on).isin(items), F.lit(cut[side])).otherwise(count)
+        return count
+
+    def dealt(df: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        values = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        place = F.pmod(F.xxhash64(F.spark_partition_id(), *values), pieces(side)).cast("int")
+        placed = df.withColumn(own, place)
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), pieces(1 - side) - 1)))
+
+    cells = ["_grid_row", "_grid_column"]
+    joined = dealt(left, *cells, 0).join(dealt(right, *cells[::-1], 1), [*on, *cells], "inner")
+    return joined.drop(*cells)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure whether ``df`` is small enough to send to every executor.
 

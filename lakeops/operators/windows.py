@@ -7,90 +7,81 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from lakeops.functions.change import percent_change
-from lakeops.operators.quantiles import cutting_points
 from lakeops.operators.skew import group_hash, hot_groups
 from lakeops.session import materialize, parallelism
 
 ROWS_IN_ONE_TASK = -1  # chunk number of groups that need no cutting
+#: Sampled rows per chunk. Cutting points need not be exact: they decide how large chunks become, never a result.
+SAMPLED = 32
 
 
-def _marks(df: DataFrame, order: str, keys: Sequence[str], hot: dict[int, float]) -> list[tuple]:
-    """Cutting points of every hot group, as arrays of arrays of about equal length."""
-    points = df.select(_group(keys).alias("_group"), F.col(order).alias("_mark"))
-    points = points.where(F.col("_group").isin(list(hot)) & F.col("_mark").isNotNull())
-    tasks = parallelism(df.sparkSession)
-    countable = isinstance(df.schema[order].dataType, (T.NumericType, T.DatetimeType))
-    found = _quantile_marks(points, hot, tasks) if countable else _range_marks(points, tasks)
-    cuts = []
-    for group, values in found.items():
-        # Not a number is above all others, and so in the last chunk without a mark of its own.
-        marks = sorted({mark for mark in values if mark == mark})
-        length = max(1, math.isqrt(len(marks)))
-        if marks:
-            cuts.append((group, [marks[i : i + length] for i in range(0, len(marks), length)]))
-    return cuts
-
-
-def _quantile_marks(points: DataFrame, hot: dict[int, float], tasks: int) -> dict[int, list]:
-    pieces = max(2, math.ceil(max(hot.values()) * tasks))
-    found = {}
-    for row in cutting_points(points, ["_mark"], pieces, by=["_group"]).collect():
-        # A smaller group takes every n-th point only.
-        wanted = max(2, math.ceil(hot[row["_group"]] * tasks))
-        every = max(1, pieces // wanted)
-        found[row["_group"]] = row["_mark"][every - 1 :: every]
-    return found
-
-
-def _range_marks(points: DataFrame, tasks: int) -> dict[int, list]:
-    """For texts, which have no quantiles: the first value of each range of a range partitioning."""
-    ranges = points.repartitionByRange(max(2, tasks), "_group", "_mark")
-    starts = ranges.groupBy("_group", F.spark_partition_id().alias("_range")).agg(F.min("_mark").alias("_mark"))
-    found: dict[int, list] = {}
-    for row in starts.collect():
-        found.setdefault(row["_group"], []).append(row["_mark"])
-    # What lies before the second range is the first chunk.
-    return {group: sorted(marks)[1:] for group, marks in found.items()}
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed, which puts rows that an order leaves equal in one defined order."""
+    return F.xxhash64(*[name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
+def with_places(df: DataFrame) -> DataFrame:
+    """``df``, stored, with ``_tie`` (a hash of the row) and ``_place`` (where it lay).
+
+    Behind other order columns they make the order total, so that cuts can lie inside rows that are all alike.
+    """
+    return materialize(df.withColumns({"_tie": row_hash(df), "_place": F.monotonically_increasing_id()}), "chunks")
 
 
 def _group(keys: Sequence[str]) -> Column:
     return group_hash(keys) if keys else F.lit(0).cast("bigint")
 
 
+def _marks(df: DataFrame, columns: Sequence[str], keys: Sequence[str], hot: dict[int, float]) -> DataFrame:
+    """Per hot group the points that cut its rows, in the order of all ``columns``, into chunks of half a task's share.
+
+    They come from a random sample of the group, which holds about ``SAMPLED`` rows a chunk, so it grows with the number
+    of tasks and not with the rows. The points are arrays of arrays of about equal length.
+    """
+    tasks, rows = parallelism(df.sparkSession), max(1, df.count())
+    chunks = sum(max(2, math.ceil(2 * share * tasks)) for share in hot.values())
+    rate = min(1.0, SAMPLED * chunks / (rows * sum(hot.values())))
+    points = df.select(_group(keys).alias("_group"), F.struct(*columns).alias("_point"))
+    sample = points.where(F.col("_group").isin(list(hot)) & (F.rand(7) < rate))
+    sorted_points = sample.groupBy("_group").agg(F.sort_array(F.collect_list("_point")).alias("_points"))
+    pieces = F.greatest(F.lit(2), F.ceil(F.size("_points") * (2 * tasks / (rate * rows)))).cast("int")
+    return (
+        sorted_points.withColumn("_pieces", pieces)
+        .withColumn("_at", F.sequence(F.lit(1), F.col("_pieces") - 1))
+        .withColumn("_at", F.transform("_at", lambda i: F.floor(i * F.size("_points") / F.col("_pieces")).cast("int") + 1))
+        .withColumn("_points", F.array_distinct(F.transform("_at", lambda i: F.element_at("_points", i))))
+        .withColumn("_length", F.ceil(F.sqrt(F.size("_points"))).cast("int"))
+        .withColumn("_at", F.sequence(F.lit(1), F.size("_points"), F.col("_length")))
+        .select("_group", F.transform("_at", lambda i: F.slice("_points", i, F.col("_length"))).alias("_marks"))
+    )
+
+
 def order_chunks(
-    df: DataFrame, order: str, keys: Sequence[str] = (), hot: dict[int, float] | None = None
+    df: DataFrame, order: str | Sequence[str], keys: Sequence[str] = (), hot: dict[int, float] | None = None
 ) -> DataFrame:
-    """Add ``_chunk``, which rises with ``order`` inside each hot key group and is -1 in the others.
+    """Add ``_chunk``, which rises with all columns of ``order`` inside each hot key group and is -1 in the others.
 
-    Without ``keys`` all rows are one group. Equal values of ``order`` share a chunk.
+    Without ``keys`` all rows are one group. Rows that are equal in all of ``order`` share a chunk, so a group is cut
+    inside any value of its first columns. ``df`` is read three times, so store it unless it is a plain scan.
     """
+    columns = order_columns(order)
     if not keys:
         hot = {0: 1.0}
     elif hot is None:
         hot = hot_groups(df, keys)
-    cuts = _marks(df, order, keys, hot) if hot else []
-    if not cuts:
+    if not hot:
         return df.withColumn("_chunk", F.lit(ROWS_IN_ONE_TASK))
-    schema = T.StructType(
-        [
-            T.StructField("_group", T.LongType()),
-            T.StructField("_marks", T.ArrayType(T.ArrayType(df.schema[order].dataType))),
-        ]
-    )
-    bounds = df.sparkSession.createDataFrame(cuts, schema)
-    value = F.col(order)
-
-    def below(marks: Column) -> Column:
-        return F.size(F.filter(marks, lambda mark: mark <= value))
-
+    # Stored, so that every reader of the chunks cuts alike; a row per hot group.
+    bounds = materialize(_marks(df, columns, keys, hot), "cuts")
+    value = F.struct(*columns)
     # First the block of cutting points, then the point inside it.
     block = F.size(F.filter("_marks", lambda marks: marks[0] <= value))
     length = F.size(F.col("_marks")[0])
-    chunk = F.when(block == 0, F.lit(0)).otherwise((block - 1) * length + below(F.get("_marks", block - 1)))
+    inside = F.size(F.filter(F.get("_marks", block - 1), lambda mark: mark <= value))
+    chunk = F.when(block == 0, F.lit(0)).otherwise((block - 1) * length + inside)
     return (
         df.withColumn("_group", _group(keys))
         .join(F.broadcast(bounds), "_group", "left")
@@ -123,14 +114,14 @@ def carry_rows(chunked: DataFrame, order: str | Sequence[str], keys: Sequence[st
         # One hot group's edges: `rows` times its number of chunks.
         edges = Window.partitionBy(*keys).orderBy("_chunk", *columns)
         copies = (
-            cut.withColumn("_place", F.row_number().over(edge))
-            .where(F.col("_place") <= rows)
+            cut.withColumn("_from_edge", F.row_number().over(edge))
+            .where(F.col("_from_edge") <= rows)
             .withColumn("_goes", F.array(*[neighbour("_chunk", i).over(edges) for i in range(1, rows + 1)]))
             .withColumn("_goes", F.explode(F.array_distinct("_goes")))
             .where(F.col("_goes") != F.col("_chunk"))
             .withColumn("_chunk", F.col("_goes"))
             .withColumn("_carried", F.lit(True))
-            .drop("_place", "_goes")
+            .drop("_from_edge", "_goes")
         )
         result = result.unionByName(copies)
     return result
@@ -147,20 +138,21 @@ def over_rows(
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows back and ``ahead`` rows ahead.
 
-    ``order`` is a column or several, of which the later break ties of the earlier; together they should be
-    unique in each group, as the place of equal rows is not defined. ``bounded`` says that groups are known to
-    be small, as after an aggregation by calendar day; otherwise large groups are cut into chunks by the first
-    column, and the chunks are stored once for what reads them.
+    ``order`` is a column or several, of which the later break ties of the earlier; rows that are equal in all of them
+    follow a hash of the row, and rows that are equal altogether may stand in any order. ``bounded`` says that groups are
+    known to be small, as after an aggregation by calendar day; otherwise the rows are stored if a group is large, and it
+    is cut into chunks anywhere in that order.
     """
     by = order_columns(order)
     hot = {} if bounded else {0: 1.0} if not keys else hot_groups(df, keys)
     if not hot:
-        window = Window.partitionBy(*keys).orderBy(*by)
+        window = Window.partitionBy(*keys).orderBy(*by, row_hash(df))
         return df.withColumns({name: build(window) for name, build in columns.items()})
-    chunked = carry_rows(materialize(order_chunks(df, by[0], keys, hot), "chunks"), by, keys, back, ahead)
+    by = [*by, "_tie", "_place"]
+    chunked = carry_rows(order_chunks(with_places(df), by, keys, hot), by, keys, back, ahead)
     window = Window.partitionBy(*keys, "_chunk").orderBy(*by)
     result = chunked.withColumns({name: build(window) for name, build in columns.items()})
-    return result.where(~F.col("_carried")).drop("_chunk", "_carried")
+    return result.where(~F.col("_carried")).drop("_chunk", "_carried", "_tie", "_place")
 
 
 def lag_lead(

@@ -271,19 +271,48 @@ def moving_avg_per_type(spark, sf):
     "moving_avg_ties",
     """
     SELECT l_orderkey, l_linenumber, round(avg(l_quantity) OVER w, 4) AS moving_avg
-    FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber
+    FROM lineitem WINDOW w AS (PARTITION BY l_returnflag
+                               ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
                                ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
     """,
 )
 def moving_avg_ties(spark, sf):
-    """Many lines ship on one day; order and line number tell which comes first."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity")
-    averages = windows.moving_average(
-        lines, ["l_shipdate", "l_orderkey", "l_linenumber"], "l_quantity", ["l_returnflag"], rows=7
-    )
+    """Many lines ship on one day, and order and line number repeat; the quantity itself tells the last of them apart."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    lines = table(spark, sf, "lineitem").select("l_returnflag", *order)
+    averages = windows.moving_average(lines, order, "l_quantity", ["l_returnflag"], rows=7)
     return averages.select("l_orderkey", "l_linenumber", F.round("moving_avg", 4).alias("moving_avg"))
 
 
+@query(
+    "moving_avg_hot_order",
+    """
+    SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+           round(avg(l_quantity) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 4) AS moving_avg
+    FROM lineitem WINDOW w AS (ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)
+    """,
+)
+def moving_avg_hot_order(spark, sf):
+    """One sequence whose first order value is the same for a large part of the rows, so cuts lie inside that value."""
+    order = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    lines = table(spark, sf, "lineitem").select(*order)
+    averages = windows.moving_average(lines, order, "l_quantity", rows=5)
+    return averages.withColumn("moving_avg", F.round("moving_avg", 4))
+
+
+@query(
+    "lag_lead_even_rows",
+    """
+    SELECT o_orderstatus, o_orderpriority, lag(o_orderpriority) OVER w AS previous, lead(o_orderpriority) OVER w AS following
+    FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderpriority)
+    """,
+)
+def lag_lead_even_rows(spark, sf):
+    """Thousands of orders of a status are alike in all that is asked for; any of them may come first."""
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
+    return windows.lag_lead(orders, "o_orderpriority", "o_orderpriority", ["o_orderstatus"])
+
+
 @query(
     "date_gaps",
     """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.operators import relational
-from lakeops.operators.skew import lookup_join, lookup_join_on, salted_join
+from lakeops.operators.skew import grid_join, lookup_join, lookup_join_on, salted_join
 from lakeops.queries.registry import query, table
 from lakeops.sources.readers import query_table, read_path_sql
 
@@ -162,6 +162,60 @@ def join_salted_left(spark, sf):
     return salted_join(lines, parts, ["p_partkey"], "left").drop("p_partkey")
 
 
+_BOTH_HOT = """
+    WITH a AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN o_custkey % 700 END AS site
+      FROM orders
+    ),
+    b AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey END AS site, s_suppkey, s_nationkey FROM supplier)
+"""
+
+
+def _both_hot(spark, sf):
+    """A third of the orders and a third of the suppliers are at one site; another third of the orders has none."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(0).cast("bigint"))
+        .when(F.col("o_orderkey") % 3 == 1, F.col("o_custkey") % 700)
+        .cast("bigint")
+        .alias("site"),
+    )
+    site = F.when(F.col("s_suppkey") % 3 == 0, F.lit(0)).otherwise(F.col("s_suppkey")).cast("bigint").alias("site")
+    return orders, table(spark, sf, "supplier").select(site, "s_suppkey", "s_nationkey")
+
+
+@query(
+    "grid_join",
+    _BOTH_HOT
+    + """
+    SELECT site, s_nationkey, count(*) AS pairs, CAST(sum(o_orderkey % 100) AS BIGINT) AS marks
+    FROM a JOIN b USING (site) GROUP BY site, s_nationkey
+    """,
+)
+def join_grid(spark, sf):
+    orders, suppliers = _both_hot(spark, sf)
+    pairs = grid_join(orders, suppliers, ["site"])
+    return pairs.groupBy("site", "s_nationkey").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum(F.col("o_orderkey") % 100).alias("marks")
+    )
+
+
+@query(
+    "grid_left_join",
+    _BOTH_HOT
+    + """
+    SELECT o_orderkey, any_value(a.site) AS site, count(s_suppkey) AS suppliers, min(s_suppkey) AS first_supplier
+    FROM a LEFT JOIN b ON a.site = b.site GROUP BY o_orderkey
+    """,
+)
+def join_grid_left(spark, sf):
+    orders, suppliers = _both_hot(spark, sf)
+    pairs = grid_join(orders, suppliers, ["site"], "left")
+    return pairs.groupBy("o_orderkey").agg(
+        F.any_value("site").alias("site"), F.count("s_suppkey").alias("suppliers"), F.min("s_suppkey").alias("first_supplier")
+    )
+
+
 @query(
     "union_by_name",
     """

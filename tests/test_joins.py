@@ -140,3 +140,44 @@ def test_lookups_too_large_to_broadcast(sides, rows, monkeypatch):
     assert rows(salted, "id", "part") == rows(plain, "id", "part")
     anti = skew.lookup_join(left, lookup, ["key"], "left_anti")
     assert rows(anti) == rows(left.join(lookup, ["key"], "left_anti"))
+
+
+@pytest.fixture(scope="module")
+def both_hot(spark):
+    """Key A has a third of both sides, B of the left and C of the right only; a sixth of each has no key."""
+
+    def side(n, own, name):
+        key = (
+            F.when(F.col("id") % 3 == 0, "A")
+            .when(F.col("id") % 6 == 1, own)
+            .when(F.col("id") % 6 == 2, None)
+            .otherwise(F.concat(F.lit("K"), F.col("id") % 90))
+        )
+        return spark.range(n).select(key.alias("key"), F.col("id").alias(name), F.lit("x").alias(f"{name}_text"))
+
+    return side(1200, "B", "l"), side(300, "C", "r")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_grid_join_equals_plain_join(both_hot, rows, how):
+    left, right = both_hot
+    got, plain = skew.grid_join(left, right, ["key"], how), left.join(right, ["key"], how)
+    assert got.columns == plain.columns and rows(got) == rows(plain)
+
+
+def test_grid_join_of_equal_rows_and_of_nothing(both_hot, rows):
+    left, right = (df.select("key") for df in both_hot)
+    assert skew.grid_join(left, right, ["key"], "left").groupBy("key").count().where("key = 'A'").first()[1] == 400 * 100
+    for a, b in ((left.limit(0), right), (left, right.limit(0))):
+        for how in ("inner", "left"):
+            assert rows(skew.grid_join(a, b, ["key"], how)) == rows(a.join(b, ["key"], how))
+
+
+def test_grid_cells_are_alike(both_hot):
+    # As many cells as asked for; the larger side is cut into more pieces.
+    assert skew._cells(1000, 1000, 16) == (4, 4)
+    assert skew._cells(64_000, 1000, 16) == (16, 1)
+    assert skew._cells(1, 1000, 8) == (1, 8)
+    left, right = both_hot
+    cells = skew.grid_join(left, right, ["key"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_grid_row" in cells and "_grid_column" in cells

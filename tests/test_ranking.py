@@ -81,3 +81,24 @@ def test_group_stats_and_bonus(apples, rows):
 def test_top_by_count_orders_ties_by_value(spark):
     words = spark.createDataFrame([(w,) for w in "b b a a c d".split()], "word string")
     assert [tuple(r) for r in ranking.top_by_count(words, "word", 3).collect()] == [("a", 2), ("b", 2), ("c", 1)]
+
+
+def test_rank_where_many_rows_share_a_value(spark, rows):
+    """A value that is cut into several chunks, at the top, in the middle and at the bottom of its group."""
+    for share in (100, 50, 0, None):
+        data = spark.range(6000).select(
+            F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 2 == 1, None).alias("k"),
+            F.when(F.col("id") % 5 < 3, F.lit(share)).otherwise(F.col("id") % 101).alias("v"),
+        )
+        plain = data.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc())))
+        got = ranking.rank_within(data, ["k"], "v", "r")
+        assert rows(got) == rows(plain)
+
+
+def test_rank_of_numbers_that_are_none(spark, rows):
+    data = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, float("nan")).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 9 * -0.0).alias("v"),
+        F.lit(1).alias("k"),
+    )
+    plain = data.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc())))
+    assert rows(ranking.rank_within(data, ["k"], "v", "r"), "r") == rows(plain, "r")

@@ -53,3 +53,25 @@ def test_streaks_reach_over_the_end_of_a_month(spark, rows):
         ("ann", date(2031, 4, 26), date(2031, 5, 3), 8),
         ("cat", date(2031, 4, 30), date(2031, 5, 3), 4),
     ]
+
+
+def test_days_are_made_from_gaps_without_a_join(spark):
+    days = spark.createDataFrame(READINGS, "meter string, day string")
+    plan = sequences.missing_dates(days, ["meter"], "day")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_integers_around_wide_gaps_and_many_ranges(spark, rows):
+    stray = spark.createDataFrame([(n,) for n in (None, -40_000, 3, 4, 6, 6)], "num bigint")
+    assert rows(sequences.missing_integers(stray, "num")) == sorted([(n,) for n in range(-39_999, 3)] + [(5,)], key=repr)
+    every_third = spark.range(0, 3000, 3).toDF("num")
+    assert rows(sequences.missing_integers(every_third, "num")) == sorted(((n,) for n in range(2998) if n % 3), key=repr)
+
+
+def test_integers_of_a_given_range(spark, rows):
+    numbers = spark.createDataFrame([(n,) for n in (1, 5, 9)], "num bigint")
+    given = lambda a, b: [n for n, in rows(sequences.missing_integers(numbers, "num", a, b))]
+    assert sorted(given(4, 7)) == [4, 6, 7] and sorted(given(10, 12)) == [10, 11, 12] and given(5, 5) == []
+    assert given(7, 4) == [] and sorted(given(-1, None)) == [-1, 0, 2, 3, 4, 6, 7, 8] and sorted(given(None, 3)) == [2, 3]
+    nothing = numbers.limit(0)
+    assert sorted(rows(sequences.missing_integers(nothing, "num", 1, 3))) == [(1,), (2,), (3,)]

@@ -156,3 +156,44 @@ def test_cutting_points_of_several_columns(spark):
     assert all(abs(got - want) < 30 for got, want in zip(cuts["id"], (250, 500, 750)))
     assert all(abs(got - want) < 60 for got, want in zip(cuts["double"], (500, 1000, 1500)))
     assert not cuts["nothing"]
+
+
+@pytest.fixture(scope="module")
+def one_value(spark):
+    """Half of the rows have the same first order value, and an eighth are all alike."""
+    day = F.when(F.col("id") % 2 == 0, 50).otherwise(F.col("id") % 100)
+    number = F.when(F.col("id") % 8 == 0, 0).otherwise(F.col("id"))
+    return spark.range(8000).select(day.alias("day"), number.alias("number"), (number % 7).cast("double").alias("value"))
+
+
+def test_a_hot_order_value_is_cut_inside(spark, one_value):
+    stored = windows.with_places(one_value)
+    chunks = windows.order_chunks(stored, ["day", "number", "_tie", "_place"]).groupBy("_chunk")
+    sizes = [r["count"] for r in chunks.count().collect()]
+    # Eight tasks, so sixteen chunks; each holds about a sixteenth, also of the rows that are alike.
+    assert len(sizes) > 8 and max(sizes) < 8000 / 8
+    ranges = chunks.agg(F.min(F.struct("day", "number")).alias("a"), F.max(F.struct("day", "number")).alias("b"))
+    ends = [(tuple(r["a"]), tuple(r["b"])) for r in ranges.orderBy("_chunk").collect()]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_windows_over_a_hot_order_value_equal_plain_ones(spark, one_value, rows):
+    window = Window.orderBy("day", "number")
+    columns = {"p": F.lag("number").over(window), "m": F.avg("value").over(window.rowsBetween(-4, 0))}
+    plain = one_value.withColumns(columns)
+    order = ["day", "number"]
+    got = windows.over_rows(
+        one_value,
+        order,
+        {"p": lambda w: F.lag("number").over(w), "m": lambda w: F.avg("value").over(w.rowsBetween(-4, 0))},
+        back=4,
+    )
+    assert rows(got) == rows(plain)
+
+
+def test_equal_order_values_follow_the_row_in_any_partitioning(spark, rows):
+    data = spark.range(600).select((F.col("id") % 5).alias("day"), F.col("id").alias("value"), (F.col("id") % 2).alias("k"))
+    for keys in ([], ["k"]):
+        first = windows.lag_lead(data, "day", "value", keys)
+        assert rows(first) == rows(windows.lag_lead(data.repartition(5), "day", "value", keys))
+        assert rows(first) == rows(windows.lag_lead(data.orderBy(F.col("value").desc()), "day", "value", keys, bounded=True))
