@@ -10,7 +10,7 @@ from lakeops.queries.registry import query, table
 from lakeops.session import parallelism, work_dir
 from lakeops.sources import footers, layout, readers, sinks
 from lakeops.sources.snapshots import VersionedTable
-from lakeops.streaming import file_stream
+from lakeops.streaming import file_stream, growing
 
 
 @query(
@@ -130,6 +130,33 @@ def stream_ingest(spark, sf):
     return spark.read.schema(schema).parquet(sink)
 
 
+@query(
+    "stream_growing",
+    """
+    SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS value,
+           CASE WHEN event_type IN ('error', 'click') THEN event_type END AS event_type,
+           CASE WHEN event_type IN ('error', 'click') THEN ts END AS seen,
+           CASE WHEN event_type = 'error' THEN '{"value":"out of range"}' END AS rescued
+    FROM events
+    """,
+)
+def stream_growing(spark, sf):
+    """Later files bring two new columns, and a text for the value, which is no number in some of them."""
+    base = work_dir(spark, "stream-growing")
+    events = table(spark, sf, "events")
+    late = F.coalesce(F.col("event_type").isin("error", "click"), F.lit(False))
+    early_files = events.where(~late).select("event_id", "user_id", "value")
+    text = F.when(F.col("event_type") == "error", "out of range").otherwise(F.col("value").cast("string"))
+    seen = F.col("ts").alias("seen")
+    late_files = events.where(late).select("event_id", "event_type", text.alias("VALUE"), "user_id", seen)
+    for arriving in (early_files, late_files):
+        arriving.write.mode("append").parquet(f"{base}/landed")
+        growing.drain_growing(
+            spark, f"{base}/landed", f"{base}/sink", f"{base}/schema", f"{base}/checkpoint", rescued="rescued"
+        )
+    return growing.read_grown(spark, f"{base}/sink", f"{base}/schema", rescued="rescued")
+
+
 @query(
     "stream_upsert",
     """
