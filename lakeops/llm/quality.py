@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeops.llm.columns import SPACE_CLASS, SPACES, free_name, spaced_words
+from lakeops.operators.skew import fits_broadcast
 from lakeops.session import materialize
 
 #: The characters that count as symbols.
@@ -45,8 +46,9 @@ def measured(df: DataFrame, text: str, into: str) -> DataFrame:
     """``df`` with a struct column of counts and the badness score of each whole text.
 
     Null and empty texts have no words: all counts are 0 and the badness is 0. ``n_repeat_words`` counts the words that
-    lie in three-word windows found twice or more in the text. Windows are compared by hash: each window is packed with
-    its place into one long, the longs are sorted, and equal neighbours are windows found again.
+    lie in three-word windows found twice or more in the text: the hash of each window is packed with its place into one
+    long, the longs are sorted, and neighbours of equal hash whose words are equal, too, are windows found again. Next
+    neighbours but one are compared as well, so one other window of the same hash between two equal ones does no harm.
     """
     names = {n: free_name(df, f"_{n}") for n in (
         "text", "words", "n", "bits", "windows", "found", "lines", "distinct", "length", "chars", "symbols", "marks",
@@ -91,11 +93,22 @@ def measured(df: DataFrame, text: str, into: str) -> DataFrame:
         ).otherwise(F.array().cast("array<bigint>")),
     )
 
-    def same(x: Column, y: Column) -> Column:
-        return F.call_function("shiftrightunsigned", x.bitwiseXOR(y), bits) == 0  # null, so not kept, beyond the ends
-
-    again = F.filter(windows, lambda x, j: same(x, F.get(windows, j + 1)) | same(x, F.get(windows, j - 1)))
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+
+    def same(x: Column, y: Column) -> Column:
+        # Null, so not kept, beyond the ends; words are looked at only where hashes are equal.
+        hashes = F.call_function("shiftrightunsigned", x.bitwiseXOR(y), bits) == 0
+        one, other = x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int")
+        equal = [F.get(words, one + i) == F.get(words, other + i) for i in range(3)]
+        return F.when(hashes, equal[0] & equal[1] & equal[2]).otherwise(F.lit(False))
+
+    again = F.filter(
+        windows,
+        lambda x, j: same(x, F.get(windows, j + 1))
+        | same(x, F.get(windows, j - 1))
+        | same(x, F.get(windows, j + 2))
+        | same(x, F.get(windows, j - 2)),
+    )
     step4 = step3.withColumn(names["found"], F.sort_array(F.transform(again, lambda x: x.bitwiseAND(mask))))
     covered = F.aggregate(
         F.transform(found, lambda x, j: F.least(F.lit(3).cast("long"), F.coalesce(F.get(found, j + 1) - x, F.lit(3)))),
@@ -249,14 +262,17 @@ def quality_report(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -
 def keep_good(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns and no others.
 
-    Texts are measured twice, once for the cutoffs and once for the verdict, instead of being shuffled for a join. The
-    row number keeps the filter above the counting; pushed below it, Spark would copy the counts into the filter.
+    For the cutoffs only texts with a label are measured, where the labelled ids are few enough to be broadcast; else all
+    are, instead of being shuffled for a join. A missing text has no words; repeated rows are judged each. The row number
+    keeps the filter above the counting; pushed below it, Spark would copy the counts into the filter.
     """
     counts, number = free_name(docs, "_counts"), free_name(docs, "_number")
     failed, kept = free_name(docs, "_failed"), free_name(docs, "_kept")
-    for_cutoffs = materialize(
-        measured(docs.select("doc_id", "lang", "text"), "text", "counts").drop("text"), "quality-counts"
-    )
+    texts = docs.select("doc_id", "lang", "text")
+    marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select("doc_id").distinct()
+    if fits_broadcast(marked):
+        texts = texts.join(F.broadcast(marked), "doc_id", "left_semi").select("doc_id", "lang", "text")
+    for_cutoffs = materialize(measured(texts, "text", "counts").drop("text"), "quality-counts")
     cutoffs = materialize(
         certified_cutoffs(_labelled(for_cutoffs, labels, "doc_id", "lang", "counts", rules), rules), "quality-cutoffs"
     )

@@ -76,3 +76,13 @@ def test_keep_good_returns_the_rows_as_they_were(spark, hard_docs, no_docs, labe
     assert kept.columns == docs.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 2, 3, 8, None, 10])
     assert keep_good(no_docs, labels).count() == 0 and keep_good(hard_docs, labels.limit(0)).count() == 7
+
+
+def test_repeats_in_a_text_of_over_a_million_words(spark, hard_docs, labels):
+    """Few words make many repeats; numbers make none but those put in."""
+    numbers = [str(i) for i in range(1_100_000)]
+    numbers[500_000:500_003] = numbers[7:10]
+    texts = [" ".join(numbers), "a b " * 60_000 + "c"]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in enumerate(texts)], hard_docs.schema)
+    got = {r.doc_id: r.n_repeat_words for r in quality_report(docs, labels).collect()}
+    assert got == {0: 6, 1: 120_000}
