@@ -5,18 +5,21 @@ ASCII capitals are folded, every ASCII character that is no letter or digit part
 a document joined by single blanks; since normalising keeps the bytes of a word in place, the byte offsets of the words
 lead back to the original text.
 
-The automaton of a block of windows is broadcast as its patterns. A block is bounded by ``BLOCK_BYTES``; a benchmark
-with more windows is dealt into several blocks, which scan each document one after another in the same task.
+The automaton of a block of windows is broadcast as its patterns. A block is bounded by ``BLOCK_BYTES``. A benchmark with
+more windows is dealt into several blocks; the documents and what one block found are stored before the next is sent, so
+the driver and every worker hold one block at a time, however large the benchmark.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +29,7 @@ from lakeops.session import materialize
 
 WINDOW = 10
 #: Bytes of window texts in one automaton.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Letters and digits as they are, capitals folded, bytes of other characters as they are, all else a blank.
 FOLD = bytes(
     ord(chr(b).lower()) if chr(b).isalnum() and b < 128 else b if b >= 128 else 32 for b in range(256)
@@ -108,6 +111,17 @@ class Scanner:
         return len(words), sum(b - a for a, b in runs), spans, {item for *_, items in found for item in items}
 
 
+_SCANNERS: dict[str, Scanner] = {}
+
+
+def _worker_scanner(block: str, patterns: Broadcast) -> Scanner:
+    """The automaton of a block, built once per worker; that of the block before it goes."""
+    if block not in _SCANNERS:
+        _SCANNERS.clear()
+        _SCANNERS[block] = Scanner(patterns.value)
+    return _SCANNERS[block]
+
+
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -118,7 +132,7 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scanned(df: DataFrame, text: str, into: str, patterns) -> DataFrame:
+def _scanned(df: DataFrame, text: str, into: str, patterns: Broadcast) -> DataFrame:
     """``df`` with the scan of one block added to the struct column ``into``."""
     known = into in df.columns
     kind = T.StructType(
@@ -134,8 +148,10 @@ def _scanned(df: DataFrame, text: str, into: str, patterns) -> DataFrame:
     spans_type, items_type = pa.list_(pa.list_(pa.int64())), pa.list_(pa.string())
     arrow = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", spans_type), ("items", items_type)])
 
+    block = uuid.uuid4().hex
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(patterns.value)
+        scanner = _worker_scanner(block, patterns)
         for batch in batches:
             before = batch.column(batch.schema.get_field_index(into)).to_pylist() if known else None
             out = []
@@ -164,12 +180,15 @@ def scanned(
     columns of equal names. For ``unnamed`` see ``benchmark_windows``.
     """
     windows = materialize(benchmark_windows(benchmark, unnamed=unnamed), "benchmark-windows")
+    context, sent = docs.sparkSession.sparkContext, None
     # The last column, so that a chain of blocks keeps its place.
     for block in _blocks(windows, block_bytes):
-        docs = _scanned(docs, text, into, docs.sparkSession.sparkContext.broadcast(block))
-    if into not in docs.columns:
-        docs = _scanned(docs, text, into, docs.sparkSession.sparkContext.broadcast([]))
-    return docs
+        if sent is not None:
+            docs = materialize(docs, "scanned")
+            sent.destroy()
+        sent = context.broadcast(block)
+        docs = _scanned(docs, text, into, sent)
+    return docs if sent is not None else _scanned(docs, text, into, context.broadcast([]))
 
 
 def contamination_report(
@@ -199,7 +218,8 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, with all their columns.
 
-    With ``unnamed``, windows of items without an id count, too.
+    With ``unnamed``, windows of items without an id count, too. Rows without words stay; repeated rows are judged each;
+    an empty benchmark keeps all.
     """
     into = free_name(docs, "_found")
     found = scanned(docs, benchmark, "text", into, block_bytes, unnamed)
