@@ -1,9 +1,12 @@
 """Best-fit packing of token ids into sequences of a fixed size.
 
-Each task packs its own rows, so nothing is shuffled: pieces go to the open bin with the least room that still takes
+Each task packs its own rows, so no text is shuffled: pieces go to the open bin with the least room that still takes
 them. Open bins are kept by their free space, and a bitset with a bit per free space finds the bin in constant time. At
 most ``OPEN_BINS`` bins are open; where one more is needed, the fullest closes. Pieces wait in a small window and enter
 the longest first, so that short ones fill what long ones leave.
+
+What a task leaves with room is packed anew: the pieces of all sequences that are filled to less than ``FULL_PERCENT`` go
+to a few groups over all tasks, so that many tasks need hardly more sequences than one.
 """
 
 from __future__ import annotations
@@ -13,19 +16,29 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.llm.columns import free_name
 from lakeops.llm.tokens import piece_ids
+from lakeops.session import materialize
 
 SIZE = 2048
 OPEN_BINS = 4096
+#: Sequences that are filled less are packed again with those of other tasks.
+FULL_PERCENT = 99
+#: Pieces that are packed again in one task, about.
+GROUP_PIECES = 500_000
 #: Tokens that wait at a time.
 WAITING = 8 << 20
 #: Texts that are encoded at a time, by characters.
 CHUNK_CHARS = 4 << 20
 
 
+#: Marks the numbers of sequences that were packed again.
+AGAIN = 1 << 62
+
+
 class BestFit:
     """Bounded-space online best-fit; bins are numbered as they open."""
 
@@ -77,22 +90,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[
             yield keys.slice(start), texts[start:]
 
 
-def packed(
+def _packed_by_task(
     docs: DataFrame,
     tokenizer: str,
-    key: str = "doc_id",
-    text: str = "text",
-    size: int = SIZE,
-    end_id: int = 0,
-    open_bins: int = OPEN_BINS,
-    with_ids: bool = False,
+    key: str,
+    text: str,
+    size: int,
+    end_id: int,
+    open_bins: int,
+    with_ids: bool,
 ) -> DataFrame:
-    """A row per piece: key, piece, start, length, ids_crc32, sequence_id, offset (and the packed ids).
-
-    A document is the ids of its whole text and the end id; null and empty texts are the end id alone. Only documents
-    longer than ``size`` are cut. Repeated rows are packed each, null keys stay null. ``tokenizer`` is a path that every
-    executor has.
-    """
     rows = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string"))
     kind = rows.schema[0].dataType.simpleString()
     schema = (
@@ -136,3 +143,53 @@ def packed(
             yield placed()
 
     return rows.mapInArrow(pack, schema)
+
+
+def packed(
+    docs: DataFrame,
+    tokenizer: str,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = SIZE,
+    end_id: int = 0,
+    open_bins: int = OPEN_BINS,
+    with_ids: bool = False,
+) -> DataFrame:
+    """A row per piece: key, piece, start, length, ids_crc32, sequence_id, offset (and the packed ids).
+
+    A document is the ids of its whole text and the end id; null and empty texts are the end id alone. Only documents
+    longer than ``size`` are cut. Repeated rows are packed each, null keys stay null, an empty table gives no rows.
+    ``tokenizer`` is a path that every executor has.
+    """
+    first = _packed_by_task(docs, tokenizer, key, text, size, end_id, open_bins, with_ids)
+    names = [F.col(f"`{name}`") for name in first.columns]
+    filled = free_name(first, "_filled")
+    of_sequence = F.sum("length").over(Window.partitionBy("sequence_id"))
+    rows = materialize(materialize(first, "pieces").withColumn(filled, of_sequence), "filled-pieces")
+    roomy = F.col(filled) * 100 < FULL_PERCENT * size
+    again = rows.where(roomy)
+    groups = -(-again.count() // GROUP_PIECES)
+    if groups == 0:
+        return rows.select(*names)
+    group = free_name(first, "_group")
+    dealt = again.select(*names, F.pmod(F.xxhash64("sequence_id"), F.lit(groups)).cast("int").alias(group))
+    repacked = dealt.groupBy(group).applyInArrow(_repacker(group, size, open_bins), first.schema)
+    return rows.where(~roomy).select(*names).unionByName(repacked)
+
+
+def _repacker(group: str, size: int, open_bins: int):
+    """Packs the pieces of a group, the longest first, into sequences with numbers that no task gives."""
+
+    def repack(table: pa.Table) -> pa.Table:
+        number = table.column(group)[0].as_py()
+        # Equal lengths by what else is known of them, so that a task that is run again packs alike.
+        order = [("length", "descending"), ("ids_crc32", "ascending"), ("sequence_id", "ascending"), ("offset", "ascending")]
+        table = table.drop_columns([group]).sort_by(order)
+        bins = BestFit(size, open_bins)
+        places = [bins.place(length) for length in table.column("length").to_pylist()]
+        base = AGAIN | number << 40
+        for name, values in (("sequence_id", [base + n for n, _ in places]), ("offset", [at for _, at in places])):
+            table = table.set_column(table.schema.get_field_index(name), name, pa.array(values, pa.int64()))
+        return table
+
+    return repack

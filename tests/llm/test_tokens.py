@@ -130,3 +130,23 @@ def test_store(spark, hard_docs, no_docs, clashing, encode):
     assert got == [(2, two), (2, two), (7, encode("Two words") + [2])]
     empty = write_store(no_docs, PATH, new_store_folder(spark))
     assert empty.count() == 0 and read_store(empty).count() == 0
+
+
+def test_many_tasks_need_hardly_more_sequences_than_one(spark, prose):
+    texts = [prose(i, 20 + i * i % 700) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = {}
+    for tasks in (1, 64):
+        rows = packed(docs.repartition(tasks), PATH).collect()
+        filled = {}
+        for r in rows:
+            filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for parts in filled.values():
+            at = 0
+            for offset, length in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= 2048
+        counts[tasks] = len(filled)
+    least = -(-sum(r.length for r in rows) // 2048)
+    assert counts[64] <= 1.01 * max(counts[1], least) + 1
