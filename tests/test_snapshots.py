@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakeops.plans.audited_batch import AuditLog, audited_write, rollback_batch, rollback_if_needed
@@ -35,12 +34,9 @@ def test_every_version_stays_readable(versions, rows):
         versions.read(9)
 
 
-def test_merge_and_delete_rewrite_only_the_parts_they_touch(versions):
-    parts = {r["version"]: [p["id"] for p in r["parts"]] for r in versions.history().collect()}
-    first, appended = parts[1]
-    assert parts[0] == [first]
-    assert parts[2][0] == first and appended not in parts[2]
-    assert first not in parts[3] and parts[2][1] in parts[3]
+def test_a_merge_writes_its_source_and_a_delete_only_numbers(versions):
+    written = {r["version"]: (r["brought"], r["ended"]) for r in versions.history().collect()}
+    assert written == {0: (3, 0), 1: (1, 0), 2: (2, 1), 3: (0, 1)}
 
 
 def test_read_as_of_a_time(versions, rows):
@@ -51,12 +47,27 @@ def test_read_as_of_a_time(versions, rows):
         versions.read(as_of=datetime(2000, 1, 1, tzinfo=timezone.utc))
 
 
-def test_restore_makes_a_new_version_without_writing_rows(versions, rows, tmp_path):
-    folders = sorted((tmp_path / "t" / "data").iterdir())
+def test_restore_brings_back_only_what_is_gone(versions, rows):
     assert versions.restore(1) == 4
     assert rows(versions.read()) == rows(versions.read(1))
-    assert sorted((tmp_path / "t" / "data").iterdir()) == folders
     assert rows(versions.read(3)) == [(2, "b"), (3, "c"), (4, "D"), (5, "e")]
+    newest = versions.history().first()
+    assert (newest["brought"], newest["ended"], newest["row_count"]) == (2, 2, 4)
+    assert rows(versions.change_feed(["id"], 4), "_change_type", "id", "v") == [
+        ("delete", 5, "e"), ("insert", 1, "a"), ("update_postimage", 4, "d"), ("update_preimage", 4, "D"),
+    ]
+
+
+def test_restore_over_an_overwrite_and_over_other_partitions(spark, versions, data, rows):
+    versions.overwrite(data.withColumn("v", F.upper("v")), partition_by=["v"])
+    versions.append(spark.createDataFrame([(7, "G")], "id bigint, v string"))
+    assert rows(versions.read()) == [(1, "A"), (2, "B"), (3, "C"), (7, "G")]
+    versions.restore(2)
+    assert rows(versions.read()) == rows(versions.read(2)) and versions.history().first()["row_count"] == 5
+    versions.restore(5)
+    assert rows(versions.read()) == [(1, "A"), (2, "B"), (3, "C"), (7, "G")]
+    feed = rows(versions.change_feed(["id"], 4, 5), "_commit_version", "_change_type", "id", "v")
+    assert feed[0] == (4, "delete", 4, "D") and feed[-1] == (5, "insert", 7, "G") and len(feed) == 8
 
 
 def test_change_feed(versions, rows):
@@ -108,23 +119,27 @@ def test_update_partitioned_clone_and_compact(spark, tmp_path, rows):
     assert rows(versions.read()) == before
 
 
-def test_a_commit_that_died_blocks_nothing(versions, data, rows):
-    from pathlib import Path
-
-    dead = Path(versions.root) / f"log/version={versions.current_version() + 1}/_temporary/0"
-    dead.mkdir(parents=True)
-    before = versions.current_version()
-    versions.overwrite(data)
-    assert versions.current_version() == before + 1
-    assert rows(versions.read()) == rows(data)
-
-
-def test_a_version_is_committed_once(spark, versions, data):
-    last = versions._version_entry()
-    versions.overwrite(data)
-    with pytest.raises(AnalysisException):
-        versions._commit(last, "WRITE", last["parts"], data.schema)
-    assert versions.current_version() == 4
+def test_a_write_that_died_blocks_nothing_and_is_never_read(spark, versions, rows):
+    """Rows and ended numbers of a version without an audit row."""
+    before, lost = rows(versions.read()), versions.current_version() + 1
+    spark.createDataFrame([(99, "z", 0)], "id bigint, v string, _row bigint").write.parquet(f"{versions.root}/rows/_version={lost}")
+    spark.createDataFrame([(0, 1)], "_version bigint, _row bigint").write.parquet(f"{versions.root}/ended/_by={lost}")
+    assert rows(versions.read()) == before
+    assert versions.delete(F.lit(False)) == lost and rows(versions.read()) == before
+    assert versions.append(spark.createDataFrame([(6, "f")], "id bigint, v string")) == lost + 1
+    assert rows(versions.read()) == [*before, (6, "f")]
+
+
+def test_merge_where_one_key_column_is_hot_and_keys_are_missing(spark, tmp_path, rows):
+    old = spark.range(900).select(F.when(F.col("id") % 3 > 0, 1).alias("k"), "id", F.lit("old").alias("v"))
+    new = spark.range(0, 900, 9).select(F.when(F.col("id") % 2 == 0, 1).alias("k"), "id", F.lit("new").alias("v"))
+    versions = VersionedTable(spark, str(tmp_path / "hot"))
+    versions.overwrite(old)
+    versions.merge(new, ["k", "id"])
+    replaced = {i for i in range(0, 900, 9) if i % 2 == 0 and i % 3}
+    want = [(1 if i % 3 else None, i, "old") for i in range(900) if i not in replaced]
+    want += [(1 if i % 2 == 0 else None, i, "new") for i in range(0, 900, 9)]
+    assert rows(versions.read()) == sorted(want, key=repr)
 
 
 def test_failed_batches_are_recorded_and_rolled_back(spark, tmp_path, data, rows):
