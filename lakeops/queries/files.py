@@ -291,18 +291,27 @@ def partitioned_write(spark, sf):
     """,
 )
 def parquet_footers(spark, sf):
-    """Bounds of two columns from the footers of clustered files, and the files whose ranges overlap."""
+    """Bounds of two columns by clustered file, and the files whose ranges overlap."""
     path = work_dir(spark, "footers")
     layout.cluster_by_range(_lines(spark, sf), "l_extendedprice", parallelism(spark)).write.parquet(path)
-    statistics = footers.parquet_footers(spark, path).where(F.col("column").isin("l_extendedprice", "l_quantity"))
+    ranges = footers.file_ranges(spark, path, ["l_extendedprice", "l_quantity"])
     overlaps = (
-        footers.range_overlaps(statistics, "l_extendedprice")
+        footers.range_overlaps(ranges, "l_extendedprice")
         .agg(F.count_if("overlaps").alias("overlapping"))
         .withColumn("column_name", F.lit("l_extendedprice"))
     )
-    bounds = statistics.groupBy(F.col("column").alias("column_name")).agg(
-        F.sum("row_group_rows").alias("row_count"),
+    bounds = ranges.groupBy(F.col("column").alias("column_name")).agg(
+        F.sum("rows").alias("row_count"),
         F.min(F.col("min_value").cast("double")).alias("low"),
         F.max(F.col("max_value").cast("double")).alias("high"),
     )
     return bounds.join(overlaps, "column_name", "left")
+
+
+@query("cluster_zorder_text", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def cluster_zorder_text(spark, sf):
+    """Customers along a Z-curve of a text and a number."""
+    path = work_dir(spark, "zorder-text")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    layout.cluster_by_zorder(customers, ["c_name", "c_acctbal"], parallelism(spark)).write.parquet(path)
+    return spark.read.parquet(path)

@@ -1,74 +1,53 @@
-"""Statistics that parquet files carry about their row groups."""
+"""What the files of a dataset hold: rows, missing values and range of each column per file, and files that overlap."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
-import pyarrow.fs
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-FOOTER_SCHEMA = (
-    "file string, row_group int, row_group_rows bigint, column string, physical_type string, compression string, "
-    "compressed_bytes bigint, uncompressed_bytes bigint, nulls bigint, min_value string, max_value string"
-)
+from lakeops.operators.windows import order_chunks
+from lakeops.session import materialize
 
 
-def _file_rows(path: str) -> list[tuple]:
-    filesystem, place = pyarrow.fs.FileSystem.from_uri(path)
-    rows = []
-    with filesystem.open_input_file(place) as source:
-        metadata = pq.ParquetFile(source).metadata
-        for number in range(metadata.num_row_groups):
-            group = metadata.row_group(number)
-            for column in (group.column(i) for i in range(group.num_columns)):
-                stats = column.statistics
-                bounds = stats is not None and stats.has_min_max
-                rows.append(
-                    (
-                        path,
-                        number,
-                        group.num_rows,
-                        column.path_in_schema,
-                        column.physical_type,
-                        column.compression,
-                        column.total_compressed_size,
-                        column.total_uncompressed_size,
-                        stats.null_count if stats is not None and stats.has_null_count else None,
-                        str(stats.min) if bounds else None,
-                        str(stats.max) if bounds else None,
-                    )
-                )
-    return rows
+def file_ranges(spark: SparkSession, path: str, columns: Sequence[str], format: str = "parquet") -> DataFrame:
+    """A row per file and column: ``file``, ``bytes``, ``rows``, ``column``, ``nulls``, ``min_value`` and ``max_value``.
 
-
-def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file, row group and column, read from the footers by the tasks."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [field.split()[0] for field in FOOTER_SCHEMA.split(", ")]
-        for batch in batches:
-            for file in batch["path"]:
-                yield pd.DataFrame(_file_rows(file), columns=names)
-
-    return files.mapInPandas(read, FOOTER_SCHEMA)
+    One scan of these columns, added up by file in the tasks that read it; bounds are shown as text. Files without rows
+    have none here either.
+    """
+    rows = spark.read.format(format).load(path)
+    source = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
+    facts = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.count_if(F.col(f"`{name}`").isNull()).alias("nulls"),
+            F.min(f"`{name}`").cast("string").alias("min_value"),
+            F.max(f"`{name}`").cast("string").alias("max_value"),
+        )
+        for name in columns
+    ]
+    per_file = rows.select(*source, *[f"`{name}`" for name in columns]).groupBy("file", "bytes")
+    told = per_file.agg(F.count(F.lit(1)).alias("rows"), F.array(*facts).alias("facts"))
+    return told.select("file", "bytes", "rows", F.inline("facts"))
 
 
-def range_overlaps(footers: DataFrame, column: str) -> DataFrame:
+def range_overlaps(ranges: DataFrame, column: str) -> DataFrame:
     """Files in the order of their smallest value, with whether each begins below an earlier file's largest.
 
-    One row per file is left by then.
+    Files are cut into chunks of that order; a chunk's files are compared with each other and with the largest value of
+    all chunks before it. Files without values of the column are left out.
     """
-    spans = (
-        footers.where(F.col("column") == column)
-        .groupBy("file")
-        .agg(
-            F.min(F.col("min_value").cast("double")).alias("low"),
-            F.max(F.col("max_value").cast("double")).alias("high"),
-        )
-    )
-    earlier = Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
-    return spans.withColumn("overlaps", F.coalesce(F.col("low") < F.max("high").over(earlier), F.lit(False)))
+    found = ranges.where((F.col("column") == column) & F.col("min_value").isNotNull())
+    low, high = F.col("min_value").cast("double").alias("low"), F.col("max_value").cast("double").alias("high")
+    spans = materialize(found.select("file", low, high), "file-spans")
+    order = ["low", "high", "file"]
+    chunked = order_chunks(spans, order)
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per chunk.
+    largest = chunked.groupBy("_chunk").agg(F.max("high").alias("_high")).withColumn("_before", F.max("_high").over(before))
+    inside = F.max("high").over(Window.partitionBy("_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    joined = chunked.withColumn("_inside", inside).join(F.broadcast(largest.select("_chunk", "_before")), "_chunk")
+    overlaps = F.coalesce(F.col("low") < F.greatest("_inside", "_before"), F.lit(False))
+    return joined.select("file", "low", "high", overlaps.alias("overlaps"))

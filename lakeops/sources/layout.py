@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.quantiles import cutting_points
+from lakeops.session import materialize
+
+#: Sampled rows per bucket of a Z-curve.
+SAMPLED = 200
 
 
 def in_files(df: DataFrame, files: int) -> DataFrame:
@@ -29,29 +32,55 @@ def cluster_by_range(df: DataFrame, column: str, files: int) -> DataFrame:
     return _along(df, [column], files)
 
 
-def bucket_of(value: Column, marks: Sequence, first: int = 0) -> Column:
-    """Number of sorted ``marks`` at or below the value, found by halving."""
-    if not marks:
-        return F.lit(first)
-    middle = len(marks) // 2
-    above = bucket_of(value, marks[middle + 1 :], first + middle + 1)
-    return F.when(value >= F.lit(marks[middle]), above).otherwise(bucket_of(value, marks[:middle], first))
+def places(df: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """One row with a sorted array of up to ``buckets - 1`` cutting points for each column, of any type that has an order.
+
+    The points come from a random sample of about ``SAMPLED`` rows a bucket, so they fit one row whatever the table's size;
+    they decide how even the buckets are, never a result. Missing values have no point.
+    """
+    rows = max(1, df.count())
+    sample = df.select(*columns).where(F.rand(11) < min(1.0, SAMPLED * buckets / rows))
+    sorted_values = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns])
+
+    def cut(name: str) -> Column:
+        values, steps = F.col(name), F.sequence(F.lit(1), F.lit(buckets - 1))
+        at = F.transform(steps, lambda i: F.floor(i * F.size(values) / buckets).cast("int"))
+        return F.array_distinct(F.filter(F.transform(at, lambda i: F.get(values, i)), lambda v: v.isNotNull()))
+
+    return sorted_values.select(*[cut(name).alias(name) for name in columns])
 
 
 def cluster_by_zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
-    """Rows placed along a Z-curve, so that files are narrow in all of ``columns``.
+    """Rows placed along a Z-curve, so that files are narrow in all of ``columns``, which may be texts, too.
 
-    Each column is cut into 2**bits buckets of about equal size, and the buckets' bits are interleaved.
+    Each column is cut into 2**bits buckets of about equal size, a missing value lying in the first, and the buckets' bits
+    are interleaved.
     """
-    cuts = cutting_points(df, columns, 2**bits).first()
-    marks = {c: sorted({mark for mark in cuts[c] or [] if mark is not None}) for c in columns}
-    bucketed = df.withColumns(
-        {f"_bucket{i}": bucket_of(F.col(c), marks[c]).cast("bigint") for i, c in enumerate(columns)}
+    # Stored, so that the sample is taken once: a row with a few points.
+    marks = materialize(places(df, columns, 2**bits), "zorder-marks").select(
+        *[F.col(c).alias(f"_marks{i}") for i, c in enumerate(columns)]
+    )
+    # Worked out once per row and column, before any bit is taken from it.
+    bucketed = df.crossJoin(F.broadcast(marks)).withColumns(
+        {
+            f"_bucket{i}": F.coalesce(_at_or_below(F.col(f"_marks{i}"), F.col(c), bits), F.lit(0)).cast("bigint")
+            for i, c in enumerate(columns)
+        }
     )
     curve = F.lit(0).cast("bigint")
     for place in range(len(columns)):
         for bit in range(bits):
             one = F.shiftright(f"_bucket{place}", bit).bitwiseAND(F.lit(1).cast("bigint"))
             curve = curve.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
-    placed = bucketed.withColumn("_curve", curve).drop(*[f"_bucket{i}" for i in range(len(columns))])
-    return _along(placed, ["_curve"], files).drop("_curve")
+    own = [f"_{kind}{i}" for kind in ("marks", "bucket") for i in range(len(columns))]
+    return _along(bucketed.withColumn("_curve", curve).drop(*own), ["_curve"], files).drop("_curve")
+
+
+def _at_or_below(marks: Column, value: Column, bits: int) -> Column:
+    """How many of the sorted marks, fewer than 2**bits, are at or below the value: halved, a comparison a step."""
+    count = F.lit(0)
+    for bit in reversed(range(bits)):
+        more = count + F.lit(1 << bit)
+        # Null, so not taken, beyond the last mark and for a missing value.
+        count = F.when(F.get(marks, more - 1) <= value, more).otherwise(count)
+    return count

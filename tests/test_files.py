@@ -54,20 +54,28 @@ def test_sized_write(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1000
 
 
-def test_footers_match_the_files(spark, tmp_path):
+def test_ranges_match_the_files(spark, tmp_path):
     path = str(tmp_path / "f")
     df = spark.range(4000).select("id", (F.col("id") * 37 % 1000).cast("double").alias("price"),
                                   F.when(F.col("id") % 4 > 0, F.col("id")).alias("maybe"))
     layout.cluster_by_range(df, "price", 4).write.parquet(path)
-    stats = footers.parquet_footers(spark, path).collect()
-    files = list((tmp_path / "f").glob("*.parquet"))
-    assert len(stats) == 3 * sum(pq.ParquetFile(f).metadata.num_row_groups for f in files)
-    assert sum(r.row_group_rows for r in stats if r.column == "id") == 4000
-    assert sum(r.nulls for r in stats if r.column == "maybe") == 1000
-    overlaps = footers.range_overlaps(footers.parquet_footers(spark, path), "price")
-    assert overlaps.where("overlaps").count() == 0
-    mixed = footers.range_overlaps(footers.parquet_footers(spark, path), "id")
-    assert mixed.where("overlaps").count() == 3
+    stats = footers.file_ranges(spark, path, df.columns)
+    files = {f.as_uri(): pq.read_table(f).to_pandas() for f in (tmp_path / "f").glob("*.parquet")}
+    assert stats.count() == 3 * len(files) == 12
+    for r in stats.collect():
+        held = files[r.file.replace("file:/", "file:///").replace("file://////", "file:///")]
+        assert (r.rows, r.nulls) == (len(held), held[r.column].isna().sum())
+        assert (float(r.min_value), float(r.max_value)) == (held[r.column].min(), held[r.column].max())
+    assert footers.range_overlaps(stats, "price").where("overlaps").count() == 0
+    assert footers.range_overlaps(stats, "id").where("overlaps").count() == 3
+
+
+def test_overlaps_of_many_files(spark, rows):
+    spans = [(f"f{i:03}", "c", i * 10, i * 10 + (500 if i == 40 else 9)) for i in range(200)] + [("none", "c", None, None)]
+    ranges = spark.createDataFrame(spans, "file string, column string, min_value string, max_value string")
+    found = footers.range_overlaps(ranges, "c")
+    assert [r for r, in rows(found.where("overlaps"), "file")] == [f"f{i:03}" for i in range(41, 90)]
+    assert found.count() == 200
 
 
 def test_zorder_narrows_both_columns(spark, tmp_path, rows):
@@ -75,12 +83,30 @@ def test_zorder_narrows_both_columns(spark, tmp_path, rows):
     path = str(tmp_path / "z")
     layout.cluster_by_zorder(df, ["a", "b"], 16).write.parquet(path)
     assert rows(spark.read.parquet(path)) == rows(df)
-    stats = footers.parquet_footers(spark, path)
+    stats = footers.file_ranges(spark, path, ["a", "b"])
     span = F.max(F.col("max_value").cast("double")) - F.min(F.col("min_value").cast("double"))
     spans = stats.groupBy("file", "column").agg(span.alias("span")).groupBy("column").agg(F.avg("span")).collect()
     assert all(average < 500 for _, average in spans)
 
 
+def test_zorder_of_texts_times_and_missing_values(spark, tmp_path, rows):
+    number = F.col("id") * 7919 % 4000
+    df = spark.range(12000).select(
+        F.when(F.col("id") % 3 > 0, F.format_string("name %05d", number)).alias("name"),
+        F.timestamp_seconds(F.col("id") * 104729 % 99991).alias("seen"),
+        F.map_from_arrays(F.array("id"), F.array("id")).alias("extra"),
+    )
+    path = str(tmp_path / "z")
+    layout.cluster_by_zorder(df, ["name", "seen"], 16).write.parquet(path)
+    assert rows(spark.read.parquet(path).drop("extra")) == rows(df.drop("extra"))
+    files = spark.read.parquet(path).groupBy("_metadata.file_path").agg(
+        (F.max(F.substring("name", 6, 5).cast("int")) - F.min(F.substring("name", 6, 5).cast("int"))).alias("names"),
+        ((F.max("seen").cast("long") - F.min("seen").cast("long")) / 99991 * 4000).alias("times"),
+    )
+    wide = files.agg(F.avg("names"), F.avg("times")).first()
+    assert wide[0] < 2200 and wide[1] < 2200
+
+
 def feed_control(spark, path):
     return mi.ControlTables(
         spark.createDataFrame(
@@ -155,5 +181,5 @@ def test_a_frequent_value_is_clustered_into_many_files(spark, tmp_path):
     layout.cluster_by_range(df, "v", 8).write.parquet(str(tmp_path / "hot"))
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "hot").glob("*.parquet")]
     assert len(sizes) == 8 and max(sizes) < 2000
-    stats = footers.parquet_footers(spark, str(tmp_path / "hot"))
+    stats = footers.file_ranges(spark, str(tmp_path / "hot"), ["v"])
     assert footers.range_overlaps(stats, "v").where("overlaps").count() == 0
