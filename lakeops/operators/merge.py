@@ -62,10 +62,16 @@ def _combine(target: DataFrame, source: DataFrame, keys: Sequence[str], stored:
         )
     # Sent to every executor, a small source leaves the target's rows where they are.
     side = F.broadcast if small else lambda df: df
-    kept = salted_join(target, side(incoming), keys, "left", hot).select(
-        *[F.col(c) if c in keys else pick(F.col(c), matched, F.col(f"_new_{c}")).alias(c) for c in target.columns]
-    )
-    known = salted_join(target.select(*keys), side(incoming.select(*keys)), keys, "left_semi", hot).distinct()
+    taken = [F.col(c) if c in keys else pick(F.col(c), matched, F.col(f"_new_{c}")).alias(c) for c in target.columns]
+    kept = salted_join(target, side(incoming), keys, "left", hot)
+    if small:
+        known = salted_join(target.select(*keys), side(incoming.select(*keys)), keys, "left_semi", hot).distinct()
+        kept = kept.select(*taken)
+    else:
+        # Hot and cold keys go through one pass over the target; its stored rows tell which keys were there.
+        kept = materialize(kept.select(*taken, matched.alias("_matched")), "merged")
+        known = kept.where("_matched").select(*keys).distinct()
+        kept = kept.drop("_matched")
     added = source.where(all_present(keys)).join(known, list(keys), "left_anti")
     keyless = source.where(~all_present(keys))
     return kept.unionByName(added).unionByName(keyless)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.ranking import top_by_count
 
+#: Size of a sketch of distinct members, as a power of two.
+SKETCH_BITS = 14
+
 
 def words(text: Column, fold_case: bool = True) -> Column:
     """Words between single spaces; repeated spaces give empty words."""
@@ -29,3 +32,23 @@ def members_per_element(df: DataFrame, member: str, elements: Column, name: str
     """
     pairs = df.select(F.col(member), F.explode(elements).alias(name))
     return pairs.groupBy(name).agg(F.count_distinct(member).alias("members"))
+
+
+def member_sketches(
+    df: DataFrame, member: str, elements: Column, part: str, name: str = "element", bits: int = SKETCH_BITS
+) -> DataFrame:
+    """``name``, ``part`` and ``sketch``: the distinct members of each array element in each part of the data, as a sketch.
+
+    Sketches add up, so those of a new part (a day, a batch of files) are appended to the ones at hand, and no member of
+    an older part is read again. A sketch takes 2**bits bytes at most, and a member that is met again changes nothing.
+    """
+    pairs = df.select(F.col(part), F.col(member).alias("_member"), F.explode(elements).alias(name))
+    return pairs.groupBy(name, part).agg(F.hll_sketch_agg("_member", bits).alias("sketch"))
+
+
+def members_from_sketches(sketches: DataFrame, name: str = "element") -> DataFrame:
+    """About how many distinct members each element has over all parts.
+
+    The relative standard error is 0.83 / sqrt(2**bits) of the sketches: 0.65 % at 14 bits.
+    """
+    return sketches.groupBy(name).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("members"))

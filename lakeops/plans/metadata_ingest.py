@@ -64,10 +64,14 @@ def source_plan(control: ControlTables, source_name: str) -> SourcePlan:
 def apply_plan(raw: DataFrame, plan: SourcePlan) -> DataFrame:
     """Hints on the source names, then the renames, then the rules on the new names.
 
-    A rule keeps the rows for which it is true.
+    Hints go in the order of the columns, so one sees what those before it made. A rule keeps the rows for which it is
+    true.
     """
-    hints = {c["column_name"]: F.expr(c["transformation_hint"]) for c in plan.columns if c["transformation_hint"]}
-    renamed = raw.withColumns(hints).withColumnsRenamed(plan.mapping)
+    hinted = raw
+    for column in plan.columns:
+        if column["transformation_hint"]:
+            hinted = hinted.withColumn(column["column_name"], F.expr(column["transformation_hint"]))
+    renamed = hinted.withColumnsRenamed(plan.mapping)
     for rule in plan.rules:
         renamed = renamed.where(rule)
     return renamed

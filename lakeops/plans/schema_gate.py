@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from lakeops.sources.sinks import append_record
 # The control table's type names; any other name means string.
 CONTROL_TYPES = {"STRING": T.StringType(), "FLOAT": T.FloatType(), "TIMESTAMP": T.TimestampType()}
 
-# Fields of an issue and of a logged error.
+# Fields of an issue and of a logged error, and the names of the issues.
 ISSUE_SCHEMA = "issue string, column_name string, expected string, found string"
 ERROR_LOG_SCHEMA = (
     "metadata struct<notebook_path: string, timestamp_utc: string, user: string, cluster_id: string>, "
@@ -95,8 +95,39 @@ def log_issues(
     append_record(spark, record, ERROR_LOG_SCHEMA, log_path)
 
 
+def load_issues(df: DataFrame, load: Sequence[str], required: Sequence[str]) -> DataFrame:
+    """``load`` columns, ``issue`` and ``column_name``: what each load of the data lacks.
+
+    A load is the rows that are equal in the ``load`` columns; it lacks a required column if none of its rows has a
+    value there, or if the data has no such column at all. One aggregation for all loads, so a load may hold any part of
+    the rows.
+    """
+    values = [F.count(F.col(name) if name in df.columns else F.lit(None)).alias(f"_n{i}") for i, name in enumerate(required)]
+    lacking = [F.when(F.col(f"_n{i}") == 0, F.lit(name)) for i, name in enumerate(required)]
+    counted = df.groupBy(*load).agg(*values)
+    return counted.select(*load, F.lit(MISSING).alias("issue"), F.explode(F.array_compact(F.array(*lacking))).alias("column_name"))
+
+
+def log_issue_rows(issues: DataFrame, log_path: str, job: Column, user: str = "", cluster: str = "") -> None:
+    """Append one JSON record per job for rows of ``issue`` and ``column_name``, all in one distributed write.
+
+    Columns of an issue are named once, in order; as many as the tables have columns, so a job's record is one row.
+    """
+    named = issues.select(job.alias("job"), "issue", "column_name").distinct()
+    columns = named.groupBy("job", "issue").agg(F.sort_array(F.collect_list("column_name")).alias("columns"))
+    errors = columns.groupBy("job").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("issue", "columns")))).alias("errors"))
+    metadata = F.struct(
+        F.col("job").alias("notebook_path"),
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"),
+        F.lit(user).alias("user"),
+        F.lit(cluster).alias("cluster_id"),
+    )
+    errors.select(metadata.alias("metadata"), "errors").write.mode("append").json(log_path)
+
+
 def error_report(spark: SparkSession, path: str) -> DataFrame:
     """Flat rows of the logged records; ``path`` may be a glob."""
+    # The names of the report's columns.
     return spark.read.schema(ERROR_LOG_SCHEMA).json(path).selectExpr(
         "metadata.notebook_path as NotebookPath",
         "metadata.timestamp_utc as TimestampUTC",

@@ -321,18 +321,32 @@ def rules_from_file(spark, sf):
 @query(
     "error_log_report",
     """
-    SELECT 'load ' || n_name AS "NotebookPath", 'ops' AS "Username", 'Missing Columns' AS issue, 'o_clerk' AS column_name
-    FROM nation WHERE n_regionkey = 1
+    WITH loads AS (
+      SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS status,
+             count(CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END) AS price
+      FROM orders GROUP BY ALL
+    )
+    SELECT concat_ws(' ', 'load', CAST(o_custkey AS VARCHAR), CAST(day AS VARCHAR)) AS "NotebookPath", 'ops' AS "Username",
+           'Missing Columns' AS issue, column_name
+    FROM (
+      SELECT *, 'o_clerk' AS column_name FROM loads
+      UNION ALL SELECT *, 'o_orderstatus' FROM loads WHERE status = 0
+      UNION ALL SELECT *, 'o_totalprice' FROM loads WHERE price = 0
+    )
     """,
 )
 def error_log_report(spark, sf):
-    """Refused writes of some jobs, logged as JSON records and read back as a report through a glob."""
+    """What each customer's orders of a day lack, logged as a JSON record per load and read back through a glob."""
     log = f"{work_dir(spark, 'errors')}/log"
-    orders = table(spark, sf, "orders")
-    expected = T.StructType.fromDDL("o_orderkey bigint, o_clerk string")
-    issues = schema_gate.schema_issues(orders.schema, expected, strict=False)
-    for row in table(spark, sf, "nation").where("n_regionkey = 1").select("n_name").collect():
-        schema_gate.log_issues(spark, issues, log, f"load {row.n_name}", user="ops")
+    orders = table(spark, sf, "orders").select(
+        "o_custkey",
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("o_totalprice"),
+    )
+    issues = schema_gate.load_issues(orders, ["o_custkey", "day"], ["o_orderstatus", "o_totalprice", "o_clerk"])
+    job = F.concat_ws(" ", F.lit("load"), F.col("o_custkey").cast("string"), F.col("day").cast("string"))
+    schema_gate.log_issue_rows(issues, log, job, user="ops")
     report = schema_gate.error_report(spark, f"{log}/*.json").select("NotebookPath", "Username", F.explode("Errors"))
     return report.select("NotebookPath", "Username", F.col("key").alias("issue"), F.explode("value").alias("column_name"))
 

@@ -279,3 +279,58 @@ def rollback(spark, sf):
         "rollback_table_version",
         F.lit(target.read().count()).cast("bigint").alias("rows_now"),
     )
+
+
+@query(
+    "rollback_trigger",
+    """
+    SELECT 'good' AS batch_id, 'SUCCESS' AS status, 'N' AS rollback_flag, CAST(0 AS BIGINT) AS delta_table_version,
+           CAST(NULL AS BIGINT) AS rollback_table_version, count(*) AS rows_now, CAST(sum(c_custkey) AS BIGINT) AS keys_now
+    FROM customer
+    UNION ALL SELECT 'half', 'SUCCESS', 'Y', 2, 0, count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
+    """,
+)
+def rollback_trigger(spark, sf):
+    """A batch that fails after it wrote half of its rows; its version is later than the good one, so it is undone."""
+    base = work_dir(spark, "half-batch")
+    target, audit = VersionedTable(spark, f"{base}/target"), AuditLog(spark, f"{base}/audit")
+    customers, source = table(spark, sf, "customer").select("c_custkey", "c_acctbal"), f"{sf}/customer.parquet"
+
+    def half():
+        target.append(customers.where("c_acctbal < 0").withColumn("c_custkey", -F.col("c_custkey")))
+        raise RuntimeError("the second half is missing")
+
+    audited_write(lambda: customers, target, audit, source, batch_id="good")
+    audited_write(half, target, audit, source, batch_id="half")
+    left = target.read().agg(F.count(F.lit(1)).alias("rows_now"), F.sum("c_custkey").alias("keys_now")).first()
+    return audit.states().select(
+        "batch_id",
+        "status",
+        "rollback_flag",
+        "delta_table_version",
+        "rollback_table_version",
+        F.lit(left["rows_now"]).cast("bigint").alias("rows_now"),
+        F.lit(left["keys_now"]).cast("bigint").alias("keys_now"),
+    )
+
+
+@query(
+    "drop_columns",
+    """
+    SELECT CAST(2 AS BIGINT) AS version, c_custkey, c_name, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer
+    UNION ALL SELECT 2, c_custkey + 1000000000, 'New ' || c_name, NULL FROM customer WHERE c_mktsegment = 'FURNITURE'
+    UNION ALL SELECT 0, c_custkey, c_name, c_acctbal FROM customer
+    """,
+)
+def drop_columns(spark, sf):
+    """A column is dropped and rows without it come; the version from before still has it."""
+    versions = VersionedTable(spark, work_dir(spark, "dropped"))
+    versions.overwrite(_customers(spark, sf))
+    versions.drop_columns("c_acctbal")
+    versions.append(_updates(spark, sf).where("c_custkey > 1000000000").drop("c_acctbal"))
+    now, before = (
+        versions.read(version).withColumn("version", F.lit(version).cast("bigint")) for version in (2, 0)
+    )
+    if "c_acctbal" in now.columns:
+        raise AssertionError("the dropped column is still there")
+    return now.unionByName(before, allowMissingColumns=True).select("version", *KEYS, *TRACKED)

@@ -22,6 +22,31 @@ def distinct_members(spark, sf):
     return text.members_per_element(table(spark, sf, "part"), "p_partkey", F.split("p_name", " "))
 
 
+@query(
+    "distinct_members_sketch",
+    """
+    SELECT element, count(DISTINCT l_orderkey) AS members, true AS within_error FROM (
+      SELECT l_orderkey, unnest([l_returnflag, l_linestatus, CAST(l_linenumber AS VARCHAR)]) AS element FROM lineitem
+    ) WHERE element IS NOT NULL GROUP BY element
+    """,
+)
+def distinct_members_sketch(spark, sf):
+    """Orders per mark of their lines, from stored sketches of two batches that share orders, beside the exact numbers."""
+    marks = F.array_compact(F.array("l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string")))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", marks.alias("marks"), F.col("l_quantity").alias("quantity"))
+    lines = lines.withColumn("batch", F.when(F.col("quantity") > 25, "late").otherwise("early"))
+    path = work_dir(spark, "sketches")
+    for batch in ("early", "late"):
+        arrived = lines.where(F.col("batch") == batch)
+        text.member_sketches(arrived, "l_orderkey", F.col("marks"), "batch").write.mode("append").parquet(path)
+    about = text.members_from_sketches(spark.read.parquet(path)).withColumnRenamed("members", "about")
+    exact = text.members_per_element(lines, "l_orderkey", F.col("marks"))
+    # Four standard errors, and one for rounding.
+    allowed = 1 + 4 * 0.83 / 2 ** (text.SKETCH_BITS / 2) * F.col("members")
+    close = F.abs(F.col("about") - F.col("members")) <= allowed
+    return exact.join(about, "element", "left").select("element", "members", F.coalesce(close, F.lit(False)).alias("within_error"))
+
+
 @query(
     "word_count",
     """

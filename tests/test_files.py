@@ -145,6 +145,17 @@ def test_metadata_ingest(spark, tmp_path, rows):
         mi.source_plan(feed_control(spark, ""), "nobody")
 
 
+def test_hints_see_what_earlier_hints_made(spark, rows):
+    columns = [
+        {"column_name": "a", "transformation_hint": "a + 1"},
+        {"column_name": "b", "transformation_hint": "a * 10"},
+        {"column_name": "c", "transformation_hint": None},
+    ]
+    plan = mi.SourcePlan(config={}, columns=columns, mapping={"b": "renamed"}, rules=["renamed > 20"], target="t")
+    raw = spark.createDataFrame([(1, 0, "x"), (4, 0, "y")], "a int, b int, c string")
+    assert rows(mi.apply_plan(raw, plan)) == [(5, 50, "y")]
+
+
 def test_stream_takes_each_file_once(spark, tmp_path, rows):
     landed, sink, checkpoint = (str(tmp_path / n) for n in ("landed", "sink", "checkpoint"))
 

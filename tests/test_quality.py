@@ -159,6 +159,25 @@ def test_schema_issues():
     assert schema_gate.schema_issues(found, None) == []
 
 
+def test_issue_records_of_many_loads(spark, tmp_path, rows):
+    """One load holds most rows; a load lacks a column only if no row of it has a value."""
+    data = spark.range(900).select(
+        F.when(F.col("id") % 3 > 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("load"),
+        F.when(F.col("id") % 7 != 3, F.col("id")).alias("a"),
+        F.lit(None).cast("string").alias("b"),
+    )
+    issues = schema_gate.load_issues(data, ["load"], ["a", "b", "c"])
+    log = str(tmp_path / "log")
+    schema_gate.log_issue_rows(issues.union(issues), log, F.concat(F.lit("job "), "load"), user="me", cluster="k")
+    schema_gate.log_issue_rows(issues.limit(0), log, F.col("load"))
+    report = schema_gate.error_report(spark, f"{log}/*.json")
+    found = {r.NotebookPath: r.Errors for r in report.collect()}
+    assert len(found) == report.count() == 8
+    assert found["job big"] == {"Missing Columns": ["b", "c"]} and found["job s3"] == {"Missing Columns": ["a", "b", "c"]}
+    first = report.first()
+    assert (first.Username, first.ClusterID) == ("me", "k") and first.TimestampUTC.endswith("Z") and len(first.TimestampUTC) == 20
+
+
 def test_schema_from_control_rows():
     rows = [
         {"column_name": "b", "data_type": "float", "nullable": True, "ordinal_position": 2},

@@ -69,3 +69,21 @@ def test_explode_and_flatten(spark, rows):
     )
     assert people.select(F.explode("skills")).count() == 3
     assert rows(people.select(F.flatten("skills"))) == [(["nut", "bolt", "washer"],)]
+
+
+def test_sketches_add_up_over_parts(spark):
+    from lakeops.operators import text
+
+    data = spark.range(20_000).select(
+        F.col("id").alias("member"),
+        F.when(F.col("id") % 2 == 0, F.array(F.lit("even"), F.lit("all"))).otherwise(F.array(F.lit("all"))).alias("marks"),
+        (F.col("id") % 3).alias("day"),
+    )
+    again = data.where("member < 9000").withColumn("day", F.lit(9).cast("bigint"))  # known members in a later part
+    sketches = text.member_sketches(data, "member", F.col("marks"), "day").union(
+        text.member_sketches(again, "member", F.col("marks"), "day")
+    )
+    assert sketches.count() == 8
+    found = {r.element: r.members for r in text.members_from_sketches(sketches).collect()}
+    assert abs(found["all"] - 20_000) < 600 and abs(found["even"] - 10_000) < 300
+    assert text.members_from_sketches(sketches.limit(0)).count() == 0
