@@ -1,8 +1,9 @@
 """Chat formatting: layouts are told by a fingerprint of their nested field paths.
 
-A layout is declared by the paths that it consists of and by how turns are read from them. The fingerprint of a table is
-the hash of the paths of its schema, as far as any layout knows them; the fingerprint of a JSON record is the hash of the
-shape that Spark's variant type reports for it, row by row. Either picks the layout whose own fingerprint is equal.
+A layout is declared by the paths that it consists of and by how turns are read from them. Of the paths of a table's schema,
+or of a JSON record row by row, those of the fullest layout that they contain are hashed, and this fingerprint picks the
+declarative mapping. More columns or fields therefore change nothing; of two layouts with equally many paths the one that
+is declared first is taken. An empty list counts as having all fields of its items.
 
 Formatted text marks turns with control strings. Texts may hold the same strings: every ``<``, run of backslashes, ``|``
 inside a text gets one more backslash, and one less when it is read, so no text can end its turn and every text comes
@@ -77,10 +78,18 @@ def field_paths(kind: T.DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
+def fullest(paths: Sequence[str], layouts: Sequence[Layout] = LAYOUTS) -> Layout | None:
+    """The layout with the most paths among those whose paths are all there; the first declared of equals."""
+    held = set(paths)
+    fitting = [layout for layout in layouts if held.issuperset(layout.paths)]
+    return max(fitting, key=lambda layout: len(layout.paths), default=None)
+
+
 def fingerprint(schema: T.StructType, layouts: Sequence[Layout] = LAYOUTS) -> str:
-    """Hash of the schema's paths that any of the layouts knows; other columns do not change it."""
-    known = {path for layout in layouts for path in layout.paths}
-    return _hash([path for path in field_paths(schema) if path in known])
+    """Hash of the schema's paths that make up its layout, or of all its paths if no layout fits."""
+    paths = field_paths(schema)
+    chosen = fullest(paths, layouts)
+    return _hash(paths if chosen is None else chosen.paths)
 
 
 def layout_of(schema: T.StructType, layouts: Sequence[Layout] = LAYOUTS) -> Layout:
@@ -138,31 +147,56 @@ def _shape(variant_schema: Column) -> Column:
     return F.regexp_replace(variant_schema, r": (?!OBJECT|ARRAY)[A-Z]+(\([0-9,]+\))?", "")
 
 
-def _shape_of(layout: Layout) -> str:
-    if layout.items:
-        name, role, text = layout.items
-        return f"OBJECT<{name}: ARRAY<OBJECT<{', '.join(sorted((role, text)))}>>>"
-    return f"OBJECT<{', '.join(sorted(layout.paths))}>"
+def _record_paths(value: Column, layouts: Sequence[Layout]) -> Column:
+    """The paths of a JSON object that layouts may ask for: its fields, and those of the items of the arrays they name."""
+    fields = F.coalesce(F.map_keys(F.try_variant_get(value, "$", "map<string,variant>")), F.array().cast("array<string>"))
+    parts = [fields]
+    for name in dict.fromkeys(layout.items[0] for layout in layouts if layout.items):
+        items = F.try_variant_get(value, f"$.{name}", "array<variant>")
+        keys = F.flatten(
+            F.transform(
+                F.filter(items, lambda x: x.isNotNull()),
+                lambda x: F.coalesce(
+                    F.map_keys(F.try_variant_get(x, "$", "map<string,variant>")), F.array().cast("array<string>")
+                ),
+            )
+        )
+        every = [path for layout in layouts if layout.items and layout.items[0] == name for path in layout.paths]
+        inside = F.transform(F.array_distinct(keys), lambda key: F.concat(F.lit(f"{name}[]."), key))
+        known = F.when(F.size(items) == 0, F.array(*map(F.lit, dict.fromkeys(every)))).otherwise(inside)
+        parts.append(F.coalesce(known, F.array().cast("array<string>")))
+    return F.flatten(F.array(*parts))
 
 
 def json_turns(records: DataFrame, key: str, text: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
     """``key``, ``layout``, ``fingerprint`` and ``turns`` of JSON records whose layouts may differ row by row.
 
-    Records that are no JSON or of no known layout get a null layout and null turns; their fingerprint tells what to
-    declare.
+    Records that are no JSON or of no known layout get a null layout and null turns; their fingerprint, that of their whole
+    shape, tells what to declare. Null lists give no turns.
     """
     value = F.col("_value")
     rows = records.select(F.col(f"`{key}`").alias(key), F.try_parse_json(F.col(f"`{text}`")).alias("_value"))
-    rows = rows.withColumn("fingerprint", F.sha2(_shape(F.schema_of_variant(value)), 256))
+    rows = rows.withColumn("_paths", _record_paths(value, layouts))
+    # Last assigned wins: layouts of few paths first, and of equally many the first declared last.
+    chosen = F.sha2(_shape(F.schema_of_variant(value)), 256)
+    for layout in sorted(reversed(layouts), key=lambda layout: len(layout.paths)):
+        held = F.forall(F.array(*map(F.lit, layout.paths)), lambda path: F.array_contains(F.col("_paths"), path))
+        chosen = F.when(held, F.lit(_hash(layout.paths))).otherwise(chosen)
+    rows = rows.withColumn("fingerprint", chosen)
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in layouts:
 
         def array(name: str, role: str, said: str) -> Column:
-            kind = f"array<struct<`{role}`:string,`{said}`:string>>"
-            items = F.filter(F.try_variant_get(value, f"$.{name}", kind), lambda x: x.isNotNull())
-            return F.transform(items, lambda x: F.struct(x[role].alias("a"), x[said].alias("b")))
-
-        fits = F.col("fingerprint") == hashlib.sha256(_shape_of(layout).encode()).hexdigest()
+            given = F.try_variant_get(value, f"$.{name}", "array<variant>")
+            items = F.filter(given, lambda x: x.isNotNull() & ~F.is_variant_null(x))
+            return F.transform(
+                items,
+                lambda x: F.struct(
+                    F.try_variant_get(x, f"$.{role}", "string").alias("a"), F.try_variant_get(x, f"$.{said}", "string").alias("b")
+                ),
+            )
+
+        fits = F.col("fingerprint") == _hash(layout.paths)
         name = F.when(fits, layout.name).otherwise(name)
         read = _turns(layout, array, lambda column: F.try_variant_get(value, f"$.{column}", "string"))
         turns = F.when(fits, read.cast(TURNS)).otherwise(turns)
@@ -188,7 +222,10 @@ def unescaped(text: Column) -> Column:
 
 
 def formatted(records: DataFrame, key: str, learn: Sequence[str] = ("assistant",)) -> DataFrame:
-    """``key``, ``formatted`` text and ``loss_mask`` of canonical turns; the text of ``learn`` roles is under the mask."""
+    """``key``, ``formatted`` text and ``loss_mask`` of canonical turns; the text of ``learn`` roles is under the mask.
+
+    Records without turns give an empty text and an empty mask, null turns null ones. Repeated keys have a row each.
+    """
 
     def head(turn: Column) -> Column:
         return F.concat(F.lit(START), F.url_encode(turn["role"]), F.lit("\n"))
@@ -209,7 +246,10 @@ def formatted(records: DataFrame, key: str, learn: Sequence[str] = ("assistant",
 
 
 def parsed(output: DataFrame, key: str) -> DataFrame:
-    """``key``, ``turns`` and ``loss`` (the unescaped texts under the mask, in order) read back from formatted rows."""
+    """``key``, ``turns`` and ``loss`` (the unescaped texts under the mask, in order) read back from formatted rows.
+
+    An empty text has no turns; a null one gives null turns. Repeated keys have a row each.
+    """
     parts = F.split("formatted", F.lit(r"<\|im_end\|>\n"))
     cut = output.withColumn("parts", F.slice(parts, 1, F.size(parts) - 1))  # nothing follows the last mark
 

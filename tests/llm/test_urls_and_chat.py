@@ -90,3 +90,35 @@ def test_layouts_by_fingerprint(spark):
     assert [tuple(t) for t in got[2].turns] == [("system", "s"), ("user", "")]
     assert got[3].turns is None and got[3].fingerprint == hashlib.sha256(b"OBJECT<unknown>").hexdigest()
     assert got[8].turns is None and got[9].layout is None
+
+
+def test_more_columns_and_fields_change_nothing(spark):
+    turns = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    want = [("user", "q"), ("assistant", "a")]
+    item = "array<struct<role:string,content:string,name:string>>"
+    tables = {
+        "messages": spark.createDataFrame([(1, [("user", "q", "n"), ("assistant", "a", None)], "p")], f"id long, messages {item}, prompt string"),
+        "prompt_response": spark.createDataFrame([(1, "q", "a", "other")], "id long, prompt string, response string, answer string"),
+        "instruction_input_output": spark.createDataFrame([(1, "q", "", "a", 3)], "id long, instruction string, input string, output string, n int"),
+    }
+    for name, table in tables.items():
+        assert layout_of(table.drop("id").schema).name == name
+        assert [[tuple(t) for t in r.turns] for r in canonical_turns(table, "id").collect()] == [want]
+    records = [
+        {"messages": turns, "prompt": "p", "meta": {"role": 1}},
+        {"messages": [{**turns[0], "name": "n"}, turns[1]], "id": 7},
+        {"prompt": "q", "response": "a", "answer": "other"},
+        {"messages": [], "more": 1},
+        {"messages": None, "prompt": "q", "output": "a"},
+        {"conversations": [{"from": "human"}, {"value": "a", "from": "gpt"}]},
+        {"messages": "no list"},
+        {"turns": [{"role": "user", "text": 5}, None]},
+        [1],
+    ]
+    lines = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "id long, text string")
+    got = {r.id: (r.layout, r.turns and [tuple(t) for t in r.turns]) for r in json_turns(lines, "id", "text").collect()}
+    assert got == {
+        0: ("messages", want), 1: ("messages", want), 2: ("prompt_response", want), 3: ("messages", []),
+        4: ("prompt_output", want), 5: ("conversations", [("user", ""), ("assistant", "a")]), 6: (None, None),
+        7: ("turns", [("user", "5")]), 8: (None, None),
+    }
