@@ -112,3 +112,18 @@ def test_components_of_chains_and_hubs(spark):
     assert {got[i] for i in range(201)} == {0} and {got[i] for i in range(999, 1400)} == {999}
     assert got[5000] == got[5001] == 4999 and len(got) == 201 + 401 + 3
     assert components(links.limit(0)).count() == 0
+
+
+def test_a_bucket_of_texts_around_the_threshold(spark, prose):
+    """Hundreds of variants of one text share buckets; some pairs are links, many are just below, a few hang alone."""
+    letters, base = random.Random(12), prose(77, 120).split()
+    texts = []
+    for i in range(500):
+        words = list(base)
+        for place in letters.sample(range(120), letters.choice((1, 2, 2, 3, 4, 5))):
+            words[place] = f"w{i}x{place}"
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {key: least for key, _, least in plain_groups(texts)}
+    got = {r.doc_id: r.component_id for r in duplicate_report(docs).collect()}
+    assert got == want and 1 < len(set(want.values())) < 500
