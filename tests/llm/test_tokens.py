@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from lakeops.llm.packing import BestFit, packed
-from lakeops.llm.token_store import PerfectHash, fetch, new_store_folder, read_store, write_store
+from lakeops.llm.token_store import PerfectHash, Shard, fetch, new_store_folder, read_store, write_index, write_store
 from lakeops.llm.tokens import PieceIds, piece_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -150,3 +150,40 @@ def test_many_tasks_need_hardly_more_sequences_than_one(spark, prose):
         counts[tasks] = len(filled)
     least = -(-sum(r.length for r in rows) // 2048)
     assert counts[64] <= 1.01 * max(counts[1], least) + 1
+
+
+def test_a_key_in_many_shards_and_keys_between_them(spark, prose):
+    """A third of all rows have one key, so its rows fill several shards; they come back whole, and no others."""
+    rows = [(7 if i % 3 == 0 else 10 * i, prose(i, 30)) for i in range(600)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = write_store(docs, PATH, new_store_folder(spark))
+    held = [r for r in manifest.collect() if r.first_key is not None and r.first_key <= 7 <= r.last_key]
+    assert len(held) >= 2
+    asked = [7, 10, 15, 40, 41, -3, 5990, 6000, None, 7]
+    got = {}
+    for r in fetch(manifest, spark.createDataFrame([(k,) for k in asked], "doc_id long")).collect():
+        got.setdefault(r.doc_id, []).append(zlib.crc32(r.ids))
+    plain = Tokenizer.from_file(PATH)
+    want = {}
+    for key, text in rows:
+        if key in (7, 10, 40, 5990):
+            ids = np.array(plain.encode(text, add_special_tokens=False).ids + [2], "<u4")
+            want.setdefault(key, []).append(zlib.crc32(ids.tobytes()))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert len(read_store(manifest).collect()) == len(rows)
+
+
+def test_a_look_up_reads_the_same_few_pages_of_any_index(tmp_path):
+    reads = {}
+    for count in (1_000, 300_000):
+        keys = np.sort(np.random.default_rng(3).choice(1 << 40, count, replace=False)).astype(np.int64)
+        index, ids = tmp_path / f"{count}.idx", tmp_path / f"{count}.ids"
+        index.write_bytes(write_index(keys, np.ones(count, np.int64), 0, 2))
+        ids.write_bytes(np.arange(count).astype("<u2").tobytes())
+        shard = Shard(str(ids), str(index))
+        place = count // 2
+        assert shard.documents(int(keys[place]))[0].tolist() == [place & 0xFFFF] and shard.documents(int(keys[0]) - 1) == []
+        reads[count] = sum(array.reads for array in shard.arrays.values())
+        # The index is smaller than a table of its keys with their rows.
+        assert index.stat().st_size < 28 * count
+    assert reads[300_000] <= 12
