@@ -2,9 +2,11 @@
 
 Texts are folded first: case and look-alike letters of other scripts, digits and signs that stand for letters inside a
 word, letters parted by dots or dashes, and stretched letters. ``l`` and ``i`` fold to one letter, as ``1`` may stand for
-either. Accents tell words apart, so words with accents are looked up as they are and once more without them. Entries
-are whole words or beginnings of words. An entry inside an exception phrase does not count. The weights of the entries
-found are added up and divided by a power of the length; a logistic curve turns them into a score between 0 and 1.
+either. Accents tell words apart, so words with accents are looked up as they are and once more without them; vowel signs
+are part of their words. Entries are whole words of any length, beginnings of words of ``Fit.prefix_chars`` letters or
+more, and, in scripts without spaces, runs of up to ``RUN`` characters, each of which counts as a word there. An entry
+inside an exception phrase does not count. The weights of the entries found are added up and divided by a power of the
+length; a logistic curve turns them into a score between 0 and 1.
 
 The model is fitted on a sample of labelled rows, ``Fit.toxic_rows`` and ``Fit.other_rows`` at most, taken in the order
 of a hash of their ids; all documents are scored. A candidate must stand in many toxic documents and in many different
@@ -21,6 +23,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -44,6 +47,8 @@ INVISIBLE = "\u200b\u200c\u200d\xad"
 THRESHOLD = 0.3
 #: The sum of weights is divided by this power of the length in hundreds of words.
 LENGTH_POWER = 0.25
+#: Characters of an entry in a script without spaces.
+RUN = 4
 #: Different surroundings that are told apart in one batch.
 SURROUNDINGS = 64
 
@@ -82,7 +87,7 @@ class _Letters(dict):
 
     @staticmethod
     def _kept(c: str) -> str:
-        if c.isalnum() or c in SIGNS:
+        if c.isalnum() or c in SIGNS or unicodedata.category(c) in ("Mn", "Mc"):  # vowel signs; accents are gone
             return "i" if c == "l" else c
         return "." if c in ".-_" else "" if c in INVISIBLE else " "
 
@@ -91,6 +96,8 @@ _LETTERS = _Letters()
 #: Single letters parted by single dots (dashes and lines have become dots).
 _PARTED = re.compile(r"(?<![^\W_])[^\W_](?:\.[^\W_]){2,}(?![^\W_])")
 _STRETCHED = re.compile(r"(.)\1{2,}")
+#: Scripts without spaces: Thai and Lao, Burmese, Khmer, kana and Chinese characters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
 
 
 @lru_cache(1 << 16)
@@ -103,9 +110,10 @@ def _word(word: str) -> str:
 
 
 def folded_words(text: str) -> list[str]:
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-    out = text.translate(_LETTERS)
+    if text.isascii():
+        out = text.translate(_LETTERS)
+    else:
+        out = _UNSPACED.sub(r" \g<0> ", unicodedata.normalize("NFC", text).translate(_LETTERS))
     if "." in out:
         out = _PARTED.sub(lambda m: m[0].replace(".", ""), out).replace(".", " ")
     out = _STRETCHED.sub(r"\1", out)
@@ -187,12 +195,29 @@ def held_out(key: Column) -> Column:
 def _candidates(words: list[str], fit: Fit) -> Iterator[tuple[str, int]]:
     """Every beginning and the whole of each word, with its place."""
     for place, word in enumerate(words):
-        if len(word) >= fit.prefix_chars and word.isalpha():
+        if word.isalpha() or _spelled(word):
             for end in range(fit.prefix_chars, min(len(word), 16) + 1):
                 yield word[:end], place
             yield word + " ", place
 
 
+@lru_cache(1 << 16)
+def _spelled(word: str) -> bool:
+    """Whether a word is all letters and vowel signs."""
+    return bool(word) and all(c.isalpha() or unicodedata.category(c) in ("Mn", "Mc") for c in word)
+
+
+def _runs(words: list[str]) -> Iterator[tuple[str, int]]:
+    """Every run of 2 to ``RUN`` neighbouring characters of a script without spaces, with its place."""
+    alone = [len(word) == 1 and _UNSPACED.match(word) is not None for word in words]
+    if any(alone):
+        for place in range(len(words) - 1):
+            for size in range(2, RUN + 1):
+                if not all(alone[place : place + size]) or place + size > len(words):
+                    break
+                yield " ".join(words[place : place + size]) + " ", place
+
+
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, str]]:
     for batch in batches:
         yield from zip(batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()])
@@ -206,7 +231,7 @@ def _toxic_counts(sample: DataFrame, n_toxic: int, fit: Fit) -> dict[str, int]:
         near: dict[str, set[int]] = defaultdict(set)
         for _, text in _texts(batches):
             words, met = folded_words(text), set()
-            for candidate, place in _candidates(words, fit):
+            for candidate, place in chain(_candidates(words, fit), _runs(words)):
                 if candidate not in met:
                     met.add(candidate)
                     docs[candidate] += 1
@@ -241,9 +266,10 @@ def _other_counts(sample: DataFrame, candidates: Iterable[str], fit: Fit) -> dic
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: dict[str, int] = defaultdict(int)
         for _, text in _texts(batches):
-            words = list(set(folded_words(text)))
+            in_order = folded_words(text)
+            words = list(set(in_order))
             words += without_accents(words)
-            for candidate in {c for c, _ in _candidates(words, fit)} & known.value:
+            for candidate in {c for c, _ in chain(_candidates(words, fit), _runs(in_order))} & known.value:
                 docs[candidate] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(docs), pa.string()), pa.array(list(docs.values()), pa.int64())], names=["candidate", "docs"]
@@ -380,7 +406,10 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Dat
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns and no others."""
+    """The rows of ``docs`` that score below the threshold, with all their columns and no others.
+
+    Null and empty texts score 0 and stay; repeated rows are judged each; without toxic labels all rows stay.
+    """
     name = free_name(docs, "_score")
     scored = docs.withColumn(name, score_column(docs.sparkSession, fitted(docs, labels, fit))("text"))
     return scored.filter(F.col(name) < THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
