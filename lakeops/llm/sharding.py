@@ -9,13 +9,13 @@ table has ``size`` rows whatever the data, so it is broadcast, and placing a row
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm.columns import free_name
-from lakeops.session import materialize
+from lakeops.operators.skew import SMALLEST_SHARE, group_hash, hot_groups
 
 #: A prime, far above the number of shards.
 SIZE = 65_537
@@ -69,12 +69,13 @@ def slot_of(size: int, *key: Column) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(size)).cast("int")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], shards: int) -> DataFrame:
-    """(keys, pieces) of the keys with more than half a shard's fair part of the rows: fewer than twice the shards."""
-    counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_total"))
-    hot = counts.crossJoin(F.broadcast(total)).filter(2 * shards * F.col("_n") > F.col("_total"))  # total: one row
-    return hot.filter("_n > 1").select(*keys, F.ceil(2 * shards * F.col("_n") / F.col("_total")).alias("_pieces"))
+def hot_pieces(df: DataFrame, keys: Sequence[str], shards: int) -> dict[int, int]:
+    """Hash of every key with more than half a shard's fair part of the rows, and how many pieces its rows make.
+
+    A sketch finds them in one pass; they are fewer than twice the shards.
+    """
+    found = hot_groups(df, keys, max(SMALLEST_SHARE, 1 / (2 * shards)))
+    return {key: math.ceil(2 * shards * share) for key, share in found.items()}
 
 
 def placed(
@@ -89,26 +90,21 @@ def placed(
     """``df`` with two more columns, the slot and the shard of every row; no rows are moved.
 
     Rows of equal keys share a shard, but for keys that hold more than half of a shard's fair part: those are dealt over
-    as many pieces as they need, each piece placed by itself. Null keys are keys like others. ``slot`` and ``shard`` must
-    be new names; an empty table gives an empty result.
+    as many pieces as they need by a hash of the row, each piece placed by itself. So a row has the same place on every
+    run. Null keys are keys like others. ``slot`` and ``shard`` must be new names; an empty table gives an empty result.
     """
     table = table_rows(df.sparkSession, shards, lookup_table(shards, size, weights))
-    hot = materialize(hot_keys(df.select(*keys), keys, len(shards)), "hot-keys")
-    renamed = {k: free_name(df, f"_hot{i}") for i, k in enumerate(keys)}
-    pieces = free_name(df, "_pieces")
-    hot = hot.select(*[F.col(f"`{k}`").alias(n) for k, n in renamed.items()], F.col("_pieces").alias(pieces))
-    same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in renamed.items()]
-    condition = same[0]
-    for one in same[1:]:
-        condition = condition & one
-    known = df.join(F.broadcast(hot), condition, "left")  # fewer than twice as many rows as shards
-    piece = F.pmod(F.monotonically_increasing_id(), F.col(pieces))
     names = [F.col(f"`{k}`") for k in keys]
-    numbered = known.withColumn(
-        slot, F.when(F.col(pieces).isNull(), slot_of(size, *names)).otherwise(slot_of(size, *names, piece))
-    ).drop(pieces, *renamed.values())
+    number = slot_of(size, *names)
+    by_count: dict[int, list[int]] = {}
+    for key, pieces in hot_pieces(df.select(*names), keys, len(shards)).items():
+        by_count.setdefault(pieces, []).append(key)
+    whole_row = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+    for pieces, found in by_count.items():
+        piece = F.pmod(whole_row, F.lit(pieces))
+        number = F.when(group_hash(keys).isin(found), slot_of(size, *names, piece)).otherwise(number)
     owners = table.select(F.col("slot").alias(slot), F.col("shard").alias(shard))
-    return numbered.join(F.broadcast(owners), slot)  # ``size`` rows
+    return df.withColumn(slot, number).join(F.broadcast(owners), slot)  # ``size`` rows
 
 
 def write_shards(rows: DataFrame, path: str, shard: str = "shard") -> None:

@@ -114,6 +114,41 @@ def test_lookup_table():
             lookup_table(*bad)
 
 
+def plain_table(names, size):
+    """Each name's permutation written out, and the names claiming slots in turn."""
+
+    def number(name, salt):
+        return int.from_bytes(hashlib.blake2b(f"{salt}:{name}".encode(), digest_size=8).digest(), "big")
+
+    wishes = {
+        name: iter([(number(name, "start") + i * (number(name, "step") % (size - 1) + 1)) % size for i in range(size)])
+        for name in names
+    }
+    owner = {}
+    while len(owner) < size:
+        for name in sorted(names):
+            if len(owner) < size:
+                owner[next(slot for slot in wishes[name] if slot not in owner)] = name
+    return [names.index(owner[slot]) for slot in range(size)]
+
+
+@pytest.mark.parametrize("count, size", [(1, 2), (3, 101), (64, 4099), (101, 101)])
+def test_table_equals_written_out_permutations(count, size):
+    names = [f"shard-{i:03d}" for i in range(count)][::-1]
+    assert lookup_table(names, size) == plain_table(names, size)
+
+
+def test_rows_of_hot_keys_have_the_same_place_on_every_run(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    names = [f"s{i}" for i in range(6)]
+    places = [
+        {r.id: r.shard for r in placed(df, ["k"], names, 101).collect()}
+        for df in (rows, rows.repartition(7), rows.orderBy(F.col("id").desc()))
+    ]
+    assert places[0] == places[1] == places[2] and len(places[0]) == 4000
+    assert max(Counter(places[0].values()).values()) < 0.35 * 4000
+
+
 def plain_slot(key, size):
     data = b"" if key is None else int(key).to_bytes(8, "little", signed=True)
     value = xxhash.xxh64_intdigest(data, 42) if key is not None else 42
