@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.sources.readers import read_with_floor
+
+#: Tables whose rows take long to work on.
+TEXTS = ("documents", "pages", "conversations")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,4 +26,9 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. One of texts with fewer files than cores is dealt over the cores, if its bytes are few, too."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    rows, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    if name not in TEXTS or len(rows.inputFiles()) >= cores:
+        return rows
+    return read_with_floor(spark, path, min_partitions=cores)

@@ -86,3 +86,65 @@ def test_repeats_in_a_text_of_over_a_million_words(spark, hard_docs, labels):
     docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in enumerate(texts)], hard_docs.schema)
     got = {r.doc_id: r.n_repeat_words for r in quality_report(docs, labels).collect()}
     assert got == {0: 6, 1: 120_000}
+
+
+def plain_badness(text):
+    """The greatest of four shares, from the same counts."""
+    text, (n, chars, symbols, repeated, _) = text or "", counts(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+
+    def share(part, whole):
+        return min(1.0, part / whole) if whole else 0.0
+
+    capitals = sum("A" <= c <= "Z" for c in text)
+    return max(share(symbols, n), share(text.count("!"), n), share(capitals, chars), share(repeated, len(lines)) / 2)
+
+
+def plain_good(docs, labels, rules=Rules()):
+    """Ids of the documents (id, lang, text) that the rules keep, worked out one by one."""
+    failed, badness = {}, {}
+    for key, _, text in docs:
+        c = counts(text)
+        failed[key] = c[0] < rules.min_words or 100 * c[4] > rules.max_repeat_pct * c[0]
+        badness[key] = plain_badness(text)
+    lang = {key: name for key, name, _ in docs}
+    good = {}
+    for key, quality in labels:
+        if quality is not None and key in lang and not failed[key]:
+            good[key] = good.get(key, True) and quality == 1
+    strata = {lang[key] for key in good}
+    cutoffs = {}
+    for stratum in strata:
+        mine = [badness[k] for k, g in good.items() if g and lang[k] == stratum]
+        bad = [badness[k] for k, g in good.items() if not g and lang[k] == stratum]
+        best = (0.0, None)
+        for cutoff in rules.cutoffs:
+            lost, caught = sum(b > cutoff for b in mine), sum(b > cutoff for b in bad)
+            n = len(mine)
+            tail = sum(math.comb(n, i) * rules.risk**i * (1 - rules.risk) ** (n - i) for i in range(lost + 1))
+            if min(1.0, tail) > rules.delta / len(strata):
+                break
+            gain = (caught / len(bad) if bad else 0.0) - (lost / n if n else 0.0)
+            if gain > best[0]:  # the loosest of equals comes first
+                best = (gain, cutoff)
+        if best[1] is not None:
+            cutoffs[stratum] = best[1]
+    return [key for key, name, _ in docs if not failed[key] and badness[key] <= cutoffs.get(name, 1.0)]
+
+
+def test_verdicts_equal_plain_python(spark, hard_docs, prose):
+    """Strata with and without enough labels; the bad ones shout, and so do a few good ones."""
+    rows, labels = [], []
+    for i in range(900):
+        lang, good = ("en", "de", None)[i % 3], i % 9 > 1
+        words = prose(2000 + i, 60).split()
+        loud = 30 + i % 20 if not good else 8 if i % 50 == 2 else i % 3
+        rows.append((i, " ".join(w.upper() if j < loud else w for j, w in enumerate(words)), lang, None, None))
+        if lang != "de" or i < 60:
+            labels.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, hard_docs.schema)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    want = plain_good([(r[0], r[2], r[1]) for r in rows], [(r[0], r[1]) for r in labels])
+    assert 0 < len(want) < 900
+    assert sorted(r.doc_id for r in quality_report(docs, marks).filter("kept").collect()) == want
+    assert sorted(r.doc_id for r in keep_good(docs, marks).collect()) == want
