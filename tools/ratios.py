@@ -17,7 +17,7 @@ from lakeops.operators.skew import hot_groups, salted_join
 from lakeops.plans.quality_rules import rule_rejects, rule_summary
 from lakeops.queries.quality import LINE_RULES
 from lakeops.session import materialize, work_dir
-from lakeops.sources.footers import parquet_footers
+from lakeops.sources.footers import file_ranges
 from lakeops.sources.layout import cluster_by_range
 from lakeops.streaming import file_stream
 
@@ -102,7 +102,7 @@ def clustered_scan(spark: SparkSession, lines: DataFrame) -> dict:
     low, high = 50000.0, 51000.0
     found = {}
     for name, path in (("unclustered", plain), ("clustered", clustered)):
-        spans = parquet_footers(spark, path).where("column = 'l_extendedprice'")
+        spans = file_ranges(spark, path, ["l_extendedprice"])
         meets = (F.col("min_value").cast("double") <= high) & (F.col("max_value").cast("double") >= low)
         found[f"{name}_files"] = spans.where(meets).select("file").distinct().count()
         rows = spark.read.parquet(path).where(F.col("l_extendedprice").between(low, high))
