@@ -196,7 +196,8 @@ def moving_average(
 def year_over_year(df: DataFrame, year: str, value: Column) -> DataFrame:
     """Total of all rows per year and its change against the year before it in the data.
 
-    Equal rows count each; where a file may hold rows twice, drop those before. The window has one row per year, so a single task for it is enough at any size of ``df``.
+    Equal rows count each; where a file may hold rows twice, drop those before. The window has one row per year, so a
+    single task for it is enough at any size of ``df``.
     """
     yearly = df.groupBy(year).agg(F.sum(value).alias("total"))
     window = Window.orderBy(year)

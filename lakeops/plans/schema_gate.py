@@ -115,10 +115,12 @@ def log_issue_rows(issues: DataFrame, log_path: str, job: Column, user: str = ""
     """
     named = issues.select(job.alias("job"), "issue", "column_name").distinct()
     columns = named.groupBy("job", "issue").agg(F.sort_array(F.collect_list("column_name")).alias("columns"))
-    errors = columns.groupBy("job").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("issue", "columns")))).alias("errors"))
+    per_issue = F.sort_array(F.collect_list(F.struct("issue", "columns")))
+    errors = columns.groupBy("job").agg(F.map_from_entries(per_issue).alias("errors"))
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     metadata = F.struct(
         F.col("job").alias("notebook_path"),
-        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"),
+        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"),
         F.lit(user).alias("user"),
         F.lit(cluster).alias("cluster_id"),
     )

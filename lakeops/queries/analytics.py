@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.change import as_percent_text
 from lakeops.operators import dedup, ranking, relational, sequences, windows
-from lakeops.operators.skew import lookup_join, salted_join
+from lakeops.operators.skew import lookup_join
 from lakeops.queries.registry import query, table
 
 
@@ -396,7 +396,8 @@ def pair_dedup(spark, sf):
     )
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
     sold = lookup_join(lines, suppliers, ["l_suppkey"], "inner")
-    trades = salted_join(sold, buyers, ["l_orderkey"])
+    # Both sides are scans with lookups, which adaptive execution can split where an order is hot.
+    trades = sold.join(buyers, "l_orderkey")
     pairs = trades.select("source", F.col("s_nationkey").alias("destination"))
     return dedup.undirected_pairs(pairs, "source", "destination")
 

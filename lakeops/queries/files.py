@@ -35,6 +35,21 @@ def corrupt_split(spark, sf):
     )
 
 
+@query(
+    "csv_scan",
+    "SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
+)
+def csv_scan(spark, sf):
+    """Orders as CSV with a header, read with a declared schema; only the columns asked for are parsed."""
+    path = work_dir(spark, "csv")
+    orders = table(spark, sf, "orders")
+    orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date")).write.option("header", True).csv(path)
+    schema = ", ".join(
+        f"{name} {'date' if name == 'o_orderdate' else kind}" for name, kind in orders.dtypes
+    )
+    return readers.read_csv(spark, path, schema).select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+
 @query(
     "metadata_ingest",
     """

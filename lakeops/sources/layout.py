@@ -60,13 +60,20 @@ def cluster_by_zorder(df: DataFrame, columns: Sequence[str], files: int, bits: i
     marks = materialize(places(df, columns, 2**bits), "zorder-marks").select(
         *[F.col(c).alias(f"_marks{i}") for i, c in enumerate(columns)]
     )
-    # Worked out once per row and column, before any bit is taken from it.
-    bucketed = df.crossJoin(F.broadcast(marks)).withColumns(
-        {
-            f"_bucket{i}": F.coalesce(_at_or_below(F.col(f"_marks{i}"), F.col(c), bits), F.lit(0)).cast("bigint")
-            for i, c in enumerate(columns)
-        }
-    )
+    bucketed = df.crossJoin(F.broadcast(marks)).withColumns({f"_bucket{i}": F.lit(0) for i in range(len(columns))})
+    # The sorted marks are halved, a projection a step. Beyond the last mark and for a missing value the comparison is
+    # null and nothing is added.
+    for bit in reversed(range(bits)):
+        step = 1 << bit
+        bucketed = bucketed.withColumns(
+            {
+                f"_bucket{i}": F.when(
+                    F.get(F.col(f"_marks{i}"), F.col(f"_bucket{i}") + (step - 1)) <= F.col(c), F.col(f"_bucket{i}") + step
+                ).otherwise(F.col(f"_bucket{i}"))
+                for i, c in enumerate(columns)
+            }
+        )
+    bucketed = bucketed.withColumns({f"_bucket{i}": F.col(f"_bucket{i}").cast("bigint") for i in range(len(columns))})
     curve = F.lit(0).cast("bigint")
     for place in range(len(columns)):
         for bit in range(bits):
@@ -75,12 +82,3 @@ def cluster_by_zorder(df: DataFrame, columns: Sequence[str], files: int, bits: i
     own = [f"_{kind}{i}" for kind in ("marks", "bucket") for i in range(len(columns))]
     return _along(bucketed.withColumn("_curve", curve).drop(*own), ["_curve"], files).drop("_curve")
 
-
-def _at_or_below(marks: Column, value: Column, bits: int) -> Column:
-    """How many of the sorted marks, fewer than 2**bits, are at or below the value: halved, a comparison a step."""
-    count = F.lit(0)
-    for bit in reversed(range(bits)):
-        more = count + F.lit(1 << bit)
-        # Null, so not taken, beyond the last mark and for a missing value.
-        count = F.when(F.get(marks, more - 1) <= value, more).otherwise(count)
-    return count

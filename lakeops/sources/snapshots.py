@@ -223,7 +223,8 @@ class VersionedTable:
         """Write the rows of now once more, in files of about ``target_mb``; a change feed passes over it."""
         entry = self._version_entry()
         df = self._live(entry)
-        files = partitions_for(input_bytes(self._brought(self._operations(), _schema(entry))), target_mb)
+        since = self._operations().where(F.col("version") >= self._base(entry["version"]))
+        files = partitions_for(input_bytes(self._brought(since, _schema(entry))), target_mb)
         rows = in_files(df.drop(BORN, ROW), files)
         return self._commit(entry, "OPTIMIZE", rows, df, _schema(entry), entry["partition_by"], whole=True)
 
@@ -291,7 +292,9 @@ class VersionedTable:
         if ended is None:
             changes = came.withColumn("_change_type", F.lit("insert"))
         else:
-            former = self._brought(operations.where(F.col("version") < end), schema)
+            # Only folders that an ended row lies in: numbers of versions, not of rows.
+            born = [row[BORN] for row in ended.select(BORN).distinct().collect()]
+            former = self._brought(operations.where(F.col("version").isin(born)), schema)
             went = lookup_join(former, ended.withColumnRenamed("_by", "_commit_version"), [BORN, ROW], "inner")
             changes = change_rows(went.drop(BORN, ROW), came, ["_commit_version", *keys])
         times = operations.select(F.col("version").alias("_commit_version"), F.col("commit_ts").alias("_commit_timestamp"))

@@ -15,7 +15,10 @@ from lakeops.sources.snapshots import VersionedTable
 
 
 def stream_schema(spark: SparkSession, source: str, schema_path: str, format: str = "parquet") -> T.StructType:
-    """Schema of the stream: inferred from the files the first time, read from ``schema_path`` afterwards."""
+    """Schema of the stream: inferred from the files the first time, read from ``schema_path`` afterwards.
+
+    It stays as it was then, so columns that later files bring are not read; for those see ``growing``.
+    """
     if path_exists(spark, schema_path):
         saved = spark.read.text(schema_path).first()
         return T.StructType.fromJson(json.loads(saved["value"]))

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.change import as_percent_text, number_from_text, percent_change
 from lakeops.operators import windows
-from lakeops.operators.quantiles import cutting_points
 from lakeops.operators.skew import hot_groups
 
 #: Hours of sun by town and season.
@@ -150,14 +149,6 @@ def test_missing_order_values_come_first(spark, rows):
     )
 
 
-def test_cutting_points_of_several_columns(spark):
-    df = spark.range(1000).select("id", (F.col("id") * 2).alias("double"), F.lit(None).cast("int").alias("nothing"))
-    cuts = cutting_points(df, ["id", "double", "nothing"], 4).first()
-    assert all(abs(got - want) < 30 for got, want in zip(cuts["id"], (250, 500, 750)))
-    assert all(abs(got - want) < 60 for got, want in zip(cuts["double"], (500, 1000, 1500)))
-    assert not cuts["nothing"]
-
-
 @pytest.fixture(scope="module")
 def one_value(spark):
     """Half of the rows have the same first order value, and an eighth are all alike."""
