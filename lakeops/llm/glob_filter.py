@@ -18,15 +18,19 @@ from pyspark.sql import functions as F
 
 #: The letters that are lower-cased.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows that are moved together, which bounds the memory of a step.
+#: Rows that are moved together, and bytes of their states, which bound the memory of a step whatever the rules.
 STEP_ROWS = 8192
+STEP_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``name`` is reported; ``glob`` knows ``?`` (a byte), ``*`` (a run without ``/``) and ``**`` (any run)."""
+    """``name`` is reported (None: the verdict alone is).
 
-    name: str
+    ``glob`` knows ``?`` (a byte), ``*`` (a run without ``/``) and ``**`` (any run).
+    """
+
+    name: str | None
     glob: str
     verdict: str
     rank: int
@@ -46,6 +50,8 @@ class Automaton:
         parsed = [self._parse(glob) for glob in globs]
         bits = sum(len(symbols) + 1 for symbols, _ in parsed)
         self.words = max(1, -(-bits // 64))
+        # A row takes a state of all words, and the answer of every glob.
+        self.rows = max(1, min(STEP_ROWS, STEP_BYTES // (8 * self.words + len(parsed))))
         self.step = np.zeros((256, self.words), np.uint64)  # positions that may be entered by a byte
         self.stay = np.zeros((256, self.words), np.uint64)  # positions that are kept by a byte
         self.start = np.zeros(self.words, np.uint64)
@@ -119,10 +125,10 @@ def best_rule(rules: Sequence[Rule]):
         for hosts, paths in parts:
             texts = [f".{host}{path}".encode(errors="surrogatepass") for host, path in zip(hosts, paths)]
             out = np.full(len(texts), -1, np.int32)
-            for i in range(0, len(texts) if ranked else 0, STEP_ROWS):
-                found = automaton.matches(texts[i : i + STEP_ROWS])
+            for i in range(0, len(texts) if ranked else 0, automaton.rows):
+                found = automaton.matches(texts[i : i + automaton.rows])
                 first = np.where(found.any(axis=1), found.argmax(axis=1), len(ranked))
-                out[i : i + STEP_ROWS] = number[first]
+                out[i : i + automaton.rows] = number[first]
             yield pd.Series(out)
 
     return F.pandas_udf(numbers, "int")
@@ -139,7 +145,8 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], key: str = "page_id", url: str = "url", otherwise="allow"):
     """``key``, host, path, rule (null if none fits) and verdict of every row; other columns are left out.
 
-    No row depends on another: nothing is shuffled, repeated rows give repeated results, empty tables an empty one.
+    Null urls have an empty host and path, for which rules may still fit. No row depends on another: nothing is shuffled,
+    repeated rows give repeated results, empty tables an empty one.
     """
     host, path = url_parts(F.col(f"`{url}`"))
     parts = pages.select(F.col(f"`{key}`").alias(key), host.alias("host"), path.alias("path"))

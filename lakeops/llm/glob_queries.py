@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeops.llm.glob_filter import judge_urls, site_rule
+from lakeops.llm.glob_filter import Rule, judge_urls, site_rule
 from lakeops.llm.registry import query, table
 
 RULES = (
@@ -12,7 +12,11 @@ RULES = (
     site_rule("allow", "org/fr/"),
 )
 
-SQL = """
+#: Kinds of sites that are blocked where no rule fits: any host with such a label, and session pages below any folder.
+GLOBS = ("*.casino-**", "*.free-bet?.**", "*.cheap-pill?.**", "**/*/session*.html")
+RULES += tuple(Rule(None, glob, "block", -1 - place) for place, glob in enumerate(GLOBS))
+
+SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ),
@@ -32,7 +36,10 @@ fits AS (
   FROM split s JOIN rules r
     ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
 )
-SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+SELECT s.page_id, s.host, s.path, f.rule,
+       coalesce(f.verdict, CASE WHEN regexp_matches('.' || s.host || s.path,
+         '(?s)^([^/]*\.casino-.*|[^/]*\.free-bet[\x00-\x7F]\..*|[^/]*\.cheap-pill[\x00-\x7F]\..*|.*/[^/]*/session[^/]*\.html)$')
+         THEN 'block' ELSE 'allow' END) AS verdict
 FROM split s LEFT JOIN fits f ON f.page_id = s.page_id AND f.place = 1
 """
 
