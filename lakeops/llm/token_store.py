@@ -324,7 +324,8 @@ def routed(wanted: DataFrame, manifest: DataFrame) -> DataFrame:
     inside = Window.partitionBy("range").orderBy("key")
     placed = stored.withColumn("latest", F.max("shard").over(inside)).filter(F.col("shard").isNull())
     placed = placed.join(F.broadcast(edges), "range").withColumn("latest", F.coalesce("latest", "before"))
-    begun = placed.filter(F.col("key") <= F.col("latest.last_key")).select("key", "latest.place", "latest.ids_file", "latest.index_file")
+    held = placed.filter(F.col("key") <= F.col("latest.last_key"))
+    begun = held.select("key", "latest.place", "latest.ids_file", "latest.index_file")
     ending = wanted.join(shards.withColumnRenamed("last_key", "key"), "key").select("key", "place", "ids_file", "index_file")
     return begun.union(ending).distinct().drop("place")
 

@@ -113,7 +113,8 @@ def value_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def binary_values(places: np.ndarray, data: np.ndarray) -> pa.Array:
     places = pa.py_buffer(np.ascontiguousarray(places, np.int64))
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), places.size // 8 - 1, [None, places, pa.py_buffer(np.ascontiguousarray(data))])
+    buffers = [None, places, pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), places.size // 8 - 1, buffers)
 
 
 class PieceIds:

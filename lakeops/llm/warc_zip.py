@@ -1,9 +1,9 @@
 """WARC archives inside ZIP packages, written by tasks and read back by byte ranges.
 
 A package is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz`` with one gzip member per
-record, and ``indexes/index.cdx``, a line per record with its offset and length. The reader takes the end of the file,
-follows the directory (the ZIP64 one if there is one) to the place of every member, reads the index and then only the
-bytes of records; nothing is extracted.
+record, and ``indexes/index.cdx``, a line per record with its URL, page, digest, type, offset and length, sorted by URL. The
+reader takes the end of the file, follows the directory (the ZIP64 one if there is one) to the place of every member, reads
+the index and then only the bytes of records; nothing is extracted. Records of some URLs are found by the indexes alone.
 
 Records of equal payloads are revisits of the one with the largest page id. The digest is taken where the page lies; only
 the largest id of each digest is joined back.
@@ -145,11 +145,16 @@ def roles(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", payload: s
     )
 
 
+def _uri(url: str) -> str:
+    """A URL that stays on its line: blanks and control characters are encoded."""
+    return "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
+
+
 def warc_record(page: int | None, url: str, payload: bytes | None, size: int, digest: str, refers_to: int | None) -> bytes:
     """A response record, or a revisit with the HTTP header alone, which keeps the length of the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"")
-    uri = "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
+    uri = _uri(url)
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
@@ -239,14 +244,17 @@ class _Package:
         )
         data = gzip.compress(record, 6, mtime=0)
         self.member.write(data)
-        self.lines.append(f"{self.at} {len(data)}\n")
+        page = "" if row["page_id"] is None else row["page_id"]
+        kind = "response" if row["refers_to"] is None else "revisit"
+        line = f"{page}\t{row['payload_digest']}\t{kind}\t{self.at}\t{len(data)}\n"
+        self.lines.append((_uri(row["url"]), self.at, line))
         self.at += len(data)
         self.count += 1
 
     def close(self) -> pa.RecordBatch:
         self.member.close()
         with self.zip.open(zipfile.ZipInfo(INDEX), "w", force_zip64=True) as index:
-            index.write("".join(self.lines).encode())
+            index.write("".join(f"{uri}\t{rest}" for uri, _, rest in sorted(self.lines)).encode())
         self.zip.close()
         self.stream.close()
         return pa.RecordBatch.from_arrays(
@@ -254,6 +262,69 @@ class _Package:
         )
 
 
+def _index_lines(file) -> tuple[int, list[list[str]]]:
+    """Where the archive of a package begins, and its index as lists of URL, page, digest, type, offset and length."""
+    members = {m.name: m for m in zip_members(file)}
+    index = members[INDEX]
+    lines = file.read_at(index.size, stored_at(file, index)).decode().split("\n")[:-1]
+    return stored_at(file, members[ARCHIVE]), [line.split("\t") for line in lines]
+
+
+def indexed(packages: DataFrame) -> DataFrame:
+    """uri, page_id, payload_digest, record_type, package, offset and length of every record, by the indexes alone."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for package in batch.column(0).to_pylist():
+                with range_reader(package) as file:
+                    base, lines = _index_lines(file)
+                uris, pages, digests, types, offsets, lengths = zip(*lines) if lines else [()] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(uris, pa.string()),
+                        pa.array([int(page) if page else None for page in pages], pa.int64()),
+                        pa.array(digests, pa.string()),
+                        pa.array(types, pa.string()),
+                        pa.array([package] * len(uris), pa.string()),
+                        pa.array([base + int(offset) for offset in offsets], pa.int64()),
+                        pa.array([int(length) for length in lengths], pa.int64()),
+                    ],
+                    names=["uri", "page_id", "payload_digest", "record_type", "package", "offset", "length"],
+                )
+
+    kinds = "uri string, page_id long, payload_digest string, record_type string, package string, offset long, length long"
+    return packages.select("package").mapInArrow(read, kinds)
+
+
+def fetch_pages(packages: DataFrame, wanted: DataFrame, key: str = "page_id") -> DataFrame:
+    """page_id, uri and payload of the records whose page is among ``wanted``, read by byte ranges.
+
+    A revisit gives the payload of the record that it refers to, found by its digest. Pages that are asked for twice count
+    once; null and unknown pages have no row; repeated records have a row each.
+    """
+    listed = materialize(indexed(packages), "warc-index")
+    asked = wanted.select(F.col(f"`{key}`").cast("long").alias("page_id")).where(F.col("page_id").isNotNull()).distinct()
+    found = materialize(listed.join(asked, "page_id", "left_semi"), "warc-found")
+    digests = found.select("payload_digest").distinct()
+    responses = listed.where("record_type = 'response'").join(digests, "payload_digest", "left_semi")
+    # Equal payloads are read once.
+    one = responses.groupBy("payload_digest").agg(F.min(F.struct("package", "offset", "length")).alias("at"))
+    dealt = one.select("payload_digest", "at.*").repartition(parallelism(packages.sparkSession))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            payloads = []
+            for package, offset, length in zip(*[c.to_pylist() for c in batch.columns[1:]]):
+                with range_reader(package) as file:
+                    record = zlib.decompress(file.read_at(length, offset), 31)
+                parse_record(record)  # an error if the payload differs from its digest
+                payloads.append(record.split(b"\r\n\r\n", 2)[2].removesuffix(b"\r\n\r\n"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(payloads, pa.binary())], names=["payload_digest", "payload"])
+
+    texts = dealt.mapInArrow(read, "payload_digest string, payload binary")
+    return found.select("page_id", "uri", "payload_digest").join(texts, "payload_digest").select("page_id", "uri", "payload")
+
+
 def located(packages: DataFrame) -> DataFrame:
     """(package, offset, lengths): runs of neighbouring records in the packages, by their directories and indexes."""
 
@@ -261,12 +332,11 @@ def located(packages: DataFrame) -> DataFrame:
         for batch in batches:
             for package in batch.column(0).to_pylist():
                 with range_reader(package) as file:
-                    members = {m.name: m for m in zip_members(file)}
-                    base, index = stored_at(file, members[ARCHIVE]), members[INDEX]
-                    lines = file.read_at(index.size, stored_at(file, index)).split(b"\n")[:-1]
-                runs = [lines[i : i + RANGE_RECORDS] for i in range(0, len(lines), RANGE_RECORDS)]
-                offsets = [base + int(run[0].split()[0]) for run in runs]
-                lengths = [[int(line.split()[1]) for line in run] for run in runs]
+                    base, lines = _index_lines(file)
+                places = sorted((int(offset), int(length)) for *_, offset, length in lines)
+                runs = [places[i : i + RANGE_RECORDS] for i in range(0, len(places), RANGE_RECORDS)]
+                offsets = [base + run[0][0] for run in runs]
+                lengths = [[length for _, length in run] for run in runs]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([package] * len(runs), pa.string()),
@@ -319,6 +389,9 @@ def _ranges(file, offset: int, lengths: list[int]) -> Iterator[bytes]:
 
 
 def archived(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write all pages into packages in the shared folder and read the records back."""
+    """Write all pages into packages in the shared folder and read the records back.
+
+    Null payloads and URLs are empty, repeated rows have a record each, an empty table gives no rows.
+    """
     folder = work_dir(pages.sparkSession, "warc")
     return read_packages(write_packages(roles(pages, min_bytes), folder))

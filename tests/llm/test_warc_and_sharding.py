@@ -13,6 +13,8 @@ from lakeops.llm.sharding import lookup_table, placed, write_shards
 from lakeops.llm.storage import range_reader
 from lakeops.llm.warc_zip import (
     archived,
+    fetch_pages,
+    indexed,
     parse_record,
     read_packages,
     roles,
@@ -55,6 +57,25 @@ def test_packages_are_readable_by_other_tools(spark, tmp_path):
     assert read_packages(packages).count() == 50
 
 
+def test_pages_are_found_by_the_index(spark):
+    html = ["one", "two", "two", None, "é\r\n\r\n" * 3, "two"]
+    rows = [(i, f"http://a/{9 - i} x", h) for i, h in enumerate(html)] + [(None, "u", "one"), (4, None, "again")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    packages = write_packages(roles(pages).repartition(3), work_dir(spark, "warc"), records_per_package=2)
+    lines = indexed(packages).collect()
+    assert len(lines) == len(rows)
+    for package in {r.package for r in lines}:
+        uris = [r.uri for r in lines if r.package == package]
+        assert uris == sorted(uris) and not any(" " in uri for uri in uris)
+    asked = spark.createDataFrame([(1,), (2,), (3,), (4,), (77,), (None,), (1,)], "page_id long")
+    got = sorted((r.page_id, r.uri, bytes(r.payload).decode()) for r in fetch_pages(packages, asked).collect())
+    assert got == [
+        (1, "http://a/8%20x", "two"), (2, "http://a/7%20x", "two"), (3, "http://a/6%20x", ""),
+        (4, "", "again"), (4, "http://a/5%20x", "é\r\n\r\n" * 3),
+    ]
+    assert fetch_pages(packages, asked.limit(0)).count() == 0
+
+
 class Bytes:
     def __init__(self, data):
         self.data = data
