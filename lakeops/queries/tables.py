@@ -327,7 +327,7 @@ def drop_columns(spark, sf):
     versions = VersionedTable(spark, work_dir(spark, "dropped"))
     versions.overwrite(_customers(spark, sf))
     versions.drop_columns("c_acctbal")
-    versions.append(_updates(spark, sf).where("c_custkey > 1000000000").drop("c_acctbal"))
+    versions.append(_updates(spark, sf).where("c_custkey >= 1000000000").drop("c_acctbal"))
     now, before = (
         versions.read(version).withColumn("version", F.lit(version).cast("bigint")) for version in (2, 0)
     )
