@@ -100,6 +100,8 @@ def encode(
                 if decoded:
                     columns["decoded"] = _decoded(lists, tokenizer)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                del columns, lists
+                pa.default_memory_pool().release_unused()
 
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>" + ", decoded string" * decoded)

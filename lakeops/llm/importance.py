@@ -150,6 +150,7 @@ def weighted(docs: DataFrame, gains: np.ndarray, key: str = "doc_id", text: str
                 found = Runs(large_texts(part.column(1)), len(gains)).per_text(gains)
                 arrays = [part.column(0), *[pa.array(values) for values in found]]
                 yield pa.RecordBatch.from_arrays(arrays, names=[key, "n_words", "n_features", "weight"])
+                pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(weigh, f"`{key}` {kind}, n_words long, n_features long, weight long")
 

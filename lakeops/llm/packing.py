@@ -32,7 +32,7 @@ GROUP_PIECES = 500_000
 #: Tokens that wait at a time.
 WAITING = 8 << 20
 #: Texts that are encoded at a time, by characters.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 2 << 20
 
 
 #: Marks the numbers of sequences that were packed again.

@@ -172,6 +172,13 @@ class PieceIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
+        try:
+            return self._encoded(texts)
+        finally:
+            # Else the arrays of a batch would stay with the idle worker.
+            pa.default_memory_pool().release_unused()
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         if self.added is None:
             return self._by_words(texts)
         whole = [i for i, text in enumerate(texts) if self.added.search(text)]
