@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-KEPT = 600_000
+KEPT = 300_000
 #: Words of more bytes are encoded each time.
 KEPT_BYTES = 64
 #: New words that are handed over as one text.
