@@ -24,4 +24,8 @@ def chunks(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
 
 
 def large_texts(column: pa.Array) -> pa.Array:
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    """A column of texts, or a slice of one, as large strings whose bytes begin at the first text; null is empty.
+
+    A cast slice keeps the bytes before it, and kernels such as ``ascii_lower`` then read the texts from a wrong place.
+    """
+    return pc.fill_null(pa.concat_arrays([column]).cast(pa.large_string()), "")

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from lakeops.llm.batches import chunks, large_texts
 from lakeops.llm.importance import Runs, _shift, numbered, resample
 
 BUCKETS = 97
@@ -74,6 +75,19 @@ def test_runs_equal_plain_ones():
     assert weights.tolist() == [sum(int(gains[zlib.crc32(f.encode()) % BUCKETS]) for f in features(t)) for t in texts]
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("nulls", [0, 1])
+def test_runs_of_every_slice_of_a_batch(kind, nulls, monkeypatch):
+    monkeypatch.setattr("lakeops.llm.batches.CHUNK_BYTES", 300)
+    texts = [f"Text {i} É " * (i % 9) for i in range(200)] + [None] * nulls
+    parts = list(chunks(pa.record_batch([pa.array(texts, kind)], ["text"]), 0))
+    assert len(parts) > 20
+    for part in parts:
+        runs, some = Runs(large_texts(part.column(0)), BUCKETS), part.column(0).to_pylist()
+        want = Counter(zlib.crc32(f.encode()) % BUCKETS for t in some for f in features(t))
+        assert runs.counts(BUCKETS).tolist() == [want[b] for b in range(BUCKETS)]
+
+
 @pytest.mark.parametrize("share", [5, 40, 100])
 def test_resampling_equals_plain_python(spark, hard_docs, clashing, prose, share):
     more = [(100 + i, prose(i, 15 + i), None, None, None) for i in range(40)]
