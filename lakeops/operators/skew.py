@@ -126,7 +126,9 @@ def _cells(left_rows: float, right_rows: float, cells: int) -> tuple[int, int]:
     return 2**left, 2 ** (steps - left)
 
 
-def grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+def grid_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", pairs: str | None = None
+) -> DataFrame:
     """Equi-join for keys that may hold a large part of the rows on both sides.
 
     The rows of such a key are cut on both sides, and each pair of pieces is a cell of its own: left rows are dealt over
@@ -135,9 +137,20 @@ def grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
 
     A left join takes keys that are hot on both sides apart, as their rows all find partners: the others are joined
     without copies of left rows. Semi and anti joins look at the distinct keys of the right side.
+
+    With ``pairs``, rows of a side that are alike in all columns are joined as one, and the column of that name says how
+    many rows of the plain join a row stands for. Their number is the product of both sides' copies, so select only the
+    columns that are needed before: what is then counted or added up per key grows with the kinds of rows, not their pairs.
     """
     if how not in REPLICABLE_JOINS:
         raise ValueError(f"a grid join cannot be {how!r}: copied rows would show in the result")
+    if pairs is not None:
+        sides = zip((left, right), ("_left_copies", "_right_copies"))
+        kinds = [materialize(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n)), "kinds") for df, n in sides]
+        joined = grid_join(*kinds, on, how)
+        # A left row without a partner is one row; semi and anti joins have left rows only.
+        right_copies = F.coalesce("_right_copies", F.lit(1)) if how in ("inner", "left") else F.lit(1)
+        return joined.withColumn(pairs, F.col("_left_copies") * right_copies).drop("_left_copies", "_right_copies")
     if how in ("left_semi", "left_anti"):
         return salted_join(left, right.select(*on).distinct(), on, how)
     left_hot, right_hot = hot_groups(left, on), hot_groups(right, on)

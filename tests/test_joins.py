@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import dedup, relational, skew
+from lakeops.queries import QUERIES
+from lakeops.queries.joins import _both_hot
 
 
 @pytest.fixture(scope="module")
@@ -173,6 +175,54 @@ def test_grid_join_of_equal_rows_and_of_nothing(both_hot, rows):
             assert rows(skew.grid_join(a, b, ["key"], how)) == rows(a.join(b, ["key"], how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_grid_join_counts_pairs_of_rows_that_are_alike(both_hot, rows, how):
+    left, right = both_hot[0].withColumn("l", F.col("l") % 5), both_hot[1].withColumn("r", F.col("r") % 4)
+    got, plain = skew.grid_join(left, right, ["key"], how, pairs="n"), left.join(right, ["key"], how)
+    assert got.columns == [*plain.columns, "n"]
+    assert rows(got) == rows(plain.groupBy(*plain.columns).agg(F.count("*").alias("n")))
+
+
+@pytest.mark.parametrize("name", ["grid_join", "grid_left_join"])
+def test_grid_queries_make_no_row_per_pair(spark, rows, tmp_path, name):
+    """4000 orders and 3000 suppliers of one site, some twice or without a key, beside orders and suppliers without one."""
+    order = F.when(F.col("id") % 7 > 0, F.col("id") * 3).alias("o_orderkey")
+    orders = spark.range(4000).select(order, F.col("id").alias("o_custkey"))
+    orders = orders.union(orders.limit(10)).union(spark.range(90).select("id", F.when(F.col("id") % 2 == 0, F.col("id"))))
+    supplier = F.when(F.col("id") % 11 > 0, F.col("id") * 3).alias("s_suppkey")
+    suppliers = spark.range(3000).select(supplier, F.when(F.col("id") % 9 > 0, F.col("id") % 9).alias("s_nationkey"))
+    suppliers = suppliers.union(suppliers.limit(5)).union(spark.range(90).select("id", F.lit(1)))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
+    a, b = _both_hot(spark, str(tmp_path))
+    plain = a.join(b, ["site"], "left" if name == "grid_left_join" else "inner")
+    if name == "grid_join":
+        marks = F.sum(F.col("o_orderkey") % 100)
+        want = plain.groupBy("site", "s_nationkey").agg(F.count(F.lit(1)).alias("pairs"), marks.alias("marks"))
+    else:
+        some = F.any_value("site").alias("site"), F.count("s_suppkey").alias("suppliers"), F.min("s_suppkey").alias("first_supplier")
+        want = plain.where("o_orderkey is not null").groupBy("o_orderkey").agg(*some)
+    got = QUERIES[name](spark, str(tmp_path))
+    if name == "grid_left_join":
+        got = got.where("o_orderkey is not null")  # its site may be any of several
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+    def most_rows(df):
+        df.collect()
+        plan, most = [df._jdf.queryExecution().executedPlan()], 0
+        while plan:
+            node = plan.pop()
+            found = node.metrics().get("numOutputRows")
+            most = max(most, found.get().value() if found.isDefined() else 0)
+            nodes = [node.executedPlan()] if "AdaptiveSparkPlan" in node.nodeName() else []
+            nodes += [node.plan()] if "QueryStage" in node.nodeName() else []
+            plan += nodes + [node.children().apply(i) for i in range(node.children().size())]
+        return most
+
+    # The plain join makes more than nine million.
+    assert 0 < most_rows(QUERIES[name](spark, str(tmp_path))) < 100_000
+
+
 def test_grid_cells_are_alike(both_hot):
     # As many cells as asked for; the larger side is cut into more pieces.
     assert skew._cells(1000, 1000, 16) == (4, 4)
