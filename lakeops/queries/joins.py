@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import relational
 from lakeops.operators.skew import grid_join, lookup_join, lookup_join_on, salted_join
 from lakeops.queries.registry import query, table
+from lakeops.session import materialize
 from lakeops.sources.readers import query_table, read_path_sql
 
 
@@ -211,10 +212,14 @@ def join_grid(spark, sf):
     """,
 )
 def join_grid_left(spark, sf):
+    """A site's suppliers are counted once, not once per order; every order is then joined with its site."""
     orders, suppliers = _both_hot(spark, sf)
-    pairs = grid_join(orders, suppliers, ["site"], "left")
-    return pairs.groupBy("o_orderkey").agg(
-        F.any_value("site").alias("site"), F.count("s_suppkey").alias("suppliers"), F.min("s_suppkey").alias("first_supplier")
+    at_site = suppliers.groupBy("site").agg(F.count("s_suppkey").alias("n"), F.min("s_suppkey").alias("first"))
+    joined = grid_join(orders, materialize(at_site, "sites"), ["site"], "left")
+    return joined.groupBy("o_orderkey").agg(
+        F.any_value("site").alias("site"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("suppliers"),
+        F.min("first").alias("first_supplier"),
     )
 
 
