@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,8 +13,6 @@ from lakeops.operators.skew import group_hash, hot_groups
 from lakeops.session import materialize, parallelism
 
 ROWS_IN_ONE_TASK = -1  # chunk number of groups that need no cutting
-#: Sampled rows per chunk. Cutting points need not be exact: they decide how large chunks become, never a result.
-SAMPLED = 32
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -24,48 +21,26 @@ def row_hash(df: DataFrame) -> Column:
 
 
 def with_places(df: DataFrame) -> DataFrame:
-    """``df``, stored, with ``_tie`` (a hash of the row) and ``_place`` (where it lay).
+    """``df`` with ``_tie`` (a hash of the row) and ``_place`` (where it lies).
 
-    Behind other order columns they make the order total, so that cuts can lie inside rows that are all alike.
+    Behind other order columns they make the order total, so that cuts can lie inside rows that are all alike. Only
+    what :func:`order_chunks` stores of it has fixed places.
     """
-    return materialize(df.withColumns({"_tie": row_hash(df), "_place": F.monotonically_increasing_id()}), "chunks")
+    return df.withColumns({"_tie": row_hash(df), "_place": F.monotonically_increasing_id()})
 
 
 def _group(keys: Sequence[str]) -> Column:
     return group_hash(keys) if keys else F.lit(0).cast("bigint")
 
 
-def _marks(df: DataFrame, columns: Sequence[str], keys: Sequence[str], hot: dict[int, float]) -> DataFrame:
-    """Per hot group the points that cut its rows, in the order of all ``columns``, into chunks of half a task's share.
-
-    They come from a random sample of the group, which holds about ``SAMPLED`` rows a chunk, so it grows with the number
-    of tasks and not with the rows. The points are arrays of arrays of about equal length.
-    """
-    tasks, rows = parallelism(df.sparkSession), max(1, df.count())
-    chunks = sum(max(2, math.ceil(2 * share * tasks)) for share in hot.values())
-    rate = min(1.0, SAMPLED * chunks / (rows * sum(hot.values())))
-    points = df.select(_group(keys).alias("_group"), F.struct(*columns).alias("_point"))
-    sample = points.where(F.col("_group").isin(list(hot)) & (F.rand(7) < rate))
-    sorted_points = sample.groupBy("_group").agg(F.sort_array(F.collect_list("_point")).alias("_points"))
-    pieces = F.greatest(F.lit(2), F.ceil(F.size("_points") * (2 * tasks / (rate * rows)))).cast("int")
-    return (
-        sorted_points.withColumn("_pieces", pieces)
-        .withColumn("_at", F.sequence(F.lit(1), F.col("_pieces") - 1))
-        .withColumn("_at", F.transform("_at", lambda i: F.floor(i * F.size("_points") / F.col("_pieces")).cast("int") + 1))
-        .withColumn("_points", F.array_distinct(F.transform("_at", lambda i: F.element_at("_points", i))))
-        .withColumn("_length", F.ceil(F.sqrt(F.size("_points"))).cast("int"))
-        .withColumn("_at", F.sequence(F.lit(1), F.size("_points"), F.col("_length")))
-        .select("_group", F.transform("_at", lambda i: F.slice("_points", i, F.col("_length"))).alias("_marks"))
-    )
-
-
 def order_chunks(
     df: DataFrame, order: str | Sequence[str], keys: Sequence[str] = (), hot: dict[int, float] | None = None
 ) -> DataFrame:
     """Add ``_chunk``, which rises with all columns of ``order`` inside each hot key group and is -1 in the others.
 
     Without ``keys`` all rows are one group. Rows that are equal in all of ``order`` share a chunk, so a group is cut
-    inside any value of its first columns. ``df`` is read three times, so store it unless it is a plain scan.
+    inside any value of its first columns. Rows are dealt into ranges of the group and the order, each about half a task's
+    share, by Spark's range partitioning, and stored, so that every reader of the chunks sees the same cuts.
     """
     columns = order_columns(order)
     if not keys:
@@ -74,20 +49,10 @@ def order_chunks(
         hot = hot_groups(df, keys)
     if not hot:
         return df.withColumn("_chunk", F.lit(ROWS_IN_ONE_TASK))
-    # Stored, so that every reader of the chunks cuts alike; a row per hot group.
-    bounds = materialize(_marks(df, columns, keys, hot), "cuts")
-    value = F.struct(*columns)
-    # First the block of cutting points, then the point inside it.
-    block = F.size(F.filter("_marks", lambda marks: marks[0] <= value))
-    length = F.size(F.col("_marks")[0])
-    inside = F.size(F.filter(F.get("_marks", block - 1), lambda mark: mark <= value))
-    chunk = F.when(block == 0, F.lit(0)).otherwise((block - 1) * length + inside)
-    return (
-        df.withColumn("_group", _group(keys))
-        .join(F.broadcast(bounds), "_group", "left")
-        .withColumn("_chunk", F.when(F.col("_marks").isNull(), F.lit(ROWS_IN_ONE_TASK)).otherwise(chunk))
-        .drop("_group", "_marks")
-    )
+    is_hot = _group(keys).isin(list(hot))
+    dealt = df.repartitionByRange(2 * parallelism(df.sparkSession), F.when(is_hot, _group(keys)), *columns)
+    chunk = F.when(is_hot, F.spark_partition_id()).otherwise(ROWS_IN_ONE_TASK)
+    return materialize(dealt.withColumn("_chunk", chunk), "chunks")
 
 
 def order_columns(order: str | Sequence[str]) -> list[str]:
@@ -140,8 +105,8 @@ def over_rows(
 
     ``order`` is a column or several, of which the later break ties of the earlier; rows that are equal in all of them
     follow a hash of the row, and rows that are equal altogether may stand in any order. ``bounded`` says that groups are
-    known to be small, as after an aggregation by calendar day; otherwise the rows are stored if a group is large, and it
-    is cut into chunks anywhere in that order.
+    known to be small, as after an aggregation by calendar day; otherwise a large group is cut into chunks anywhere in that
+    order, and the rows are stored with them.
     """
     by = order_columns(order)
     hot = {} if bounded else {0: 1.0} if not keys else hot_groups(df, keys)

@@ -188,3 +188,12 @@ def test_equal_order_values_follow_the_row_in_any_partitioning(spark, rows):
         first = windows.lag_lead(data, "day", "value", keys)
         assert rows(first) == rows(windows.lag_lead(data.repartition(5), "day", "value", keys))
         assert rows(first) == rows(windows.lag_lead(data.orderBy(F.col("value").desc()), "day", "value", keys, bounded=True))
+
+
+@pytest.mark.parametrize("keys", [[]])
+def test_chunks_are_stored_and_not_searched_for_by_every_row(spark, skewed, keys):
+    chunked = windows.order_chunks(windows.with_places(skewed), ["place", "_tie", "_place"], keys)
+    plan = chunked._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "Join" not in plan
+    hot = chunked.where("_chunk <> -1")
+    assert hot.groupBy("_chunk").count().agg(F.max("count")).first()[0] < skewed.count() / 8
