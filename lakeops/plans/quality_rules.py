@@ -45,22 +45,29 @@ def failing(rule: Mapping) -> Column | None:
     return None
 
 
+def _broken(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
+    """Each row once per rule it breaks, with the place of the rule as ``_rule``."""
+    conditions = [(place, failing(rule)) for place, rule in enumerate(rules)]
+    conditions = [(place, condition) for place, condition in conditions if condition is not None]
+    if not conditions:
+        return df.where(F.lit(False)).withColumn("_rule", F.lit(0))
+    # Rows that break no rule, usually nearly all, are out before any place is listed.
+    broken = df.where(reduce(Column.__or__, [condition for _, condition in conditions]))
+    places = F.array(*[F.when(condition, F.lit(place)) for place, condition in conditions])
+    return broken.withColumn("_rule", F.explode(F.array_compact(places)))
+
+
+def _tagged(broken: DataFrame, rules: Sequence[Mapping], job: str, at: str) -> DataFrame:
+    """What the rule at ``_rule`` says about each row, instead of its place."""
+    said = [F.struct(*[F.lit(_said(rule, field)).alias(name) for name, field in TAGS.items()]) for rule in rules]
+    none = F.struct(*[F.lit(None).cast("string").alias(name) for name in TAGS])
+    tagged = broken.withColumn("_tag", F.get(F.array(*(said or [none])), F.col("_rule")))
+    return tagged.drop("_rule").select("*", "_tag.*", F.lit(job).alias("notebook_name"), F.lit(at).alias("timestamp")).drop("_tag")
+
+
 def rule_rejects(df: DataFrame, rules: Sequence[Mapping], job: str, at: str) -> DataFrame:
     """Each row once per rule it breaks, tagged with the rule; one scan, no shuffle."""
-    conditions = [(rule, failing(rule)) for rule in rules]
-    conditions = [(rule, condition) for rule, condition in conditions if condition is not None]
-    tags = [
-        F.when(condition, F.struct(*[F.lit(_said(rule, field)).alias(name) for name, field in TAGS.items()]))
-        for rule, condition in conditions
-    ]
-    if not tags:
-        return df.where(F.lit(False)).select(
-            "*", *[F.lit(None).cast("string").alias(name) for name in (*TAGS, "notebook_name", "timestamp")]
-        )
-    # Rows that break no rule, usually nearly all, are out before any tag is made.
-    broken = df.where(reduce(Column.__or__, [condition for _, condition in conditions]))
-    tagged = broken.withColumn("_tag", F.explode(F.array_compact(F.array(*tags))))
-    return tagged.select(*df.columns, "_tag.*", F.lit(job).alias("notebook_name"), F.lit(at).alias("timestamp"))
+    return _tagged(_broken(df, rules), rules, job, at)
 
 
 def rule_summary(
@@ -96,7 +103,7 @@ def rule_summary(
 
 
 def write_rejects(df: DataFrame, rules: Sequence[Mapping], job: str, base: str, at: datetime) -> str:
-    """Write the summary as CSV and, if any row failed, the failing rows as JSON by rule.
+    """Write the summary as CSV and, if any row failed, the failing rows as JSON by rule, in gzip.
 
     Returns the folder, which is named by the time.
     """
@@ -107,6 +114,7 @@ def write_rejects(df: DataFrame, rules: Sequence[Mapping], job: str, base: str,
     summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/summary")
     written = df.sparkSession.read.schema(summary.schema).option("header", True).csv(f"{folder}/summary")
     if written.where("failed_count > 0").head(1):
-        rejects = rule_rejects(df, rules, job, stamp).hint("rebalance", "rule_id")
-        rejects.write.mode("append").partitionBy("rule_id").json(f"{folder}/rows")
+        # Only the place of a rule is shuffled beside the row; what it says is added where rows are written.
+        rejects = _tagged(_broken(df, rules).hint("rebalance", "_rule"), rules, job, stamp)
+        rejects.write.mode("append").partitionBy("rule_id").json(f"{folder}/rows", compression="gzip")
     return folder

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,25 @@ CHECKS = [
 ]
 
 
+def test_reject_files_hold_all_rejects_in_few_bytes(spark, rows, tmp_path):
+    people = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("name"), (F.col("id") * 7).alias("number")
+    )
+    rules = [
+        {"id": "R1", "type": "not_null_or_blank", "column": "name", "description": "No name", "severity": "error"},
+        {"id": "unknown", "type": "other"},
+        {"id": "R2", "type": "custom_sql", "expression": "number % 2 = 0"},
+    ]
+    folder = quality_rules.write_rejects(people, rules, "job", str(tmp_path), datetime(2024, 5, 6))
+    want = quality_rules.rule_rejects(people, rules, "job", "2024-05-06 00:00:00")
+    assert want.count() == 6667 + 10_000
+    written = spark.read.schema(want.schema).json(f"{folder}/rows")
+    assert rows(written, *want.columns) == rows(want)
+    want.select(F.to_json(F.struct("*"))).write.text(str(tmp_path / "plain"))
+    size = lambda place: sum(f.stat().st_size for f in place.rglob("part-*"))
+    assert size(Path(folder) / "rows") < size(tmp_path / "plain") / 4
+
+
 def test_checks(spark, people):
     got = [(r.name, r.passed, r.bad) for r in check_results(people, CHECKS).collect()]
     assert got == [
