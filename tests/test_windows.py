@@ -190,7 +190,7 @@ def test_equal_order_values_follow_the_row_in_any_partitioning(spark, rows):
         assert rows(first) == rows(windows.lag_lead(data.orderBy(F.col("value").desc()), "day", "value", keys, bounded=True))
 
 
-@pytest.mark.parametrize("keys", [[]])
+@pytest.mark.parametrize("keys", [[], ["key"]])
 def test_chunks_are_stored_and_not_searched_for_by_every_row(spark, skewed, keys):
     chunked = windows.order_chunks(windows.with_places(skewed), ["place", "_tie", "_place"], keys)
     plan = chunked._jdf.queryExecution().optimizedPlan().toString()
