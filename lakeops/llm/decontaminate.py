@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.llm.batches import give_back
 from lakeops.llm.columns import free_name
 from lakeops.session import materialize
 
@@ -167,6 +168,7 @@ def _scanned(df: DataFrame, text: str, into: str, patterns: Broadcast) -> DataFr
             others = [c for name, c in zip(batch.schema.names, batch.columns) if name != into]
             names = [name for name in batch.schema.names if name != into]
             yield pa.RecordBatch.from_arrays([*others, column], names=[*names, into])
+        give_back()
 
     return df.mapInArrow(scan, schema)
 

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.batches import give_back
 from lakeops.llm.columns import free_name
 from lakeops.llm.components import components
 from lakeops.session import materialize, parallelism
@@ -145,6 +146,8 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
             columns += [pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(offsets, flat)]
             names = ["row", "key", "text_hash", "n_shingles", "set_a", "set_b", "signature", "bands"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=names)
+        words.clear()
+        give_back()
 
     schema = "row long, key long, text_hash long, n_shingles long, set_a long, set_b long, signature binary, bands array<long>"
     return rows.mapInArrow(sign, schema)
@@ -174,6 +177,8 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(offsets, flat)], names=["node", "shingles"]
             )
+        words.clear()
+        give_back()
 
     # Rows that are repeated, key and text, give the same set more than once.
     return found.mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"])

@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.llm.batches import chunks, small_batches
 from lakeops.llm.columns import free_name
 from lakeops.llm.tokens import piece_ids
 from lakeops.session import materialize
@@ -29,10 +30,11 @@ OPEN_BINS = 4096
 FULL_PERCENT = 99
 #: Pieces that are packed again in one task, about.
 GROUP_PIECES = 500_000
-#: Tokens that wait at a time.
+#: Tokens that wait at a time, and pieces: of short texts few tokens are many rows.
 WAITING = 8 << 20
-#: Texts that are encoded at a time, by characters.
-CHUNK_CHARS = 4 << 20
+WAITING_PIECES = 100_000
+#: Bytes of text that are encoded at a time; a longer text is encoded alone.
+CHUNK_BYTES = 2 << 20
 
 
 #: Marks the numbers of sequences that were packed again.
@@ -77,17 +79,10 @@ class BestFit:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Rows of about ``CHUNK_CHARS`` characters; null texts are empty."""
+    """Keys and texts of about ``CHUNK_BYTES``; null texts are empty. Only one chunk's texts are Python's at a time."""
     for batch in batches:
-        keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-        start = chars = 0
-        for i, text in enumerate(texts):
-            chars += len(text)
-            if chars >= CHUNK_CHARS:
-                yield keys.slice(start, i + 1 - start), texts[start : i + 1]
-                start, chars = i + 1, 0
-        if start < len(texts):
-            yield keys.slice(start), texts[start:]
+        for chunk in chunks(batch, most=CHUNK_BYTES):
+            yield chunk.column(0), [t or "" for t in chunk.column(1).to_pylist()]
 
 
 def _packed_by_task(
@@ -136,7 +131,7 @@ def _packed_by_task(
                     row = (one, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)
                     waiting.append(row)
                 tokens += len(ids) // 4
-            if tokens >= WAITING:
+            if tokens >= WAITING or len(waiting) >= WAITING_PIECES:
                 yield placed()
                 waiting, tokens = [], 0
         if waiting:
@@ -165,7 +160,9 @@ def packed(
     names = [F.col(f"`{name}`") for name in first.columns]
     filled = free_name(first, "_filled")
     of_sequence = F.sum("length").over(Window.partitionBy("sequence_id"))
-    rows = materialize(materialize(first, "pieces").withColumn(filled, of_sequence), "filled-pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialize(first, "pieces")
+    rows = materialize(pieces.withColumn(filled, of_sequence), "filled-pieces")
     roomy = F.col(filled) * 100 < FULL_PERCENT * size
     again = rows.where(roomy)
     groups = -(-again.count() // GROUP_PIECES)

@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from lakeops.llm.batches import give_back
+
 KEPT = 300_000
 #: Words of more bytes are encoded each time.
 KEPT_BYTES = 64
@@ -175,8 +177,7 @@ class PieceIds:
         try:
             return self._encoded(texts)
         finally:
-            # Else the arrays of a batch would stay with the idle worker.
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         if self.added is None:
@@ -258,4 +259,6 @@ class PieceIds:
 @functools.cache
 def piece_ids(path: str) -> PieceIds:
     """One memory per Python worker, used by all its tasks; the ids are those the library gives by default."""
-    return PieceIds(path, special_as_text=False)
+    encoder = PieceIds(path, special_as_text=False)
+    give_back()
+    return encoder

@@ -27,11 +27,11 @@ from itertools import chain
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.batches import give_back
 from lakeops.llm.columns import free_name
 from lakeops.session import materialize
 
@@ -389,12 +389,14 @@ def score_column(spark, model: Model):
     """A column function text -> score; null and empty texts score 0."""
     shared = spark.sparkContext.broadcast(model)
 
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(shared.value)
         for texts in parts:
-            yield pd.Series([matcher.score(t or "") for t in texts], dtype="float64")
+            # One text at a time becomes a Python string.
+            yield pa.array([matcher.score(text.as_py() or "") for text in texts], pa.float64())
+        give_back()
 
-    return F.pandas_udf(score, "double")
+    return F.arrow_udf(score, "double")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:

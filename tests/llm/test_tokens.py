@@ -3,10 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakeops.llm.packing import BestFit, packed
+from lakeops.llm.batches import BATCH_BYTES, small_batches
+from lakeops.llm.packing import CHUNK_BYTES, BestFit, _chunks, packed
 from lakeops.llm.token_store import PerfectHash, Shard, fetch, new_store_folder, read_store, write_index, write_store
 from lakeops.llm.tokens import PieceIds, piece_ids
 
@@ -187,3 +190,28 @@ def test_a_look_up_reads_the_same_few_pages_of_any_index(tmp_path):
         # The index is smaller than a table of its keys with their rows.
         assert index.stat().st_size < 28 * count
     assert reads[300_000] <= 12
+
+
+def test_texts_are_decoded_in_small_parts():
+    texts = ["é" * (CHUNK_BYTES // 4)] * 9 + [None, "x" * (3 * CHUNK_BYTES), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(_chunks(iter([batch, batch.slice(0, 0)])))
+    assert [t for _, part in parts for t in part] == [t or "" for t in texts]
+    assert [k for keys, _ in parts for k in keys.to_pylist()] == list(range(len(texts)))
+    assert all(len(part) == 1 or sum(len(t.encode()) for t in part) <= CHUNK_BYTES for _, part in parts)
+
+
+def test_batches_are_small_while_texts_are_packed(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+    texts = spark.range(0, 24, 1, 1).select(F.repeat(F.col("id").cast("string"), 1 << 19).alias("text"))
+    before = spark.conf.get(BATCH_BYTES)
+    with small_batches(spark, 2 << 20):
+        inside = [row.bytes for row in texts.mapInArrow(sizes, "bytes long").collect()]
+    assert max(inside) <= 4 << 20 and sum(inside) >= 34 << 19
+    assert spark.conf.get(BATCH_BYTES) == before
+    with pytest.raises(ValueError), small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(BATCH_BYTES) == before
